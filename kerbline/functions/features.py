@@ -49,25 +49,23 @@ def nearest_centre(lat: Column, lon: Column, centres: Mapping[int, tuple[float,
     """
     centres = fixed.CLUSTER_CENTRES if centres is None else centres
     x, y = lat.try_cast("double"), lon.try_cast("double")
-    ids = sorted(centres)
-    gaps = [F.sqrt((x - centres[i][0]) * (x - centres[i][0]) + (y - centres[i][1]) * (y - centres[i][1])) for i in ids]
-    smallest = F.least(*gaps) if len(gaps) > 1 else gaps[0]
-    nearest = F.lit(ids[-1])
-    for i, gap in reversed(list(zip(ids, gaps))):
-        nearest = F.when(gap == smallest, F.lit(i)).otherwise(nearest)
+    ranked = [
+        F.struct(F.sqrt(F.pow(x - la, F.lit(2.0)) + F.pow(y - lo, F.lit(2.0))).alias("gap"), F.lit(i).alias("id"))
+        for i, (la, lo) in sorted(centres.items())
+    ]
+    nearest = F.array_min(F.array(*ranked)).getField("id")
     return F.when(measured(x) & measured(y), nearest).otherwise(F.lit(-1)).cast("int")
 
 
 def density_band(cluster: Column, shares: Mapping[int, float] | None = None) -> Column:
     """urban / suburban / rural by the share of events in the cluster."""
     shares = fixed.CLUSTER_SHARES if shares is None else shares
-    share = lookup(cluster.cast("int"), shares, 0.0)
-    return (
-        F.when(cluster.isNull() | (cluster < 0), F.lit("unknown"))
-        .when(share > fixed.URBAN_ABOVE, F.lit("urban"))
-        .when(share > fixed.SUBURBAN_ABOVE, F.lit("suburban"))
-        .otherwise(F.lit("rural"))
-    )
+    bands = {
+        i: "urban" if share > fixed.URBAN_ABOVE else "suburban" if share > fixed.SUBURBAN_ABOVE else "rural"
+        for i, share in shares.items()
+    }
+    known = lookup(cluster.cast("int"), bands, "rural")
+    return F.when(cluster.isNull() | (cluster < 0), F.lit("unknown")).otherwise(known)
 
 
 def haversine_term(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -13,21 +13,28 @@ from kerbline.profile import WEATHER_COLUMNS, WEATHER_DATES
 # Source column of each output column; the others keep their name.
 SOURCE_NAMES = {"tavg": "temp", "snow": "snwd"}
 DATE_PARTS = ("year", "month", "day")
+STATION_PATTERN = r"([^/]*)_[^_/]*$"
 # Different headers handled by one reader each.
 MOST_LAYOUTS = 200
 
 
-def header_layouts(spark: SparkSession, path: str, first_field: str = DATE_PARTS[0]) -> list[tuple[str, list[str]]]:
+def header_layouts(spark: SparkSession, path: str, fields: tuple[str, ...] = DATE_PARTS) -> list[tuple[str, list[str]]]:
     """The distinct header lines below a path, with the files that carry them.
 
-    A header line is one whose first field is ``first_field``. Files are listed
-    on the driver, as Spark's own file index does; no data is.
+    A header line is one that names all of ``fields``. Files are listed on the
+    driver, as Spark's own file index does; no data is.
     """
+    names = F.transform(F.split(F.regexp_replace("value", '"', ""), ","), F.trim)
+    is_header = F.array_contains(names, fields[0])
+    for f in fields[1:]:
+        is_header = is_header & F.array_contains(names, f)
     lines = (
         spark.read.option("ignoreCorruptFiles", True)
+        .option("recursiveFileLookup", True)
         .text(path)
         .select("value", F.col("_metadata.file_path").alias("file"))
-        .filter(F.lower(F.trim(F.regexp_replace(F.split("value", ",")[0], '"', ""))) == first_field)
+        # A cheap look first: only header lines hold the name at all.
+        .filter(F.contains("value", F.lit(fields[0])) & is_header)
         .distinct()
     )
     layouts = lines.groupBy("value").agg(F.sort_array(F.collect_set("file")).alias("files"))
@@ -42,19 +49,22 @@ def _names(header: str) -> list[str]:
 
 
 def read_daily_weather(
-    spark: SparkSession, path: str, first: str = WEATHER_DATES[0], last: str = WEATHER_DATES[1]
+    spark: SparkSession,
+    path: str,
+    first: str = WEATHER_DATES[0],
+    last: str = WEATHER_DATES[1],
+    station: str = STATION_PATTERN,
 ) -> DataFrame:
     """All files as one table (station_id, time, seven measures as float).
 
-    The station is the file name before its last underscore. Absent columns and
+    ``station`` finds the station in the file path: by default the file name
+    before its last underscore. Absent columns and
     unreadable numbers are null; rows without a valid date, or outside the
     closed date range, are left out; unreadable files are skipped.
     """
     parts = []
     for header, files in header_layouts(spark, path):
         names = _names(header)
-        if not set(DATE_PARTS) <= set(names):
-            continue
         # A name given twice keeps its first position.
         unique = [n if names.index(n) == i else f"{n}__{i}" for i, n in enumerate(names)]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in unique])
@@ -62,6 +72,7 @@ def read_daily_weather(
             spark.read.schema(schema)
             .option("header", True)
             .option("ignoreCorruptFiles", True)
+            .option("recursiveFileLookup", True)
             .option("ignoreLeadingWhiteSpace", True)
             .option("ignoreTrailingWhiteSpace", True)
             .csv(files)
@@ -71,9 +82,9 @@ def read_daily_weather(
             source = SOURCE_NAMES.get(out, out)
             value = col(source).try_cast("float") if source in names else F.lit(None).cast("float")
             measures.append(value.alias(out))
-        station = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)_[^_]*$", 1)
+        station_id = F.regexp_extract(F.col("_metadata.file_path"), station, 1)
         time = date_from_parts(*[col(p) for p in DATE_PARTS])
-        parts.append(raw.select(station.alias("station_id"), time.alias("time"), *measures))
+        parts.append(raw.select(station_id.alias("station_id"), time.alias("time"), *measures))
     if not parts:
         raise ValueError(f"no weather file with year, month and day below {path}")
     table = reduce(DataFrame.unionByName, parts)

@@ -1,4 +1,4 @@
 """All queries, registered by importing the modules that define them."""
 
-from workload import checking, cleaning, joining  # noqa: F401
+from workload import checking, cleaning, featuring, joining, storing, summarising  # noqa: F401
 from workload.registry import ORACLES, QUERIES  # noqa: F401
