@@ -19,6 +19,7 @@ from kerbline.scale import settle
 FEWEST_ROWS = 100
 TREES = 100
 SUBSET = 256
+ROWS_PER_TASK = 2_000
 
 
 def _complete_rows(df: DataFrame, names: list[str], key: str) -> DataFrame:
@@ -90,6 +91,10 @@ def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int
         rows = settle(sample_at_most(rows, sample, "key", seed))
     n_rows = rows.count()
     subset = min(SUBSET, max(n_rows, 2))
+    if sample is not None:
+        # A top-k arrives in one partition; score it on all cores.
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        rows = rows.repartition(max(1, min(cores, n_rows // ROWS_PER_TASK)), "key")
     # Bounded: TREES trees of at most 2 x (about SUBSET rows) nodes.
     table = grow_trees(rows, n_rows, n_features, seed=seed).orderBy("tree", "node").toPandas()
     forest = {int(t): g.drop(columns=["tree"]).to_dict("list") for t, g in table.groupby("tree")}

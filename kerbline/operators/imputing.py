@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbline.columns import col, measured, present, replace_columns
-from kerbline.scale import attach_by_key, cumulative_counts, lower_median, value_counts_long
+from kerbline.scale import attach_by_key, cumulative_counts, lower_median, settle, value_counts_long
 
 # Rank error allowed by default: one in this many rows.
 MEDIAN_ACCURACY = 1_000
@@ -44,21 +44,18 @@ def mode_counts(df: DataFrame, target: str, group: str) -> DataFrame:
     return df.filter(col(target).isNotNull()).groupBy(col(group), col(target)).agg(F.count("*").alias("n"))
 
 
+def _best(target: str) -> Column:
+    """Aggregate over ``mode_counts``: the most frequent target, lowest value first."""
+    return F.min(F.struct((-F.col("n")).alias("neg"), col(target).alias("value"))).getField("value").alias("mode")
+
+
 def group_modes(df: DataFrame, target: str, group: str) -> DataFrame:
     """The most frequent target per group; the lowest value wins a tie.
 
     Two hash aggregations with partial results, so a hot group costs no more
     than its distinct values.
     """
-    best = F.min(F.struct((-F.col("n")).alias("neg"), col(target).alias("value"))).getField("value")
-    return mode_counts(df, target, group).groupBy(col(group)).agg(best.alias("mode"))
-
-
-def overall_mode(df: DataFrame, target: str) -> DataFrame:
-    """One row: the most frequent non-null target (null when there is none)."""
-    counts = df.filter(col(target).isNotNull()).groupBy(col(target)).agg(F.count("*").alias("n"))
-    best = F.min(F.struct((-F.col("n")).alias("neg"), col(target).alias("value"))).getField("value")
-    return counts.agg(best.alias("mode"))
+    return mode_counts(df, target, group).groupBy(col(group)).agg(_best(target))
 
 
 def fill_group_mode(df: DataFrame, target: str, group: str, nothing: str = "Unknown") -> DataFrame:
@@ -69,7 +66,10 @@ def fill_group_mode(df: DataFrame, target: str, group: str, nothing: str = "Unkn
     """
     if len(present(df, [target, group])) < 2:
         return df
-    modes = group_modes(df, target, group).filter(col(group).isNotNull()).withColumnRenamed("mode", "__mode")
-    joined = attach_by_key(df, modes, group).withColumn("__all", overall_mode(df, target).scalar())
+    # Stored: both kinds of mode come from this one pass over the rows.
+    counts = settle(mode_counts(df, target, group))
+    modes = counts.filter(col(group).isNotNull()).groupBy(col(group)).agg(_best(target)).withColumnRenamed("mode", "__mode")
+    overall = counts.groupBy(col(target)).agg(F.sum("n").alias("n")).agg(_best(target))
+    joined = attach_by_key(df, modes, group).withColumn("__all", overall.scalar())
     filled = F.coalesce(col(target), F.col("__mode"), F.col("__all"), F.lit(nothing))
     return joined.select(*[filled.alias(c) if c == target else col(c) for c in df.columns])

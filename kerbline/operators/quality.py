@@ -179,28 +179,33 @@ def union_findings(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def category_findings(details: DataFrame, p: Profile = ROAD) -> DataFrame:
+    """How many driver age bands there are, for information."""
+    if p.age_band not in details.columns:
+        return skipped(details, "accuracy", "distinct_categories", "details", p.age_band)
+    bands = details.agg(F.count_distinct(col(p.age_band)).alias("n"))
+    text = F.concat(F.col("n").cast("string"), F.lit(" categories"))
+    return as_findings(bands, "accuracy", "distinct_categories", "details", p.age_band, F.lit(0), status=F.lit(INFO), detail=text)
+
+
+def cross_table_findings(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
+    """Events whose year is not that of their first detail row."""
+    check = "year_differs_across_tables"
+    if not ({p.key, p.year} <= set(events.columns) and {p.key, p.year, p.detail_key} <= set(details.columns)):
+        return skipped(events, "consistency", check, "both", p.year)
+    years = cross_table_mismatch(events, details, p.key, p.detail_key, p.year, p.year)
+    return as_findings(years, "consistency", check, "both", p.year, F.col("n_bad"), F.col("n_total"))
+
+
 def check_accuracy(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
     on_events, on_details = accuracy_rules(p)
-    parts = [run_rules(events, "events", on_events), run_rules(details, "details", on_details)]
-    if p.age_band in details.columns:
-        bands = details.agg(F.count_distinct(col(p.age_band)).alias("n"))
-        parts.append(
-            as_findings(bands, "accuracy", "distinct_categories", "details", p.age_band, F.lit(0), status=F.lit(INFO),
-                        detail=F.concat(F.col("n").cast("string"), F.lit(" categories")))
-        )
-    else:
-        parts.append(skipped(details, "accuracy", "distinct_categories", "details", p.age_band))
-    return union_findings(parts)
+    return union_findings(
+        [run_rules(events, "events", on_events), run_rules(details, "details", on_details), category_findings(details, p)]
+    )
 
 
 def check_consistency(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
-    parts = [run_rules(events, "events", consistency_rules(p))]
-    if {p.key, p.year} <= set(events.columns) and {p.key, p.year, p.detail_key} <= set(details.columns):
-        years = cross_table_mismatch(events, details, p.key, p.detail_key, p.year, p.year)
-        parts.append(as_findings(years, "consistency", "year_differs_across_tables", "both", p.year, F.col("n_bad"), F.col("n_total")))
-    else:
-        parts.append(skipped(events, "consistency", "year_differs_across_tables", "both", p.year))
-    return union_findings(parts)
+    return union_findings([run_rules(events, "events", consistency_rules(p)), cross_table_findings(events, details, p)])
 
 
 def check_completeness(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,6 +12,7 @@ from kerbline.operators.encoding import FEATURES_OUTPUT, LABEL_OUTPUT, Frequency
 from kerbline.operators.sampling import random_split, split_by_key, undersample
 from kerbline.profile import ROAD, Profile
 from kerbline.scale import scratch_path
+from kerbline.sources.sinks import write_parquet
 
 # Beyond this many values a category is indexed by a join, not by a stage.
 STAGE_CATEGORIES = 200_000
@@ -40,26 +40,25 @@ def prepare(
     part is ever rebalanced.
     """
     p = profile
-    cleaned = clean(merged, p).persist(StorageLevel.DISK_ONLY)
-    try:
-        train, test = split_by_key(cleaned, split_key) if split_key else random_split(cleaned)
-        if balance_ratio is not None:
-            train = undersample(train, p.label, split_key or p.key, balance_ratio)
-        outside = oversized_categories(train, p.indexed, STAGE_CATEGORIES)
-        for name in outside:
-            index = FrequencyIndex.fit(train, name)
-            train, test = index.transform(train), index.transform(test)
-        model = build_feature_job(p, include_derived, outside).fit(train)
-        stored = []
-        base = out_dir or scratch_path(merged.sparkSession, "features")
-        for name, part in (("train", train), ("test", test)):
-            rows = model.transform(part).select(FEATURES_OUTPUT, LABEL_OUTPUT)
-            rows.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
-            stored.append(merged.sparkSession.read.parquet(f"{base}/{name}.parquet"))
-        return Prepared(model, *stored)
-    finally:
-        # After the writes, which still read the stored rows.
-        cleaned.unpersist()
+    spark = merged.sparkSession
+    base = out_dir or scratch_path(spark, "features")
+    # Stored once: every fitted stage below is a pass over it, and it outlives
+    # a lost executor.
+    write_parquet(clean(merged, p), f"{base}/cleaned.parquet")
+    cleaned = spark.read.parquet(f"{base}/cleaned.parquet")
+    train, test = split_by_key(cleaned, split_key) if split_key else random_split(cleaned)
+    if balance_ratio is not None:
+        train = undersample(train, p.label, split_key or p.key, balance_ratio)
+    outside = oversized_categories(train, p.indexed, STAGE_CATEGORIES)
+    for name in outside:
+        index = FrequencyIndex.fit(train, name)
+        train, test = index.transform(train), index.transform(test)
+    model = build_feature_job(p, include_derived, outside).fit(train)
+    stored = []
+    for name, part in (("train", train), ("test", test)):
+        write_parquet(model.transform(part).select(FEATURES_OUTPUT, LABEL_OUTPUT), f"{base}/{name}.parquet")
+        stored.append(spark.read.parquet(f"{base}/{name}.parquet"))
+    return Prepared(model, *stored)
 
 
 def label_counts(df: DataFrame) -> DataFrame:

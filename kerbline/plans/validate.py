@@ -16,14 +16,17 @@ def validate(events: DataFrame, details: DataFrame, profile: Profile = ROAD, now
     dates included.
     """
     p = profile
+    on_events, on_details = quality.accuracy_rules(p)
+    on_events = on_events + quality.consistency_rules(p) + quality.timeliness_rules(p, now)
     return quality.union_findings(
         [
-            quality.check_accuracy(events, details, p),
-            quality.check_consistency(events, details, p),
+            quality.run_rules(events, "events", on_events),
+            quality.run_rules(details, "details", on_details),
+            quality.category_findings(details, p),
+            quality.cross_table_findings(events, details, p),
             quality.check_completeness(events, details, p),
             quality.check_uniqueness(events, details, p),
             quality.check_outliers(events, details, p),
-            quality.check_timeliness(events, p, now),
             quality.check_relationships(events, p),
             quality.check_join_integrity(events, details, p),
         ]

@@ -20,7 +20,7 @@ NEAREST = with_views("SELECT acc.acc_id, id AS station_id FROM acc LEFT JOIN ran
 
 @query("nearest_point", NEAREST)
 def nearest_point(spark, sf_dir):
-    acc = views.events(spark, sf_dir).select("acc_id", "lat", "lon")
+    acc = views.events(spark, sf_dir, spread=True).select("acc_id", "lat", "lon")
     return joins.nearest_place(acc, views.places(spark, sf_dir), "lat", "lon").select("acc_id", "station_id")
 
 
