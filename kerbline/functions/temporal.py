@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from kerbline.functions.rules import lookup
 from kerbline.profile import DATE_PATTERN, TIME_PATTERN, VALID_DAYS
 
 
@@ -19,7 +20,15 @@ def hour_of(c: Column) -> Column:
 
 def day_name(c: Column) -> Column:
     """Full English day name of a date."""
-    return F.element_at(F.array(*[F.lit(d) for d in VALID_DAYS]), F.dayofweek(c))
+    return named_day(F.dayofweek(c))
+
+
+def named_day(number: Column) -> Column:
+    """Full English name of day 1 (Sunday) to 7; null for null.
+
+    A map lookup: an array lookup at a null position is not null under ANSI.
+    """
+    return lookup(number, dict(enumerate(VALID_DAYS, start=1)))
 
 
 def bad_time_format(c: Column) -> Column:

@@ -28,6 +28,7 @@ def _melt_pairs(row: DataFrame, names: list[str], measure: str, digits: int) ->
         F.struct(
             F.lit(names[i]).alias("left_column"),
             F.lit(names[j]).alias("right_column"),
+            # Null for a constant column.
             F.round(F.col(f"r_{i}_{j}"), digits).alias(measure),
         )
         for i, j in _pairs(names)
@@ -39,7 +40,14 @@ def pearson_pairs(df: DataFrame, names: Iterable[str], digits: int = 3) -> DataF
     """Pearson r of every pair of columns in one pass over the complete rows."""
     found = present(df, names)
     rows = _complete(df, found)
-    row = rows.agg(*[F.corr(f"c{i}", f"c{j}").alias(f"r_{i}_{j}") for i, j in _pairs(found)])
+    # corr() itself fails on a constant column under ANSI.
+    aggs = [
+        F.try_divide(
+            F.covar_pop(f"c{i}", f"c{j}"), F.stddev_pop(f"c{i}") * F.stddev_pop(f"c{j}")
+        ).alias(f"r_{i}_{j}")
+        for i, j in _pairs(found)
+    ]
+    row = rows.agg(*aggs)
     return _melt_pairs(row, found, "pearson", digits)
 
 
@@ -67,7 +75,8 @@ def spearman_pairs(df: DataFrame, names: Iterable[str], digits: int = 3) -> Data
     aggs = []
     for i, j in _pairs(found):
         a, b = F.col(f"c{i}_r"), F.col(f"c{j}_r")
-        aggs.append((F.sum(w * a * b) / F.sqrt(F.sum(w * a * a) * F.sum(w * b * b))).alias(f"r_{i}_{j}"))
+        spread = F.sqrt(F.sum(w * a * a) * F.sum(w * b * b))
+        aggs.append(F.try_divide(F.sum(w * a * b), spread).alias(f"r_{i}_{j}"))
     return _melt_pairs(weighted.agg(*aggs), found, "spearman", digits)
 
 
@@ -85,6 +94,6 @@ def compare_correlations(pearson: DataFrame, spearman: DataFrame, digits: int =
         "pearson",
         "spearman",
         F.round(gap, digits).alias("diff"),
-        (gap > NON_LINEAR_ABOVE).alias("non_linear"),
-        ((F.abs(p) > HIGH_CORRELATION_ABOVE) | (F.abs(s) > HIGH_CORRELATION_ABOVE)).alias("high"),
+        F.coalesce(gap > NON_LINEAR_ABOVE, F.lit(False)).alias("non_linear"),
+        F.coalesce((F.abs(p) > HIGH_CORRELATION_ABOVE) | (F.abs(s) > HIGH_CORRELATION_ABOVE), F.lit(False)).alias("high"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from kerbline import profile as fixed
 from kerbline.columns import col
 from kerbline.functions.rules import min_max, relabel
-from kerbline.functions.temporal import hour_of
+from kerbline.functions.temporal import hour_of, named_day
 
 _SHARE = "percentage"
 
@@ -47,9 +47,8 @@ def by_hour(df: DataFrame, time: str) -> DataFrame:
 def by_day_of_week(df: DataFrame, date: str) -> DataFrame:
     """Rows per named day of week; a missing date is a group without a name."""
     day = F.dayofweek(col(date))
-    names = F.array(*[F.lit(d) for d in fixed.VALID_DAYS])
     counts = df.groupBy(day.alias("d")).agg(F.count("*").alias("count"))
-    return counts.select(F.element_at(names, F.col("d")).alias("day_name"), "count")
+    return counts.select(named_day(F.col("d")).alias("day_name"), "count")
 
 
 def by_month(df: DataFrame, date: str) -> DataFrame:

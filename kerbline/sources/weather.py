@@ -24,7 +24,7 @@ def header_layouts(spark: SparkSession, path: str, fields: tuple[str, ...] = DAT
     A header line is one that names all of ``fields``. Files are listed on the
     driver, as Spark's own file index does; no data is.
     """
-    names = F.transform(F.split(F.regexp_replace("value", '"', ""), ","), F.trim)
+    names = F.transform(F.split(F.regexp_replace("value", '"', ""), ","), lambda n: F.trim(n))
     is_header = F.array_contains(names, fields[0])
     for f in fields[1:]:
         is_header = is_header & F.array_contains(names, f)
