@@ -175,11 +175,12 @@ class FrequencyIndex:
     def fit(cls, df: DataFrame, column: str) -> FrequencyIndex:
         text = df.filter(col(column).isNotNull()).select(col(column).cast("string").alias("value"))
         counts = text.groupBy("value").agg(F.count("*").alias("n"))
-        # Stored in order, so partition number and row id give each value's place
-        # without one task ever seeing all values.
-        ordered = settle(counts.orderBy(F.desc("n"), "value").select("value")).withColumns(
-            {"part": F.spark_partition_id(), "row_id": F.monotonically_increasing_id()}
+        # A row id taken after a range sort holds partition and place, so one
+        # task never sees all values.
+        ordered = counts.orderBy(F.desc("n"), "value").select(
+            "value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row_id")
         )
+        ordered = settle(ordered)
         earlier = Window.partitionBy(F.lit(1)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         starts = ordered.groupBy("part").agg(F.count("*").alias("size"), F.min("row_id").alias("first_id"))
         starts = starts.withColumn("start", F.coalesce(F.sum("size").over(earlier), F.lit(0)))

@@ -97,7 +97,8 @@ def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int
         rows = rows.repartition(max(1, min(cores, n_rows // ROWS_PER_TASK)), "key")
     # Bounded: TREES trees of at most 2 x (about SUBSET rows) nodes.
     table = grow_trees(rows, n_rows, n_features, seed=seed).orderBy("tree", "node").toPandas()
-    forest = {int(t): g.drop(columns=["tree"]).to_dict("list") for t, g in table.groupby("tree")}
+    fields = ["feature", "cut", "left", "right", "size", "depth"]
+    forest = [{f: g[f].to_numpy() for f in fields} for _, g in table.groupby("tree")]
 
     def score(batches):
         import numpy as np
@@ -108,11 +109,10 @@ def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int
             full = 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1)
             return np.where(n > 2, full, np.where(n == 2, 1.0, 0.0))
 
-        grown = [{k: np.asarray(v) for k, v in tree.items()} for tree in forest.values()]
         for batch in batches:
             data = batch[[f"x{i}" for i in range(n_features)]].to_numpy(dtype=float)
             total = np.zeros(len(data))
-            for tree in grown:
+            for tree in forest:
                 at = np.zeros(len(data), dtype=int)
                 while True:
                     feature = tree["feature"][at]
@@ -123,7 +123,7 @@ def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int
                     low = data[inner, feature[inner]] <= tree["cut"][here]
                     at[inner] = np.where(low, tree["left"][here], tree["right"][here])
                 total += tree["depth"][at] + average_path(tree["size"][at])
-            mean = total / max(1, len(grown))
+            mean = total / max(1, len(forest))
             batch["score"] = 2.0 ** (-mean / float(average_path(subset)))
             yield batch[["key", "score"]]
 

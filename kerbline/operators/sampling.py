@@ -12,6 +12,8 @@ from kerbline.columns import col
 from kerbline.scale import attach_by_key
 
 _HASH_RANGE = 2**32
+# Rows a top-k merge may be sent by all tasks together.
+MERGED_ROWS = 2_000_000
 
 
 def hash_unit(key: Column, seed: int | None = None) -> Column:
@@ -44,9 +46,28 @@ def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 42) ->
 def sample_at_most(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """At most ``n`` rows without replacement: those with the lowest key hashes.
 
-    A top-k per task and a merge of ``n`` rows, not a full sort.
+    A top-k per task and a merge, not a full sort. Where the tasks together
+    would send much more than ``n`` rows to the merge, a count by hash range
+    first finds the ranges that can hold the sample.
     """
-    return df.orderBy(hash_int(col(key), seed), col(key)).limit(n)
+    hashed = df.withColumn("__h", hash_int(col(key), seed))
+    if df.rdd.getNumPartitions() * n > MERGED_ROWS:
+        hashed = _lowest_ranges(hashed, n)
+    return hashed.orderBy("__h", col(key)).limit(n).drop("__h")
+
+
+def _lowest_ranges(hashed: DataFrame, n: int) -> DataFrame:
+    """Drop the hash ranges above the one in which the ``n``-th lowest row lies."""
+    ranges = F.shiftright("__h", 16)
+    # Bounded: 65,536 ranges and one for rows without a key.
+    counts = hashed.groupBy(ranges.alias("r")).agg(F.count("*").alias("n")).orderBy("r").collect()
+    seen = 0
+    for row in counts:
+        seen += row["n"]
+        if seen >= n:
+            last = -1 if row["r"] is None else row["r"]
+            return hashed.filter(F.col("__h").isNull() | (ranges <= last))
+    return hashed
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:

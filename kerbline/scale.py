@@ -1,7 +1,7 @@
 """Helpers that keep operators safe on large and skewed data.
 
-* ``settle`` cuts lineage with a reliable checkpoint, so a lost executor costs
-  a re-read, not a recomputation.
+* ``settle`` cuts lineage with a stored table, so a lost executor costs a
+  re-read, not a recomputation.
 * ``attach_by_key`` broadcasts a lookup table only after counting its rows and
   otherwise joins by shuffle.
 * ``spread_left_join`` keeps rows with a null key out of a single task.
@@ -23,7 +23,7 @@ BROADCAST_ROWS = 20_000
 # Tasks over which rows with a null join key are spread.
 NULL_SPREAD = 256
 # Up to this many distinct values are ranked without a range sort.
-BUCKET_VALUES = 100_000
+BUCKET_VALUES = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,11 +46,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computed once, read back by every later use."""
+    """Store a frame in the shared folder and read it back.
+
+    Computed once; later uses read files, so a lost executor costs a re-read.
+    Neither row order nor partitioning is kept.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, "settled")
+    # Any column name is legal in a frame, but not in a file.
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    plain.write.parquet(path)
+    return spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)
 
 
 def within(df: DataFrame, max_rows: int) -> bool:
@@ -114,17 +120,16 @@ def value_counts_long(df: DataFrame, names: list[str]) -> DataFrame:
 def cumulative_counts(counts: DataFrame, bucket_values: int = BUCKET_VALUES) -> DataFrame:
     """Add ``before`` (rows with a smaller value) and ``total`` to value counts.
 
-    Many distinct values are range-sorted and stored first. The stored
-    partitions are then consecutive value ranges of even size: their totals
-    (at most columns + partitions rows) give each range its start, and a window
-    inside each range the rest.
+    Many distinct values are range-sorted and stored with the number of their
+    partition first. Those partitions are consecutive value ranges of even
+    size: their totals (at most columns + partitions rows) give each range its
+    start, and a window inside each range the rest.
     """
     counts = settle(counts)
-    ranges = F.lit(0)
     if counts.count() > bucket_values:
-        counts = settle(counts.orderBy("column", "value"))
-        ranges = F.spark_partition_id()
-    bucketed = counts.withColumn("__bucket", ranges)
+        bucketed = settle(counts.orderBy("column", "value").withColumn("__bucket", F.spark_partition_id()))
+    else:
+        bucketed = counts.withColumn("__bucket", F.lit(0))
     ordered = Window.partitionBy("column").orderBy("__bucket")
     starts = (
         bucketed.groupBy("column", "__bucket")

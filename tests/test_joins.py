@@ -145,6 +145,16 @@ def test_samples(spark):
     assert weights == {k: pytest.approx(total / (3 * n)) for k, n in counts.items()}
 
 
+def test_large_samples_are_narrowed_first(spark, monkeypatch):
+    df = spark.range(20_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 500 = 1 THEN NULL ELSE id END AS k", "id").repartition(4)
+    want = sampling.sample_at_most(df, 9_000, "k").groupBy("k").count()
+    monkeypatch.setattr(sampling, "MERGED_ROWS", 10)
+    got = sampling.sample_at_most(df, 9_000, "k").groupBy("k").count()
+    assert got.agg({"count": "sum"}).first()[0] == 9_000
+    assert got.exceptAll(want).count() == 0
+    assert sampling.sample_at_most(df, 50_000, "k").count() == 20_000
+
+
 def test_undersampling_nothing(spark):
     empty = spark.createDataFrame([], "id long, c string")
     assert sampling.undersample(empty, "c", "id").count() == 0
