@@ -28,7 +28,8 @@ def iqr_outliers(df: DataFrame, names: Iterable[str], exact: bool = True, digits
         ranked = cumulative_counts(value_counts_long(df, found))
         quartiles = ranked.groupBy("column").agg(quantile(0.25).alias("q1"), quantile(0.75).alias("q3"))
     else:
-        ranked = value_counts_long(df, found)
+        # No need to count equal values: each row is compared with the fences.
+        ranked = long_values(df, found).withColumn("n", F.lit(1))
         both = F.percentile_approx("value", [0.25, 0.75], APPROX_ACCURACY).alias("q")
         quartiles = long_values(df, found).groupBy("column").agg(both).select(
             "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")
@@ -48,7 +49,6 @@ def iqr_outliers(df: DataFrame, names: Iterable[str], exact: bool = True, digits
 def zscore_outliers(df: DataFrame, names: Iterable[str], threshold: float = 3.0) -> DataFrame:
     """Per column the rows more than ``threshold`` sample deviations from the mean."""
     found = present(df, names)
-    counts = value_counts_long(df, found)
     aggs = []
     for i, n in enumerate(found):
         c = F.when(measured(numeric(n)), numeric(n))
@@ -57,9 +57,10 @@ def zscore_outliers(df: DataFrame, names: Iterable[str], threshold: float = 3.0)
     far = F.abs(F.col("value") - F.col("mean")) > threshold * F.col("sd")
     # Bounded: one row per named column.
     return (
-        counts.join(F.broadcast(stats), "column")
+        long_values(df, found)
+        .join(F.broadcast(stats), "column")
         .groupBy("column")
-        .agg(F.sum(F.when(far, F.col("n")).otherwise(0)).alias("n_outliers"), F.sum("n").alias("n_valid"))
+        .agg(F.count_if(far).alias("n_outliers"), F.count("*").alias("n_valid"))
     )
 
 

@@ -216,8 +216,8 @@ def hotspot_table(model: KMeansModel, df: DataFrame, lat: str, lon: str) -> Data
     counts = model.transform(_located(df, lat, lon)).groupBy("prediction").agg(F.count("*").alias("n"))
     rows = [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())]
     centres = df.sparkSession.createDataFrame(rows, "prediction int, centre_lat double, centre_lon double")
-    total = counts.agg(F.sum("n")).scalar()
-    # Bounded: k rows.
+    # k rows, here and in the join.
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
     return counts.join(F.broadcast(centres), "prediction").withColumn("pct", F.round(F.col("n") / total * 100, 1))
 
 

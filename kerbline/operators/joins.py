@@ -15,6 +15,8 @@ from kerbline.scale import spread_left_join, within
 SCAN_PLACES = 4_096
 # Grid of cubes around the unit sphere: edge 2 at level 0, a quarter per level.
 GRID_LEVELS = 11
+# On the first levels the whole sphere touches well under 100,000 cubes.
+COARSE_LEVELS = 4
 
 
 def nearest_place(
@@ -100,6 +102,9 @@ def _nearest_by_grid(points: DataFrame, places: DataFrame, lat: str, lon: str, o
     around it hold a place. The nearest place is then closer than 3.47 cube
     edges, which is less than one edge of level L-1, so it lies in the 27 cubes
     around the location at level L-1 (level 0 covers the whole sphere).
+    Coarse cubes, which hold very many locations each, are looked up by
+    broadcast; fine ones by a shuffle join. A location far from all places is
+    compared with every place in its coarse cubes.
     """
     levels = F.explode(F.sequence(F.lit(0), F.lit(GRID_LEVELS - 1)))
     # Places sharing a location cannot all be nearest: the lowest id stands in.
@@ -120,19 +125,21 @@ def _nearest_by_grid(points: DataFrame, places: DataFrame, lat: str, lon: str, o
     )
     spots = keyed.filter(F.col("__lat").isNotNull()).select("__lat", "__lon").distinct()
     px, py, pz = _cells("__lat", "__lon", F.col("level"))
-    finest = (
-        spots.withColumn("level", levels)
-        .withColumns({"x": px, "y": py, "z": pz})
-        .join(occupied, ["level", "x", "y", "z"])
-        .groupBy("__lat", "__lon")
-        .agg(F.greatest(F.max("level") - 1, F.lit(0)).alias("level"))
+    cubed = spots.withColumn("level", levels).withColumns({"x": px, "y": py, "z": pz})
+    is_coarse = F.col("level") < COARSE_LEVELS
+    cube = ["level", "x", "y", "z"]
+    near = (
+        cubed.filter(is_coarse)
+        .join(F.broadcast(occupied.filter(is_coarse)), cube)
+        .unionByName(cubed.filter(~is_coarse).join(occupied.filter(~is_coarse), cube))
     )
+    finest = near.groupBy("__lat", "__lon").agg(F.greatest(F.max("level") - 1, F.lit(0)).alias("level"))
     search = finest.withColumns({"x": px, "y": py, "z": pz})
     for axis in ("x", "y", "z"):
         search = search.withColumn("d", around).withColumn(axis, F.col(axis) + F.col("d")).drop("d")
     h = haversine_term(F.radians("__lat"), F.radians("__lon"), F.radians("lat"), F.radians("lon"))
     winners = (
-        search.join(sites, ["level", "x", "y", "z"])
+        search.join(sites, cube)
         .groupBy("__lat", "__lon")
         .agg(F.min(F.struct(h.alias("h"), F.col("id").alias("id"))).getField("id").alias("__nearest"))
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbline import profile as fixed
 from kerbline.columns import col, measured, numeric
@@ -300,5 +300,6 @@ def check_join_integrity(events: DataFrame, details: DataFrame, p: Profile = ROA
 def issue_rollup(findings: DataFrame) -> DataFrame:
     """Issues per dimension, with their overall number on every row."""
     counts = findings.filter(F.col("status") == ISSUE).groupBy("dimension").agg(F.count("*").alias("n_issues"))
-    total = counts.agg(F.sum("n_issues")).scalar()
+    # One row per dimension.
+    total = F.sum("n_issues").over(Window.partitionBy(F.lit(1)))
     return counts.select("dimension", "n_issues", total.alias("total_issues"))

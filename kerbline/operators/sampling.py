@@ -6,10 +6,10 @@ on partitioning, and a retried task repeats it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kerbline.columns import col
-from kerbline.scale import attach_by_key
+from kerbline.scale import attach_by_key, likely_tasks
 
 _HASH_RANGE = 2**32
 # Rows a top-k merge may be sent by all tasks together.
@@ -51,7 +51,7 @@ def sample_at_most(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame
     first finds the ranges that can hold the sample.
     """
     hashed = df.withColumn("__h", hash_int(col(key), seed))
-    if df.rdd.getNumPartitions() * n > MERGED_ROWS:
+    if likely_tasks(df) * n > MERGED_ROWS:
         hashed = _lowest_ranges(hashed, n)
     return hashed.orderBy("__h", col(key)).limit(n).drop("__h")
 
@@ -77,7 +77,8 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
 def class_fractions(df: DataFrame, label: str, ratio: float = 3.0) -> DataFrame:
     """Per class the share of rows to keep: no class above ``ratio`` x the smallest."""
     counts = class_counts(df, label)
-    smallest = counts.agg(F.min("n")).scalar()
+    # One row per class.
+    smallest = F.min("n").over(Window.partitionBy(F.lit(1)))
     cap = F.floor(smallest * F.lit(float(ratio)))
     return counts.select(col(label), "n", F.least(F.lit(1.0), cap / F.col("n")).alias("fraction"))
 
@@ -92,7 +93,7 @@ def undersample(df: DataFrame, label: str, key: str, ratio: float = 3.0, seed: i
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: rows / (classes x rows of the class)."""
     counts = class_counts(df, label).filter(col(label).isNotNull())
-    whole = counts.agg(F.struct(F.sum("n").alias("rows"), F.count("*").alias("classes"))).scalar()
-    return counts.withColumn("__w", whole).select(
-        col(label), "n", (F.col("__w.rows") / (F.col("__w.classes") * F.col("n"))).alias("weight")
-    )
+    # One row per class.
+    whole = Window.partitionBy(F.lit(1))
+    weight = F.sum("n").over(whole) / (F.count("*").over(whole) * F.col("n"))
+    return counts.select(col(label), "n", weight.alias("weight"))

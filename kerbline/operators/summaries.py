@@ -16,7 +16,8 @@ _SHARE = "percentage"
 
 def with_share(counts: DataFrame, n: str = "count", digits: int = 2) -> DataFrame:
     """Add each group's percentage of the grand total."""
-    total = counts.agg(F.sum(n)).scalar()
+    # One row per group, so the window is small and the rows are read once.
+    total = F.sum(n).over(Window.partitionBy(F.lit(1)))
     return counts.withColumn(_SHARE, F.round(F.col(n) / total * 100, digits))
 
 
@@ -100,33 +101,39 @@ def headline(
     first: str = fixed.FOG_LABEL,
     second: str = fixed.CLEAR_LABEL,
 ) -> DataFrame:
-    """One row of key figures in one pass plus the peak hour.
+    """One row of key figures, from one pass grouped by hour.
 
     The uplift compares mean casualties, rounded first, under two conditions;
     it is 0 when the second has none.
     """
-    n = F.count("*")
-    fatal = F.count_if(col(label) == "Fatal")
-    serious = F.count_if(col(label) == "Serious")
-    share = lambda part: F.when(n > 0, F.round(part / n * 100, 2)).otherwise(F.lit(0.0))
-    mean = lambda name: F.round(F.avg(F.when(col(condition) == name, col(casualties))), 2)
-    figures = df.agg(
-        n.alias("total"),
-        fatal.alias("fatal_count"),
-        share(fatal).alias("fatal_pct"),
-        share(serious).alias("serious_pct"),
-        mean(first).alias("__a"),
-        mean(second).alias("__b"),
+    under = lambda name: F.when(col(condition) == name, col(casualties))
+    hours = df.groupBy(hour_of(col(time)).alias("hour")).agg(
+        F.count("*").alias("n"),
+        F.count_if(col(label) == "Fatal").alias("fatal"),
+        F.count_if(col(label) == "Serious").alias("serious"),
+        F.sum(under(first)).alias("sum_a"),
+        F.count(under(first)).alias("n_a"),
+        F.sum(under(second)).alias("sum_b"),
+        F.count(under(second)).alias("n_b"),
     )
-    a = F.coalesce(F.col("__a"), F.lit(0.0))
-    b = F.coalesce(F.col("__b"), F.lit(1.0))
+    busiest = F.min(F.when(F.col("hour").isNotNull(), F.struct((-F.col("n")).alias("neg"), F.col("hour").alias("v"))))
+    totals = hours.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "fatal", "serious", "n_a", "n_b")],
+        F.sum("sum_a").alias("sum_a"),
+        F.sum("sum_b").alias("sum_b"),
+        busiest.getField("v").alias("peak_hour"),
+    )
+    share = lambda part: F.when(F.col("n") > 0, F.round(F.col(part) / F.col("n") * 100, 2)).otherwise(F.lit(0.0))
+    mean = lambda s, n: F.round(F.try_divide(F.col(s).cast("double"), F.col(n)), 2)
+    a = F.coalesce(mean("sum_a", "n_a"), F.lit(0.0))
+    b = F.coalesce(mean("sum_b", "n_b"), F.lit(1.0))
     uplift = F.when(b != 0, F.round((a / b - 1) * 100, 2)).otherwise(F.lit(0.0))
-    return figures.select(
-        "total",
-        "fatal_count",
-        "fatal_pct",
-        "serious_pct",
-        peak(by_hour(df, time), "hour").scalar().alias("peak_hour"),
+    return totals.select(
+        F.col("n").alias("total"),
+        F.col("fatal").alias("fatal_count"),
+        share("fatal").alias("fatal_pct"),
+        share("serious").alias("serious_pct"),
+        "peak_hour",
         uplift.alias("uplift_pct"),
     )
 

@@ -22,6 +22,8 @@ from kerbline.columns import col, measured, numeric
 BROADCAST_ROWS = 20_000
 # Tasks over which rows with a null join key are spread.
 NULL_SPREAD = 256
+# Usual size of one input split.
+SPLIT_BYTES = 128 * 1024 * 1024
 # Up to this many distinct values are ranked without a range sort.
 BUCKET_VALUES = 500_000
 
@@ -64,6 +66,12 @@ def within(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def likely_tasks(df: DataFrame) -> int:
+    """Tasks a frame would be read in, by the optimizer's size estimate (runs no job)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, size // SPLIT_BYTES)
+
+
 def spread_scan(df: DataFrame) -> DataFrame:
     """Use all cores on a scan that has fewer splits than there are cores.
 

@@ -264,23 +264,21 @@ def histogram_1d(spark, sf_dir):
 
 
 def _axis_sql(c: str) -> str:
-    return f"CAST(least(floor(({c} - {c}0) / (({c}1 - {c}0) / 40)) + 1, 40) AS INTEGER)"
+    """One more than the number of inner bin edges at or below the value."""
+    return f"CAST(1 + len(list_filter(range(1, 40), lambda k: {c} >= {c}0 + ({c}1 - {c}0) / 40 * k)) AS INTEGER)"
 
 
-@query(
-    "histogram_2d",
-    with_views(
-        f"""SELECT {_axis_sql('x')} AS bx, {_axis_sql('y')} AS by, count(*) AS n
- FROM p, (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM p) GROUP BY 1, 2""",
-        "veh",
-        p="SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem",
-    ),
-)
+def _grid_sql(source: str) -> str:
+    return f"""SELECT {_axis_sql('x')} AS bx, {_axis_sql('y')} AS by, count(*) AS n
+ FROM {source}, (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM {source}) GROUP BY 1, 2"""
+
+
+@query("histogram_2d", f"WITH p AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem) {_grid_sql('p')}")
 def histogram_2d(spark, sf_dir):
     return distribution.density_grid(views.table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice")
 
 
-@query("hotspot_grid")
+@query("hotspot_grid", with_views(_grid_sql("p"), "acc", p="SELECT lon AS x, lat AS y FROM acc WHERE lat <= 61 AND lon IS NOT NULL"))
 def hotspot_grid(spark, sf_dir):
     return distribution.density_grid(views.events(spark, sf_dir).filter("lat <= 61"), "lon", "lat")
 

@@ -163,7 +163,24 @@ def text_summary(spark, sf_dir):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-@query("eda_tables")
+@query(
+    "eda_tables",
+    with_views(
+        """SELECT 'dataset_shape' AS "table", 1::BIGINT AS n_rows
+ UNION ALL SELECT 'null_statistics', (SELECT count(*) FILTER (n > 0) FROM (SELECT unnest([count(*) - count(acc_time), count(*) - count(lat),
+ count(*) - count(lon), count(*) - count(speed), count(*) - count(light), count(*) - count(surface), count(*) - count(day_name)]) AS n FROM acc))
+ UNION ALL SELECT 'numeric_statistics', 8
+ UNION ALL SELECT 'severity_distribution', (SELECT count(DISTINCT severity) FROM acc)
+ UNION ALL SELECT 'weather_analysis', (SELECT count(DISTINCT weather) FROM acc)
+ UNION ALL SELECT 'hourly', (SELECT count(DISTINCT acc_time[1:2]) FILTER (acc_time != 'bad') + 1 FROM acc)
+ UNION ALL SELECT 'day_of_week', (SELECT count(DISTINCT dayname(acc_date)) FROM acc)
+ UNION ALL SELECT 'monthly', (SELECT count(DISTINCT month(acc_date)) FROM acc)
+ UNION ALL SELECT 'by_density', (SELECT count(DISTINCT band) FROM banded)
+ UNION ALL SELECT 'by_cluster', (SELECT count(DISTINCT cluster) FROM banded)""",
+        "acc",
+        **CLUSTERED,
+    ),
+)
 def eda_tables(spark, sf_dir):
     """Number of rows of every table of the exploratory report."""
     out = None
