@@ -142,3 +142,16 @@ def test_transformers_survive_storage(spark, tmp_path):
     again = encoding.VulnerableFlag.load(str(tmp_path / "stage"))
     assert again.transform(df).first()["vehicle_vulnerable"] is True
     assert "Accident_Severity" not in {c for t in encoding.derived_stages() for c in t.getInputCols()}
+
+
+def test_hotspots_find_separate_groups(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(17)
+    centres = [(50.0, -5.0), (54.0, 0.0), (58.0, -3.0)]
+    rows = [(float(a + u), float(b + v)) for (a, b), n in zip(centres, (60, 30, 10)) for u, v in rng.normal(0, 0.05, (n, 2))]
+    df = spark.createDataFrame(rows + [(None, 1.0)], "lat double, lon double")
+    table = encoding.hotspot_table(encoding.fit_hotspots(df, "lat", "lon", k=3), df, "lat", "lon").orderBy("centre_lat").collect()
+    assert [r["pct"] for r in table] == [60.0, 30.0, 10.0]
+    for r, (a, b) in zip(table, centres):
+        assert math.dist((r["centre_lat"], r["centre_lon"]), (a, b)) < 0.1
