@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,14 +30,21 @@ BUCKET_VALUES = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as named by the session."""
+    """The folder all executors see, as named by the session.
+
+    Only a session on one machine may fall back to a temporary folder; on a
+    cluster each executor would write its own disk and later reads would miss
+    the rows, so a missing setting is an error there.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    # Nothing named: a single-machine test session.
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors share (master is {master})")
     own = tempfile.mkdtemp(prefix="kerbline-")
     spark.sparkContext.setCheckpointDir(own)
     return own
