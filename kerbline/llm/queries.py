@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kerbline.llm import pii, quality
+from kerbline.llm import neardup, pii, quality
 
 QUERIES = {}
 ORACLES = {}
@@ -43,3 +43,9 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.spans(docs, pii.fit(docs))
     counts = [f"n_{k}" for k in pii.KINDS]
     return out.select("doc_id", *counts, F.sha2(pii.listed("__base"), 256).alias("base_sha256"), pii.listed("__spans").alias("spans"))
+
+
+@query
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = neardup.near_duplicates(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
