@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kerbline.llm import neardup, pii, quality
+from kerbline.llm import neardup, pii, quality, substring, tokens
 
 QUERIES = {}
 ORACLES = {}
@@ -49,3 +49,13 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = neardup.near_duplicates(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
+
+
+@query
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removed_words(read(spark, sf_dir, "documents"))
+
+
+@query
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode_digests(read(spark, sf_dir, "documents"))
