@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kerbline.llm import neardup, pii, quality, substring, tokens
+from kerbline.llm import neardup, packing, pii, quality, substring, tokens
 
 QUERIES = {}
 ORACLES = {}
@@ -59,3 +59,8 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_digests(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
