@@ -128,3 +128,12 @@ def clean(df: DataFrame, text: str = "text") -> DataFrame:
     lost = F.col("all_chars") - F.col("kept_chars")
     fine = 100 * lost <= MOST_LOST * F.col("all_chars")
     return df.withColumn("kept", ~F.col("base_failed") & fine)
+
+
+def kept_rows(df: DataFrame) -> DataFrame:
+    """The rows of ``clean`` that are kept.
+
+    The partition number stops the optimizer from copying the whole chain of counts into the
+    filter, once for each use of each count.
+    """
+    return df.withColumn("__part", F.spark_partition_id()).filter(F.col("kept") & (F.col("__part") >= 0)).drop("__part")
