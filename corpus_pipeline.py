@@ -23,7 +23,7 @@ def _with_text(df: DataFrame, row: str, text, columns: list[str]) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines go; documents that fail or lose too much go."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
-    kept = quality.clean(rows).filter("kept")
+    kept = quality.kept_rows(quality.clean(rows))
     return _with_text(kept, "row", F.col("clean_text"), docs.columns)
 
 
