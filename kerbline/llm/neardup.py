@@ -7,10 +7,10 @@ One hash function orders the shingles of a text; its ``k`` smallest values are t
    have a partner if enough of its sketch is shared; it is listed under its rarest shared values,
    of which any partner must hold one.
 3. In each list the most central class (fewest values of its own) meets every other: the
-   estimate from the union sketch filters, the Jaccard of the full sets decides.
-4. Classes of one list that are still in different components are compared with each other,
-   except where the shingles that no other contested class has already rule the link out. This
-   finds every remaining link without writing the pairs inside a component.
+   Jaccard of the full sets decides. Later pairs must first pass the union-sketch estimate.
+4. Classes that met the same centre and are still in different components are compared where
+   the shingles that the centre lacks leave a link possible. This finds every remaining link
+   without writing the pairs inside a group.
 5. Links are joined to components by alternating star contraction, stored each round.
 
 A pair at the threshold shares ``k * threshold`` sketch values on average. ``SHARED`` lies more
@@ -24,7 +24,6 @@ belong to no group and are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -81,11 +80,14 @@ def _sets(size: int):
     return run
 
 
+def _arrays(batch, i):
+    return (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("sx", "sy"))
+
+
 def _verify(num: int, den: int, k: int):
     """Keep pairs whose sets reach the threshold; the union sketch is asked first."""
 
-    def linked(x: bytes, y: bytes) -> bool:
-        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    def linked(a: np.ndarray, b: np.ndarray) -> bool:
         union = np.union1d(a[:k], b[:k])[:k]
         both = np.intersect1d(np.intersect1d(a[:k], b[:k], assume_unique=True), union, assume_unique=True)
         if len(both) < (num / den - SLACK) * len(union):
@@ -95,12 +97,29 @@ def _verify(num: int, den: int, k: int):
 
     def run(batches):
         for batch in batches:
-            keep = [linked(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("sx"), batch.column("sy"), strict=True)]
+            keep = [linked(*_arrays(batch, i)) for i in range(batch.num_rows)]
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+def _overlap(batches):
+    """The exact intersection of each pair."""
+    for batch in batches:
+        inner = [len(np.intersect1d(*_arrays(batch, i), assume_unique=True)) for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(inner, pa.int64())], names=["x", "y", "inner"])
+
+
+def _foreign(batches):
+    """The shingles of ``x`` that ``y`` lacks, one a row."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            a, b = _arrays(batch, i)
+            only = np.setdiff1d(a, b, assume_unique=True).view(np.int64)
+            x, y = (np.full(len(only), batch.column(c)[i].as_py(), np.int64) for c in ("x", "y"))
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(only)], names=["x", "y", "h"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over links (x, y).
 
@@ -130,10 +149,10 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, num: int, den: int, k: int) -> DataFrame:
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     first = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x")
     full = first.join(sets.select(F.col("id").alias("y"), F.col("set").alias("sy")), "y")
-    return full.select("x", "y", "sx", "sy").mapInArrow(_verify(num, den, k), "x long, y long")
+    return full.select("x", "y", "sx", "sy")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 3, num: int = 85, den: int = 100, k: int = K) -> DataFrame:
@@ -172,46 +191,50 @@ def _links(rows: DataFrame, classes: DataFrame, size: int, num: int, den: int, k
     sets = settle(texts.select(F.col("rep").alias("id"), "text").mapInArrow(_sets(size), "id long, set binary").dropDuplicates(["id"]))
     # Round one: everyone meets the most central class of each list.
     centre = settle(lists.groupBy("v").agg(F.min(F.struct("own", "rep", "n")).alias("c"), F.count("*").alias("members")).filter("members > 1").select("v", F.col("c.rep").alias("y"), F.col("c.n").alias("ny")))
-    near = (den * F.least("nx", "ny") >= num * F.greatest("nx", "ny")) & (F.col("x") != F.col("y"))
-    stars = lists.select("v", F.col("rep").alias("x"), F.col("n").alias("nx")).join(centre, "v").filter(near)
-    stars = settle(stars.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    first = settle(_compare(stars, sets, num, den, k))
+    stars = lists.select("v", F.col("rep").alias("x"), F.col("n").alias("nx")).join(centre, "v").filter("x <> y")
+    stars = settle(stars.select("x", "y", "nx", "ny").distinct())
+    met = settle(_with_sets(stars.select("x", "y"), sets).mapInArrow(_overlap, "x long, y long, inner long"))
+    stars = settle(stars.join(met, ["x", "y"]))
+    first = stars.filter(den * F.col("inner") >= num * (F.col("nx") + F.col("ny") - F.col("inner"))).select("x", "y")
     comp = settle(components(first))
-    # Round two: lists that still hold several components.
-    placed = lists.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = settle(placed)
-    groups = placed.groupBy("v", "component").agg(F.count("*").alias("here"))
-    mixed = settle(groups.groupBy("v").agg(F.max(F.struct("here", "component")).alias("big"), F.count("*").alias("parts")).filter("parts > 1").select("v", F.col("big.component").alias("main")))
-    contested = settle(placed.join(mixed, "v"))
-    bound = _own_share(contested, sets)
-    # A class none of whose possible partners can reach the threshold is out of the question.
-    contested = settle(contested.join(bound, "rep").filter(den * (F.col("n") - F.col("unshared")) >= num * F.col("n")))
-    minor = contested.filter("component <> main").select("v", F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("unshared").alias("ux"))
-    every = contested.select("v", F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("unshared").alias("uy"), (F.col("component") == F.col("main")).alias("major"))
-    most = F.least(F.col("nx") - F.col("ux"), F.col("ny") - F.col("uy"))
-    possible = (den * most >= num * (F.col("nx") + F.col("ny") - most)) & (F.col("cx") != F.col("cy")) & (F.col("major") | (F.col("x") < F.col("y")))
-    minor, every = settle(minor), settle(every)
-    cross = minor.join(every, "v").filter(possible).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    cross = settle(cross.join(stars, ["x", "y"], "left_anti"))
-    second = _compare(cross, sets, num, den, k)
-    return reduce(DataFrame.unionAll, [first, second])
-
-
-def _own_share(contested: DataFrame, sets: DataFrame) -> DataFrame:
-    """(rep, unshared): shingles of a contested class that no other contested class has."""
-
-    def values(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                s = np.frombuffer(batch.column("set")[row].as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), batch.column("id")[row].as_py())), pa.array(s)], names=["rep", "h"])
-
-    ids = contested.select(F.col("rep").alias("id")).distinct()
-    rows = sets.join(ids, "id").mapInArrow(values, "rep long, h long")
-    # A value with one holder names it; others are dropped before the second shuffle.
-    single = rows.groupBy("h").agg(F.count("*").alias("df"), F.first("rep").alias("rep")).filter("df = 1")
-    own = single.groupBy("rep").agg(F.count("*").alias("unshared"))
-    return settle(ids.withColumnRenamed("id", "rep").join(own, "rep", "left").select("rep", F.coalesce("unshared", F.lit(0)).alias("unshared")))
+    second = _rest(stars, sets, comp, num, den, k)
+    return first.unionAll(second)
+
+
+def _rest(stars: DataFrame, sets: DataFrame, comp: DataFrame, num: int, den: int, k: int) -> DataFrame:
+    """Links between classes that met the same centre and are still in different components.
+
+    Of two such classes the shingles that the centre lacks are "foreign". Without a common foreign
+    shingle they share at most what either has in common with the centre; a pair this bound allows
+    is compared. With a common one they meet in the list of one of the rarest foreign shingles
+    (the prefix that any partner must touch). So members of a large group are not paired.
+    """
+    placed = stars.select("x", "y", F.col("nx").alias("n"), (F.col("nx") - F.col("inner")).alias("f"))
+    placed = settle(placed.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("component", F.coalesce("component", "x")))
+    sizes = placed.groupBy("y", "component").agg(F.count("*").alias("here"))
+    mixed = settle(sizes.groupBy("y").agg(F.max(F.struct("here", "component")).alias("big"), F.count("*").alias("parts")).filter("parts > 1").select("y", F.col("big.component").alias("main")))
+    contested = settle(placed.join(mixed, "y"))
+    lone = F.col("component") != F.col("main")
+
+    def sides(rows: DataFrame, *keys: str) -> DataFrame:
+        left = settle(rows.filter(lone).select(*keys, F.col("x").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("component").alias("ca")))
+        right = settle(rows.select(*keys, F.col("x").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("component").alias("cb"), (~lone).alias("major")))
+        once = (F.col("ca") != F.col("cb")) & (F.col("major") | (F.col("a") < F.col("b"))) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
+        return left.join(right, list(keys)).filter(once)
+
+    near = contested.filter(den * (F.col("n") - F.col("f")) >= num * F.col("n"))
+    most = F.least(F.col("na") - F.col("fa"), F.col("nb") - F.col("fb"))
+    plain = sides(near, "y").filter(den * most >= num * (F.col("na") + F.col("nb") - most)).select("a", "b")
+    foreign = settle(_with_sets(contested.select("x", "y"), sets).mapInArrow(_foreign, "x long, y long, h long"))
+    often = settle(foreign.groupBy("y", "h").agg(F.count("*").alias("df")).filter("df > 1"))
+    # Bounded by the shingles of one document.
+    held = foreign.join(often, ["y", "h"]).groupBy("x", "y").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("hs"))
+    held = contested.join(held, ["x", "y"])
+    prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1 - (F.col("f") - F.size("hs"))
+    listed = held.filter(prefix > 0).select("x", "y", "n", "f", "component", "main", F.explode(F.slice("hs", F.lit(1), prefix.cast("int"))).alias("e"))
+    common = sides(listed.withColumn("h", F.col("e.h")).drop("e"), "y", "h").select("a", "b")
+    pairs = plain.unionAll(common).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+    return settle(_with_sets(settle(pairs), sets).mapInArrow(_verify(num, den, k), "x long, y long"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
