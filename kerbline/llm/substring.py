@@ -6,15 +6,16 @@ is avoided: with period 13 and cover {0, 1, 3, 9}, two equal runs of 20 words sh
 
 1. Anchors: hash 8 words at cover positions only (4 of 13).
 2. An anchor met twice makes the 13 windows around it candidates; all others are unique.
-3. Candidate windows are hashed in full (twice 64 bits); all but the earliest are repeats.
+3. Candidate windows are hashed in full (96 bits); all but the earliest are repeats.
 4. The words that repeats cover are removed.
 
-Before each exchange a batch keeps one row for each hash: rows that repeat one of their own batch
-need no partner. So a passage in a third of all texts is a row for each batch, not for each text.
+Before each exchange a batch keeps one place for each hash: places that repeat one of their own
+batch need no partner. So a passage in a third of all texts is a place for each batch, not for each
+text. Places travel packed, by hash bucket.
 
 Defined cases: null and short texts have no window; a document is (id, text), so rows repeated
-with both equal are one document and get equal results; one id with several texts is ordered by a
-hash of the text; a null id comes last.
+with both equal are one document and get equal results; one id with several texts is ordered by
+16 bits of a hash of the text; a null id comes last.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from kerbline.llm.wordhash import pieces, window_hash, words_of
+from kerbline.llm.wordhash import mix, pieces, window_hash, words_of
 
 WINDOW = 20
 PERIOD = 13
@@ -34,41 +35,96 @@ COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 LAST_ID = (1 << 63) - 1
 
-_ANCHORS = "h long, doc_id long, pos int, known boolean"
-_WINDOWS = "h long, h2 long, doc_id long, sign long, pos int, known boolean"
+DOCS_A_BUCKET = 4_096
+_ANCHORS = "bucket int, h binary, doc binary, pos binary"
+_WINDOWS = "bucket int, h binary, h2 binary, doc binary, sign binary, pos binary"
 
 
-def _anchor_rows(batches):
+def _thin(values: np.ndarray) -> bytes:
+    """Unsigned integers in the fewest bytes that hold the largest one."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or int(values.max(initial=0)) < 1 << (8 * w))
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _thick(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{blob[0]}", offset=1).astype(np.int64)
+
+
+def _thin_ids(ids: np.ndarray) -> bytes:
+    """Ascending ids as the first one and the steps."""
+    return int(ids[0]).to_bytes(8, "little", signed=True) + _thin(np.diff(ids).view(np.uint64))
+
+
+def _thick_ids(blob: bytes) -> np.ndarray:
+    steps = np.concatenate([[int.from_bytes(blob[:8], "little", signed=True)], _thick(blob[8:])])
+    return np.cumsum(steps.astype(np.int64))
+
+
+def _dealt(bucket: np.ndarray, doc: np.ndarray, pos: np.ndarray, more: dict[str, np.ndarray], names: list[str]) -> pa.RecordBatch:
+    """One row for each bucket with its places, packed; ``more`` columns travel as they are."""
+    order = np.lexsort((pos, doc, bucket))
+    bucket, doc, pos = bucket[order], doc[order], pos[order]
+    more = {n: c[order] for n, c in more.items()}
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(starts[1:], len(bucket))
+    spans = list(zip(starts.tolist(), ends.tolist(), strict=True))
+    columns = {
+        "bucket": pa.array(bucket[starts].astype(np.int32)),
+        "doc": pa.array([_thin_ids(doc[a:b]) for a, b in spans], pa.binary()),
+        "pos": pa.array([_thin(pos[a:b]) for a, b in spans], pa.binary()),
+        **{n: pa.array([c[a:b].tobytes() for a, b in spans], pa.binary()) for n, c in more.items()},
+    }
+    # Places that need no partner have no hashes.
+    return pa.RecordBatch.from_arrays([columns.get(n, pa.nulls(len(spans), pa.binary())) for n in names], names=names)
+
+
+def _undealt(batches, kinds: dict[str, str]):
+    """Columns doc, pos, known and ``kinds`` of all rows of one shuffle partition."""
+    got: dict[str, list[np.ndarray]] = {n: [] for n in ("doc", "pos", "known", *kinds)}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {n: batch.column(n)[i].as_py() for n in ("doc", "pos", *kinds)}
+            got["doc"].append(_thick_ids(row["doc"]))
+            got["pos"].append(_thick(row["pos"]))
+            n = len(got["pos"][-1])
+            got["known"].append(np.full(n, row["h"] is None))
+            for k, kind in kinds.items():
+                got[k].append(np.zeros(n, kind) if row[k] is None else np.frombuffer(row[k], kind))
+    return {k: np.concatenate(v) for k, v in got.items()} if got["doc"] else None
+
+
+def _anchor_rows(buckets: int):
     cover = np.zeros(PERIOD, dtype=bool)
     cover[list(COVER)] = True
-    for batch in batches:
-        for part in pieces(batch, "text"):
-            ids = pc.fill_null(part.column("doc_id"), LAST_ID).to_numpy(zero_copy_only=False)
-            w = words_of(part.column("text"))
-            h, doc, pos = [], [], []
-            for i in range(len(ids)):
-                n = w.count(i)
-                if n < WINDOW:
+    names = ["bucket", "h", "doc", "pos"]
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, "text", 16 << 20):
+                ids = pc.fill_null(part.column("doc_id"), LAST_ID).to_numpy(zero_copy_only=False)
+                w = words_of(part.column("text"))
+                h, doc, pos = [], [], []
+                for i in range(len(ids)):
+                    n = w.count(i)
+                    if n < WINDOW:
+                        continue
+                    at = np.arange(n - ANCHOR + 1)
+                    at = at[cover[at % PERIOD]]
+                    h.append(window_hash(w.row(i), ANCHOR, at))
+                    doc.append(np.full(len(at), ids[i], dtype=np.int64))
+                    pos.append(at)
+                if not h:
                     continue
-                at = np.arange(n - ANCHOR + 1)
-                at = at[cover[at % PERIOD]]
-                h.append(window_hash(w.row(i), ANCHOR, at))
-                doc.append(np.full(len(at), ids[i], dtype=np.int64))
-                pos.append(at.astype(np.int32))
-            if not h:
-                continue
-            h, doc, pos = np.concatenate(h).view(np.int64), np.concatenate(doc), np.concatenate(pos)
-            _, first, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-            # Rows after the first of their hash are known to repeat; they travel by a key of their
-            # own, so that they don't gather. The first is known as well, but still tells others.
-            known = np.ones(len(h), dtype=bool)
-            known[first] = False
-            key = np.where(known, (doc * 1_000_003) ^ pos.astype(np.int64), h)
-            again = first[count > 1]
-            key = np.concatenate([key, (doc[again] * 1_000_003) ^ pos[again].astype(np.int64)])
-            doc, pos = np.concatenate([doc, doc[again]]), np.concatenate([pos, pos[again]])
-            known = np.concatenate([known, np.ones(len(again), dtype=bool)])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(pos), pa.array(known)], names=["h", "doc_id", "pos", "known"])
+                h, doc, pos = np.concatenate(h), np.concatenate(doc), np.concatenate(pos)
+                _, first, count = np.unique(h, return_index=True, return_counts=True)
+                # Anchors repeated within the part are known; one of them still tells other parts.
+                yield _dealt((h[first] >> np.uint64(16)) % np.uint64(buckets), doc[first], pos[first], {"h": h[first]}, names)
+                known = np.ones(len(h), dtype=bool)
+                known[first[count == 1]] = False
+                if known.any():
+                    yield _dealt(mix(doc[known]) % np.uint64(buckets), doc[known], pos[known], {}, names)
+
+    return run
 
 
 def _packed(columns: list[np.ndarray], pos: np.ndarray, names: list[str]):
@@ -84,55 +140,54 @@ def _packed(columns: list[np.ndarray], pos: np.ndarray, names: list[str]):
     return pa.RecordBatch.from_arrays([*[pa.array(c[starts]) for c in columns], pa.array(blobs, pa.binary())], names=[*names, "at"])
 
 
-def _gather(batches, names):
-    got = [[batch.column(n).to_numpy(zero_copy_only=False) for n in names] for batch in batches if batch.num_rows]
-    return [np.concatenate(c) for c in zip(*got, strict=True)] if got else None
-
-
 def _met_twice(batches):
     """(doc_id, at): anchors whose hash is met again. Holds one shuffle partition."""
-    got = _gather(batches, ["h", "doc_id", "pos", "known"])
+    got = _undealt(batches, {"h": "<u8"})
     if got is None:
         return
-    h, doc, pos, known = got
-    fresh = np.flatnonzero(~known)
-    _, inverse, count = np.unique(h[fresh], return_inverse=True, return_counts=True)
-    keep = known.copy()
+    keep = got["known"].copy()
+    fresh = np.flatnonzero(~keep)
+    _, inverse, count = np.unique(got["h"][fresh], return_inverse=True, return_counts=True)
     keep[fresh[count[inverse] > 1]] = True
-    yield _packed([doc[keep]], pos[keep], ["doc_id"])
+    yield _packed([got["doc"][keep]], got["pos"][keep], ["doc_id"])
 
 
-def _window_rows(batches):
-    for batch in batches:
-        for part in pieces(batch, "text"):
-            ids = pc.fill_null(part.column("doc_id"), LAST_ID).to_numpy(zero_copy_only=False)
-            signs = part.column("sign").to_numpy(zero_copy_only=False)
-            w = words_of(part.column("text"))
-            h, h2, doc, sign, pos = [], [], [], [], []
-            for i in range(len(ids)):
-                n = w.count(i)
-                if n < WINDOW:
+def _window_rows(buckets: int):
+    names = ["bucket", "h", "h2", "doc", "sign", "pos"]
+
+    def run(batches):
+        for batch in batches:
+            for part in pieces(batch, "text", 16 << 20):
+                ids = pc.fill_null(part.column("doc_id"), LAST_ID).to_numpy(zero_copy_only=False)
+                signs = part.column("sign").to_numpy(zero_copy_only=False)
+                w = words_of(part.column("text"))
+                h, h2, doc, sign, pos = [], [], [], [], []
+                for i in range(len(ids)):
+                    n = w.count(i)
+                    if n < WINDOW:
+                        continue
+                    anchors = np.frombuffer(b"".join(part.column("at")[i].as_py()), "<i4").astype(np.int64)
+                    mark = np.zeros(n + PERIOD + 1, dtype=np.int32)
+                    anchors = anchors[anchors <= n - ANCHOR]
+                    np.add.at(mark, np.maximum(anchors - PERIOD + 1, 0), 1)
+                    np.add.at(mark, anchors + 1, -1)
+                    at = np.flatnonzero(np.cumsum(mark)[: n - WINDOW + 1] > 0)
+                    row = w.row(i)
+                    h.append(window_hash(row, WINDOW, at))
+                    h2.append((window_hash(row, WINDOW, at, seed=0x2545F491) >> np.uint64(32)).astype("<u4"))
+                    doc.append(np.full(len(at), ids[i], dtype=np.int64))
+                    sign.append(np.full(len(at), signs[i], dtype="<u2"))
+                    pos.append(at)
+                if not h:
                     continue
-                anchors = np.frombuffer(b"".join(part.column("at")[i].as_py()), "<i4").astype(np.int64)
-                mark = np.zeros(n + PERIOD + 1, dtype=np.int32)
-                anchors = anchors[anchors <= n - ANCHOR]
-                np.add.at(mark, np.maximum(anchors - PERIOD + 1, 0), 1)
-                np.add.at(mark, anchors + 1, -1)
-                at = np.flatnonzero(np.cumsum(mark)[: n - WINDOW + 1] > 0)
-                row = w.row(i)
-                h.append(window_hash(row, WINDOW, at))
-                h2.append(window_hash(row, WINDOW, at, seed=0x2545F491))
-                doc.append(np.full(len(at), ids[i], dtype=np.int64))
-                sign.append(np.full(len(at), signs[i], dtype=np.int64))
-                pos.append(at.astype(np.int32))
-            if not h:
-                continue
-            cols = [np.concatenate(c) for c in (h, h2, doc, sign, pos)]
-            cols[:2] = [c.view(np.int64) for c in cols[:2]]
-            h, h2, doc, sign, pos = cols
-            late = _not_earliest(h, h2, doc, sign, pos)
-            key = np.where(late, (doc * 1_000_003) ^ pos.astype(np.int64), h)
-            yield pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(c) for c in (h2, doc, sign, pos, late)]], names=["h", "h2", "doc_id", "sign", "pos", "known"])
+                h, h2, doc, sign, pos = (np.concatenate(c) for c in (h, h2, doc, sign, pos))
+                late = _not_earliest(h, h2, doc, sign, pos)
+                for some, more in ((~late, {"h": h, "h2": h2}), (late, {})):
+                    if some.any():
+                        bucket = ((h if more else mix(doc)) >> np.uint64(16)) % np.uint64(buckets)
+                        yield _dealt(bucket[some], doc[some], pos[some], {n: c[some] for n, c in {**more, "sign": sign}.items()}, names)
+
+    return run
 
 
 def _not_earliest(h, h2, doc, sign, pos) -> np.ndarray:
@@ -151,26 +206,25 @@ def _not_earliest(h, h2, doc, sign, pos) -> np.ndarray:
 
 def _repeats(batches):
     """(doc_id, sign, at): windows that start earlier elsewhere. Holds one shuffle partition."""
-    got = _gather(batches, ["h", "h2", "doc_id", "sign", "pos", "known"])
+    got = _undealt(batches, {"h": "<u8", "h2": "<u4", "sign": "<u2"})
     if got is None:
         return
-    h, h2, doc, sign, pos, late = got
-    late = late.copy()
+    late = got["known"].copy()
     fresh = np.flatnonzero(~late)
-    late[fresh] = _not_earliest(h[fresh], h2[fresh], doc[fresh], sign[fresh], pos[fresh])
-    yield _packed([doc[late], sign[late]], pos[late], ["doc_id", "sign"])
+    late[fresh] = _not_earliest(*[got[n][fresh] for n in ("h", "h2", "doc", "sign", "pos")])
+    yield _packed([got["doc"][late], got["sign"][late].astype(np.int32)], got["pos"][late], ["doc_id", "sign"])
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
+def repeated_windows(docs: DataFrame, buckets: int) -> DataFrame:
     """(doc_id, sign, at): starts of windows to remove, by document; ``docs`` has doc_id, text, sign."""
-    anchors = docs.select("doc_id", "text").mapInArrow(_anchor_rows, _ANCHORS)
-    met = anchors.repartition("h").mapInArrow(_met_twice, "doc_id long, at binary")
+    anchors = docs.select("doc_id", "text").mapInArrow(_anchor_rows(buckets), _ANCHORS)
+    met = anchors.repartition(buckets, "bucket").mapInArrow(_met_twice, "doc_id long, at binary")
     # Bounded by the places of one document.
     met = met.groupBy("doc_id").agg(F.collect_list("at").alias("at"))
     key = F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
     near = docs.withColumn("__key", key).join(met.withColumnRenamed("doc_id", "__key"), "__key").select("doc_id", "sign", "text", "at")
-    windows = near.mapInArrow(_window_rows, _WINDOWS)
-    late = windows.repartition("h").mapInArrow(_repeats, "doc_id long, sign long, at binary")
+    windows = near.mapInArrow(_window_rows(buckets), _WINDOWS)
+    late = windows.repartition(buckets, "bucket").mapInArrow(_repeats, "doc_id long, sign int, at binary")
     return late.groupBy("doc_id", "sign").agg(F.collect_list("at").alias("at"))
 
 
@@ -219,8 +273,10 @@ def _without(raw: bytes, gone: np.ndarray) -> str:
 
 
 def _joined(docs: DataFrame) -> DataFrame:
-    signed = docs.withColumn("sign", F.xxhash64(F.coalesce("text", F.lit(""))))
-    late = repeated_windows(signed.select("doc_id", "text", "sign"))
+    signed = docs.withColumn("sign", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 16)).cast("int"))
+    # Buckets hold about as much whatever the size of the table.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    late = repeated_windows(signed.select("doc_id", "text", "sign"), max(least, -(-docs.count() // DOCS_A_BUCKET)))
     late = late.select(F.col("doc_id").alias("__id"), F.col("sign").alias("__sign"), "at")
     same = (F.coalesce(signed["doc_id"], F.lit(LAST_ID)) == F.col("__id")) & (signed["sign"] == F.col("__sign"))
     return signed.join(late, same, "left").drop("__id", "__sign")
@@ -236,6 +292,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows with repeated passages cut out of ``text``; other columns stay as they are."""
     kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = _joined(docs.select(kept, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    schema = f"row {docs.select(kept).schema['row'].dataType.simpleString()}, text string"
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("text", T.StringType())])
     out = rows.select("row", "text", "sign", "at").mapInArrow(_strip(True), schema)
     return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
