@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kerbline.llm import langid, neardup, packing, pii, quality, substring, tokens, topk
+from kerbline.llm import langid, neardup, packing, pii, quality, substring, tokens, topk, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -90,3 +90,12 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(~held))
     out = langid.predict(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held = bucket(5) == 0
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
