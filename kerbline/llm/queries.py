@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kerbline.llm import langid, neardup, packing, pii, quality, substring, tokens, topk, toxicity
+from kerbline.llm import langid, neardup, packing, pii, quality, substring, tokens, topk, toxicity, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -99,3 +99,23 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held))
     out = toxicity.score(docs, model)
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, h, upper(sha1(h)) AS x,
+  min(page_id) OVER (PARTITION BY h) AS first FROM p),
+f AS (SELECT *, list_transform(range(8), lambda g: list_sum(list_transform(range(5), lambda i:
+  (instr('0123456789ABCDEF', substr(x, CAST(5 * g + i + 1 AS BIGINT), 1)) - 1) * CAST(power(16, 4 - i) AS BIGINT)))) AS v FROM d)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST(v[k // 4 + 1] AS BIGINT) // CAST(power(32, 3 - k % 4) AS BIGINT)) % 32 + 1 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to FROM f
+"""
+
+
+@query(sql=OP1_SQL)
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archive(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
