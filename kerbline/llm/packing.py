@@ -4,9 +4,9 @@ Texts become pieces of at most ``CAPACITY`` tokens. Full pieces are sequences of
 rest is dealt at random to blocks of about ``BLOCK`` pieces, and each block evolves on ``ISLANDS``
 islands. A chromosome is a grouping of pieces into bins. Crossover takes whole well-filled bins
 of one parent, drops the other's bins that hold the same pieces, and puts the displaced pieces
-back by best fit. Between epochs an island receives the elites of its neighbour. Bins that are
-left poorly filled go, with those of other blocks, into new blocks, until one block is left; so
-the waste is a few bins in all, not in each block. A block at its lower bound stops early.
+back by best fit. Between epochs an island receives the elites of its neighbour. The emptiest
+eighth of a block's bins goes, with those of other blocks, into new blocks, until one block is
+left; so the waste is a few bins in all, not in each block. A block at its lower bound stops early.
 
 Defined cases: null and empty texts are one piece of one token; repeated rows are packed as often
 as they occur (a piece is a row, not an id); an empty table gives no rows.
@@ -32,6 +32,7 @@ EPOCHS = 2
 GENERATIONS = 6
 POPULATION = 4
 FULL_ENOUGH = 0.98
+LOOSE_SHARE = 8
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -178,8 +179,10 @@ def _island(capacity: int, generations: int, population: int):
     return run
 
 
-def _pack_blocks(rows: DataFrame, capacity: int, islands: int, epochs: int, generations: int, population: int) -> DataFrame:
-    """Rows with ``block`` gain bin, offset and fill within their block."""
+def _pack_blocks(rows: DataFrame, n_blocks: int, capacity: int, islands: int, epochs: int, generations: int, population: int) -> DataFrame:
+    """Rows with ``block`` gain bin, offset and whether the bin is to be packed again, within their block."""
+    # A block is little data but much work: tasks are counted by blocks, not by bytes.
+    most = 4 * rows.sparkSession.sparkContext.defaultParallelism
     # A block holds about BLOCK pieces whatever the table holds.
     blocks = settle(rows.groupBy("block").agg(F.sort_array(F.collect_list(F.struct(F.col("length").alias("length"), "salt", "doc_id", "piece", "start", "ids_crc32")), asc=False).alias("items")))
     sized = blocks.select("block", F.transform("items", lambda x: x["length"].cast("int")).alias("sizes"))
@@ -194,7 +197,7 @@ def _pack_blocks(rows: DataFrame, capacity: int, islands: int, epochs: int, gene
             moved = elites.unionAll(elites.withColumn("island", ((F.col("island") + 1) % islands).cast("int")))
             guests = moved.groupBy("block", "island").agg(F.collect_list("labels").alias("guests"))
             here = homes.join(guests, ["block", "island"])
-        here = here.select("block", "island", "sizes", "guests").repartition("block", "island")
+        here = here.select("block", "island", "sizes", "guests").repartition(min(n_blocks * islands, most))
         elites = settle(here.mapInArrow(_island(capacity, generations, population), schema))
     best = elites.groupBy("block").agg(F.min_by("labels", F.struct("bins", -F.col("squares"), "island")).alias("labels"))
 
@@ -209,15 +212,19 @@ def _pack_blocks(rows: DataFrame, capacity: int, islands: int, epochs: int, gene
                 starts = np.flatnonzero(np.diff(labels[order], prepend=-1))
                 offset = np.zeros(len(sizes), dtype=np.int64)
                 offset[order] = run - np.repeat(run[starts], np.diff(np.append(starts, len(order))))
-                fill = np.bincount(labels, weights=sizes).astype(np.int64)[labels]
+                fill = np.bincount(labels, weights=sizes)
+                emptiest = np.argsort(fill, kind="stable")[: -(-len(fill) // LOOSE_SHARE)]
+                loose = np.zeros(len(fill), dtype=bool)
+                loose[emptiest] = fill[emptiest] < FULL_ENOUGH * capacity
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "salt"]
                 block = batch.column("block")[i].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [*[items.field(c) for c in names], pa.array(np.full(len(sizes), block)), pa.array(labels.astype(np.int64)), pa.array(offset), pa.array(fill)],
-                    names=[*names, "block", "bin", "offset", "fill"],
+                    [*[items.field(c) for c in names], pa.array(np.full(len(sizes), block)), pa.array(labels.astype(np.int64)), pa.array(offset), pa.array(loose[labels])],
+                    names=[*names, "block", "bin", "offset", "loose"],
                 )
 
-    return blocks.join(best, "block").select("block", "items", "labels").mapInArrow(place, f"{_PIECE}, salt long, block long, bin long, offset long, fill long")
+    solved = blocks.join(best, "block").select("block", "items", "labels").repartition(min(n_blocks, most))
+    return solved.mapInArrow(place, f"{_PIECE}, salt long, block long, bin long, offset long, loose boolean")
 
 
 def pack(
@@ -235,16 +242,13 @@ def pack(
     level, n = 0, left.count()
     while n:
         blocks = -(-n // block)
-        packed = settle(_pack_blocks(left.withColumn("block", F.pmod(F.col("salt"), F.lit(blocks)).cast("long")), capacity, islands, epochs, generations, population))
+        packed = settle(_pack_blocks(left.withColumn("block", F.pmod(F.col("salt"), F.lit(blocks)).cast("long")), blocks, capacity, islands, epochs, generations, population))
         last = blocks == 1
-        good = packed if last else packed.filter(F.col("fill") >= FULL_ENOUGH * capacity)
+        good = packed if last else packed.filter(~F.col("loose"))
         number = F.lit(level << 56) + F.col("block") * (1 << 20) + F.col("bin")
         done = done.unionAll(good.select("doc_id", "piece", "start", "length", "ids_crc32", number.cast("long").alias("sequence_id"), F.col("offset")))
         if last:
             break
-        left = packed.filter(F.col("fill") < FULL_ENOUGH * capacity).select("doc_id", "piece", "start", "length", "ids_crc32", F.shiftright(F.xxhash64("salt", "doc_id"), 12).alias("salt"))
-        before, n, level = n, left.count(), level + 1
-        if n >= before:
-            # Nothing could be filled: larger blocks are the only way on.
-            block *= 2
+        left = packed.filter("loose").select("doc_id", "piece", "start", "length", "ids_crc32", F.shiftright(F.xxhash64("salt", "doc_id"), 12).alias("salt"))
+        n, level = left.count(), level + 1
     return done
