@@ -234,8 +234,6 @@ class Scorer:
         self.logs = np.zeros((STORED_WORDS, len(model.languages)))
 
     def learn(self, words: list[str]) -> None:
-        if len(self.place) + len(words) > STORED_WORDS:
-            self.place.clear()
         for at, chars in _rows(words).values():
             step = max(1, 2_000_000 // (chars.shape[1] * 16 * len(self.model.languages)))
             for low in range(0, len(at), step):
@@ -247,6 +245,8 @@ class Scorer:
                     self.place[words[i]] = first + j
 
     def texts(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        if not self.model.languages:
+            return ["und"] * len(texts), [0.0] * len(texts)
         split = [(t or "").lower().split() for t in texts]
         labels, scores, low = [], [], 0
         while low < len(split):
@@ -275,7 +275,7 @@ class Scorer:
                         sums[k - low] += self.logs[[self.place[w] for w in some]].sum(axis=0)
             for k in range(low, high):
                 text = texts[k]
-                if not self.model.languages or text is None or not any(map(str.isalpha, text)):
+                if text is None or not any(map(str.isalpha, text)):
                     labels.append("und")
                     scores.append(0.0)
                     continue

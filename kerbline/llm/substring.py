@@ -135,7 +135,7 @@ def _packed(columns: list[np.ndarray], pos: np.ndarray, names: list[str]):
     if len(pos):
         new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
     starts = np.flatnonzero(new)
-    ends = np.append(starts[1:], len(pos))
+    ends = np.append(starts[1:], len(pos))[: len(starts)]
     blobs = [pos[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
     return pa.RecordBatch.from_arrays([*[pa.array(c[starts]) for c in columns], pa.array(blobs, pa.binary())], names=[*names, "at"])
 
