@@ -11,7 +11,7 @@ is avoided: with period 13 and cover {0, 1, 3, 9}, two equal runs of 20 words sh
 
 Before each exchange a batch keeps one place for each hash: places that repeat one of their own
 batch need no partner. So a passage in a third of all texts is a place for each batch, not for each
-text. Places travel packed, by hash bucket.
+text. Places travel packed by hash bucket, texts compressed by document bucket.
 
 Defined cases: null and short texts have no window; a document is (id, text), so rows repeated
 with both equal are one document and get equal results; one id with several texts is ordered by
@@ -36,7 +36,8 @@ ANCHOR = WINDOW - PERIOD + 1
 LAST_ID = (1 << 63) - 1
 
 DOCS_A_BUCKET = 4_096
-_ANCHORS = "bucket int, h binary, doc binary, pos binary"
+_PLACES = "bucket int, doc binary, sign binary, pos binary"
+_ANCHORS = "bucket int, h binary, doc binary, sign binary, pos binary"
 _WINDOWS = "bucket int, h binary, h2 binary, doc binary, sign binary, pos binary"
 
 
@@ -87,23 +88,33 @@ def _undealt(batches, kinds: dict[str, str]):
             got["doc"].append(_thick_ids(row["doc"]))
             got["pos"].append(_thick(row["pos"]))
             n = len(got["pos"][-1])
-            got["known"].append(np.full(n, row["h"] is None))
+            got["known"].append(np.full(n, row.get("h") is None))
             for k, kind in kinds.items():
                 got[k].append(np.zeros(n, kind) if row[k] is None else np.frombuffer(row[k], kind))
     return {k: np.concatenate(v) for k, v in got.items()} if got["doc"] else None
 
 
+def _keys(part) -> tuple[np.ndarray, np.ndarray]:
+    ids = pc.fill_null(part.column("doc_id"), LAST_ID).to_numpy(zero_copy_only=False)
+    return ids, part.column("sign").to_numpy(zero_copy_only=False).astype("<u2")
+
+
+def _home(doc: np.ndarray, sign: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a document; the sign spreads rows without an id."""
+    return mix(doc.astype(np.int64).view(np.uint64) ^ (sign.astype(np.uint64) << np.uint64(40))) % np.uint64(buckets)
+
+
 def _anchor_rows(buckets: int):
     cover = np.zeros(PERIOD, dtype=bool)
     cover[list(COVER)] = True
-    names = ["bucket", "h", "doc", "pos"]
+    names = ["bucket", "h", "doc", "sign", "pos"]
 
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text", 16 << 20):
-                ids = pc.fill_null(part.column("doc_id"), LAST_ID).to_numpy(zero_copy_only=False)
+                ids, signs = _keys(part)
                 w = words_of(part.column("text"))
-                h, doc, pos = [], [], []
+                h, doc, sign, pos = [], [], [], []
                 for i in range(len(ids)):
                     n = w.count(i)
                     if n < WINDOW:
@@ -112,80 +123,116 @@ def _anchor_rows(buckets: int):
                     at = at[cover[at % PERIOD]]
                     h.append(window_hash(w.row(i), ANCHOR, at))
                     doc.append(np.full(len(at), ids[i], dtype=np.int64))
+                    sign.append(np.full(len(at), signs[i], dtype="<u2"))
                     pos.append(at)
                 if not h:
                     continue
-                h, doc, pos = np.concatenate(h), np.concatenate(doc), np.concatenate(pos)
+                h, doc, sign, pos = (np.concatenate(c) for c in (h, doc, sign, pos))
                 _, first, count = np.unique(h, return_index=True, return_counts=True)
                 # Anchors repeated within the part are known; one of them still tells other parts.
-                yield _dealt((h[first] >> np.uint64(16)) % np.uint64(buckets), doc[first], pos[first], {"h": h[first]}, names)
+                yield _dealt((h[first] >> np.uint64(16)) % np.uint64(buckets), doc[first], pos[first], {"h": h[first], "sign": sign[first]}, names)
                 known = np.ones(len(h), dtype=bool)
                 known[first[count == 1]] = False
                 if known.any():
-                    yield _dealt(mix(doc[known]) % np.uint64(buckets), doc[known], pos[known], {}, names)
+                    doc, sign, pos = doc[known], sign[known], pos[known]
+                    yield _dealt(_home(doc, sign, buckets), doc, pos, {"sign": sign}, names)
 
     return run
 
 
-def _packed(columns: list[np.ndarray], pos: np.ndarray, names: list[str]):
-    """One row for each distinct key with its places as little-endian 32-bit integers."""
-    order = np.lexsort((pos, *columns[::-1]))
-    columns, pos = [c[order] for c in columns], pos[order].astype("<i4")
-    new = np.ones(len(pos), dtype=bool)
-    if len(pos):
-        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-    starts = np.flatnonzero(new)
-    ends = np.append(starts[1:], len(pos))[: len(starts)]
-    blobs = [pos[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
-    return pa.RecordBatch.from_arrays([*[pa.array(c[starts]) for c in columns], pa.array(blobs, pa.binary())], names=[*names, "at"])
+def _met_twice(buckets: int):
+    """Places of anchors whose hash is met again, by home bucket. Holds one shuffle partition."""
 
+    def run(batches):
+        got = _undealt(batches, {"h": "<u8", "sign": "<u2"})
+        if got is None:
+            return
+        keep = got["known"].copy()
+        fresh = np.flatnonzero(~keep)
+        _, inverse, count = np.unique(got["h"][fresh], return_inverse=True, return_counts=True)
+        keep[fresh[count[inverse] > 1]] = True
+        doc, sign, pos = (got[n][keep] for n in ("doc", "sign", "pos"))
+        if len(doc):
+            yield _dealt(_home(doc, sign, buckets), doc, pos, {"sign": sign}, ["bucket", "doc", "sign", "pos"])
 
-def _met_twice(batches):
-    """(doc_id, at): anchors whose hash is met again. Holds one shuffle partition."""
-    got = _undealt(batches, {"h": "<u8"})
-    if got is None:
-        return
-    keep = got["known"].copy()
-    fresh = np.flatnonzero(~keep)
-    _, inverse, count = np.unique(got["h"][fresh], return_inverse=True, return_counts=True)
-    keep[fresh[count[inverse] > 1]] = True
-    yield _packed([got["doc"][keep]], got["pos"][keep], ["doc_id"])
+    return run
 
 
-def _window_rows(buckets: int):
-    names = ["bucket", "h", "h2", "doc", "sign", "pos"]
+def _pack_docs(buckets: int):
+    """Rows by home bucket, as compressed Arrow batches."""
 
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text", 16 << 20):
-                ids = pc.fill_null(part.column("doc_id"), LAST_ID).to_numpy(zero_copy_only=False)
-                signs = part.column("sign").to_numpy(zero_copy_only=False)
-                w = words_of(part.column("text"))
-                h, h2, doc, sign, pos = [], [], [], [], []
-                for i in range(len(ids)):
-                    n = w.count(i)
-                    if n < WINDOW:
-                        continue
-                    anchors = np.frombuffer(b"".join(part.column("at")[i].as_py()), "<i4").astype(np.int64)
-                    mark = np.zeros(n + PERIOD + 1, dtype=np.int32)
-                    anchors = anchors[anchors <= n - ANCHOR]
-                    np.add.at(mark, np.maximum(anchors - PERIOD + 1, 0), 1)
-                    np.add.at(mark, anchors + 1, -1)
-                    at = np.flatnonzero(np.cumsum(mark)[: n - WINDOW + 1] > 0)
-                    row = w.row(i)
-                    h.append(window_hash(row, WINDOW, at))
-                    h2.append((window_hash(row, WINDOW, at, seed=0x2545F491) >> np.uint64(32)).astype("<u4"))
-                    doc.append(np.full(len(at), ids[i], dtype=np.int64))
-                    sign.append(np.full(len(at), signs[i], dtype="<u2"))
-                    pos.append(at)
-                if not h:
+                home = _home(*_keys(part), buckets)
+                order = np.argsort(home, kind="stable")
+                part, home = part.take(pa.array(order)), home[order]
+                starts = np.flatnonzero(np.diff(home.astype(np.int64), prepend=-1))
+                blobs = []
+                for a, b in zip(starts.tolist(), [*starts.tolist()[1:], len(home)], strict=True):
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                        out.write_batch(part.slice(a, b - a))
+                    blobs.append(sink.getvalue().to_pybytes())
+                yield pa.RecordBatch.from_arrays([pa.array(home[starts].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "rows"])
+
+    return run
+
+
+def _unpacked(docs: pa.Table, places: pa.Table):
+    """(rows, places by document) of one bucket, a packed batch at a time."""
+    found: dict[tuple[int, int], np.ndarray] = {}
+    got = _undealt(places.to_batches(), {"sign": "<u2"})
+    if got is not None:
+        order = np.lexsort((got["pos"], got["sign"], got["doc"]))
+        doc, sign, pos = (got[n][order] for n in ("doc", "sign", "pos"))
+        new = np.ones(len(doc), dtype=bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (sign[1:] != sign[:-1])
+        starts = np.flatnonzero(new).tolist()
+        for a, b in zip(starts, [*starts[1:], len(doc)], strict=True):
+            found[int(doc[a]), int(sign[a])] = pos[a:b]
+    for blob in docs.column("rows").to_pylist():
+        with pa.ipc.open_stream(blob) as stream:
+            for batch in stream:
+                yield batch, found
+
+
+def _window_rows(buckets: int):
+    names = ["bucket", "h", "h2", "doc", "sign", "pos"]
+
+    def run(docs: pa.Table, places: pa.Table) -> pa.Table:
+        out = []
+        for part, found in _unpacked(docs, places):
+            ids, signs = _keys(part)
+            mine = [i for i in range(len(ids)) if (int(ids[i]), int(signs[i])) in found]
+            part, ids, signs = part.take(pa.array(mine, pa.int64())), ids[mine], signs[mine]
+            w = words_of(part.column("text"))
+            h, h2, doc, sign, pos = [], [], [], [], []
+            for i in range(len(ids)):
+                n = w.count(i)
+                if n < WINDOW:
                     continue
-                h, h2, doc, sign, pos = (np.concatenate(c) for c in (h, h2, doc, sign, pos))
-                late = _not_earliest(h, h2, doc, sign, pos)
-                for some, more in ((~late, {"h": h, "h2": h2}), (late, {})):
-                    if some.any():
-                        bucket = ((h if more else mix(doc)) >> np.uint64(16)) % np.uint64(buckets)
-                        yield _dealt(bucket[some], doc[some], pos[some], {n: c[some] for n, c in {**more, "sign": sign}.items()}, names)
+                anchors = found[int(ids[i]), int(signs[i])]
+                mark = np.zeros(n + PERIOD + 1, dtype=np.int32)
+                anchors = anchors[anchors <= n - ANCHOR]
+                np.add.at(mark, np.maximum(anchors - PERIOD + 1, 0), 1)
+                np.add.at(mark, anchors + 1, -1)
+                at = np.flatnonzero(np.cumsum(mark)[: n - WINDOW + 1] > 0)
+                row = w.row(i)
+                h.append(window_hash(row, WINDOW, at))
+                h2.append((window_hash(row, WINDOW, at, seed=0x2545F491) >> np.uint64(32)).astype("<u4"))
+                doc.append(np.full(len(at), ids[i], dtype=np.int64))
+                sign.append(np.full(len(at), signs[i], dtype="<u2"))
+                pos.append(at)
+            if not h:
+                continue
+            h, h2, doc, sign, pos = (np.concatenate(c) for c in (h, h2, doc, sign, pos))
+            late = _not_earliest(h, h2, doc, sign, pos)
+            for some, more in ((~late, {"h": h, "h2": h2}), (late, {})):
+                if some.any():
+                    bucket = (h >> np.uint64(16)) % np.uint64(buckets) if more else _home(doc, sign, buckets)
+                    out.append(_dealt(bucket[some], doc[some], pos[some], {n: c[some] for n, c in {**more, "sign": sign}.items()}, names))
+        return pa.Table.from_batches(out, pa.schema([("bucket", pa.int32()), *[(n, pa.binary()) for n in names[1:]]]))
 
     return run
 
@@ -204,41 +251,37 @@ def _not_earliest(h, h2, doc, sign, pos) -> np.ndarray:
     return late
 
 
-def _repeats(batches):
-    """(doc_id, sign, at): windows that start earlier elsewhere. Holds one shuffle partition."""
-    got = _undealt(batches, {"h": "<u8", "h2": "<u4", "sign": "<u2"})
-    if got is None:
-        return
-    late = got["known"].copy()
-    fresh = np.flatnonzero(~late)
-    late[fresh] = _not_earliest(*[got[n][fresh] for n in ("h", "h2", "doc", "sign", "pos")])
-    yield _packed([got["doc"][late], got["sign"][late].astype(np.int32)], got["pos"][late], ["doc_id", "sign"])
+def _repeats(buckets: int):
+    """Places of windows that start earlier elsewhere, by home bucket. Holds one shuffle partition."""
 
+    def run(batches):
+        got = _undealt(batches, {"h": "<u8", "h2": "<u4", "sign": "<u2"})
+        if got is None:
+            return
+        late = got["known"].copy()
+        fresh = np.flatnonzero(~late)
+        late[fresh] = _not_earliest(*[got[n][fresh] for n in ("h", "h2", "doc", "sign", "pos")])
+        doc, sign, pos = (got[n][late] for n in ("doc", "sign", "pos"))
+        if len(doc):
+            yield _dealt(_home(doc, sign, buckets), doc, pos, {"sign": sign}, ["bucket", "doc", "sign", "pos"])
 
-def repeated_windows(docs: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, sign, at): starts of windows to remove, by document; ``docs`` has doc_id, text, sign."""
-    anchors = docs.select("doc_id", "text").mapInArrow(_anchor_rows(buckets), _ANCHORS)
-    met = anchors.repartition(buckets, "bucket").mapInArrow(_met_twice, "doc_id long, at binary")
-    # Bounded by the places of one document.
-    met = met.groupBy("doc_id").agg(F.collect_list("at").alias("at"))
-    key = F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
-    near = docs.withColumn("__key", key).join(met.withColumnRenamed("doc_id", "__key"), "__key").select("doc_id", "sign", "text", "at")
-    windows = near.mapInArrow(_window_rows(buckets), _WINDOWS)
-    late = windows.repartition(buckets, "bucket").mapInArrow(_repeats, "doc_id long, sign int, at binary")
-    return late.groupBy("doc_id", "sign").agg(F.collect_list("at").alias("at"))
+    return run
 
 
 def _strip(keep_text: bool):
     """Words without the covered ones: counts, hash and, if asked for, the text."""
 
-    def run(batches):
-        for batch in batches:
-            texts, at = batch.column("text"), batch.column("at")
-            total, removed, hashes, out = [], [], [], []
+    def run(docs: pa.Table, places: pa.Table) -> pa.Table:
+        done = []
+        for batch, found in _unpacked(docs, places):
+            texts = batch.column("text")
+            ids, signs = _keys(batch)
+            total, removed, last = [], [], []
             for i in range(batch.num_rows):
-                raw = (texts[i].as_py() or "").encode()
+                text = texts[i].as_py()
+                raw = (text or "").encode()
                 words = raw.split()
-                starts = np.frombuffer(b"".join(at[i].as_py() or []), "<i4")
+                starts = found.get((int(ids[i]), int(signs[i])), np.zeros(0, np.int64))
                 gone = np.zeros(len(words) + 1, dtype=np.int32)
                 starts = starts[starts <= len(words) - WINDOW]
                 np.add.at(gone, starts, 1)
@@ -248,15 +291,19 @@ def _strip(keep_text: bool):
                 total.append(len(words))
                 removed.append(n)
                 if keep_text:
-                    out.append(raw.decode() if n == 0 else _without(raw, gone))
-                    if texts[i].as_py() is None:
-                        out[-1] = None
+                    last.append(text if n == 0 else _without(raw, gone))
                 else:
                     kept = [w for w, g in zip(words, gone, strict=True) if not g] if n else words
-                    hashes.append(hashlib.sha256(b" ".join(kept)).hexdigest())
-            names = [c for c in batch.schema.names if c not in ("text", "at", "sign")]
-            more = {"text": pa.array(out, pa.string())} if keep_text else {"n_words": pa.array(total, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(hashes, pa.string())}
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], *more.values()], names=[*names, *more])
+                    last.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+            if keep_text:
+                columns = {"row": batch.column("row"), "text": pa.array(last, pa.string())}
+            else:
+                columns = {"doc_id": batch.column("doc_id"), "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(last, pa.string())}
+            done.append(pa.RecordBatch.from_pydict(columns))
+        if done:
+            return pa.Table.from_batches(done)
+        names = ("row", "text") if keep_text else ("doc_id", "n_words", "n_removed", "kept_sha256")
+        return pa.table({n: pa.nulls(0) for n in names})
 
     return run
 
@@ -272,26 +319,32 @@ def _without(raw: bytes, gone: np.ndarray) -> str:
     return b"".join(spans).decode()
 
 
-def _joined(docs: DataFrame) -> DataFrame:
+def _stripped(docs: DataFrame, keep_text: bool, schema) -> DataFrame:
+    """Find the repeats of (doc_id, text, ...) rows and cut them out."""
     signed = docs.withColumn("sign", F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 16)).cast("int"))
     # Buckets hold about as much whatever the size of the table.
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    late = repeated_windows(signed.select("doc_id", "text", "sign"), max(least, -(-docs.count() // DOCS_A_BUCKET)))
-    late = late.select(F.col("doc_id").alias("__id"), F.col("sign").alias("__sign"), "at")
-    same = (F.coalesce(signed["doc_id"], F.lit(LAST_ID)) == F.col("__id")) & (signed["sign"] == F.col("__sign"))
-    return signed.join(late, same, "left").drop("__id", "__sign")
+    buckets = max(least, -(-docs.count() // DOCS_A_BUCKET))
+    narrow = signed.select("doc_id", "text", "sign")
+    anchors = narrow.mapInArrow(_anchor_rows(buckets), _ANCHORS)
+    met = anchors.repartition(buckets, "bucket").mapInArrow(_met_twice(buckets), _PLACES)
+    packed = "bucket int, rows binary"
+    near = narrow.mapInArrow(_pack_docs(buckets), packed).groupBy("bucket").cogroup(met.groupBy("bucket"))
+    windows = near.applyInArrow(_window_rows(buckets), _WINDOWS)
+    late = windows.repartition(buckets, "bucket").mapInArrow(_repeats(buckets), _PLACES)
+    return signed.mapInArrow(_pack_docs(buckets), packed).groupBy("bucket").cogroup(late.groupBy("bucket")).applyInArrow(_strip(keep_text), schema)
 
 
 def removed_words(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of each row."""
-    rows = _joined(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    return rows.select("doc_id", "text", "sign", "at").mapInArrow(_strip(False), "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _stripped(rows, False, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows with repeated passages cut out of ``text``; other columns stay as they are."""
-    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = _joined(docs.select(kept, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
-    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("text", T.StringType())])
-    out = rows.select("row", "text", "sign", "at").mapInArrow(_strip(True), schema)
-    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+    others = [c for c in docs.columns if c != "text"]
+    kept = F.struct(*[F.col(f"`{c}`") for c in others]).alias("row")
+    rows = docs.select(kept, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("text", T.StringType())])
+    return _stripped(rows, True, schema).select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
