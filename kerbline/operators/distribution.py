@@ -10,8 +10,8 @@ from kerbline.columns import col, measured, numeric, present
 from kerbline.functions.rules import bin_edge, bucket
 from kerbline.operators.profiling import coalesced_extremes, melted
 from kerbline.operators.sampling import sample_at_most
-from kerbline.profile import KS_SAMPLE, NOT_NORMAL_P_BELOW
-from kerbline.scale import cumulative_counts, long_values, quantile, value_counts_long
+from kerbline.profile import NOT_NORMAL_P_BELOW
+from kerbline.scale import cumulative_counts, long_values, quantile, settle, value_counts_long
 
 APPROX_ACCURACY = 10_000
 FEWEST_DESCRIBED = 10
@@ -136,20 +136,27 @@ def density_grid(df: DataFrame, x: str, y: str, bins: int = 40) -> DataFrame:
     )
 
 
-def ks_normal(df: DataFrame, name: str, key: str, n: int = KS_SAMPLE, seed: int = 42) -> DataFrame:
-    """Kolmogorov-Smirnov test of a sample against the normal fitted to it."""
+def ks_normal(df: DataFrame, name: str, key: str, n: int | None = None, seed: int = 42) -> DataFrame:
+    """Kolmogorov-Smirnov test of a column against the normal fitted to it.
+
+    Every measured value is tested, unless a sample of ``n`` is asked for. With
+    fewer than two values, or a single distinct one, no normal can be fitted:
+    statistic, p-value and verdict are null and the status is SKIPPED.
+    """
     from pyspark.ml.stat import KolmogorovSmirnovTest
 
     values = df.select(col(key).alias("k"), numeric(name).alias("v")).filter(measured(F.col("v")))
-    # At most ``n`` rows, read three times below.
-    sample = sample_at_most(values, n, "k", seed).persist()
-    fit = sample.agg(F.avg("v").alias("m"), F.stddev("v").alias("s")).first()
-    result = KolmogorovSmirnovTest.test(sample, "v", "norm", float(fit["m"]), float(fit["s"]))
-    out = result.select(
+    values = settle(values if n is None else sample_at_most(values, n, "k", seed))
+    fit = values.agg(F.avg("v").alias("m"), F.stddev("v").alias("s"), F.count("*").alias("n")).first()
+    if fit["n"] < 2 or not fit["s"]:
+        return df.sparkSession.createDataFrame(
+            [(name, None, None, None, "SKIPPED")], "column string, ks_statistic double, p_value double, not_normal boolean, status string"
+        )
+    result = KolmogorovSmirnovTest.test(values, "v", "norm", float(fit["m"]), float(fit["s"]))
+    return result.select(
         F.lit(name).alias("column"),
         F.round("statistic", 4).alias("ks_statistic"),
         F.round("pValue", 6).alias("p_value"),
         (F.col("pValue") < NOT_NORMAL_P_BELOW).alias("not_normal"),
+        F.lit("DONE").alias("status"),
     )
-    sample.unpersist()
-    return out

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kerbline.columns import col, measured, numeric
 from kerbline.functions import features
 from kerbline.profile import ROAD, Profile
-from kerbline.scale import attach_by_key, settle
+from kerbline.scale import attach_by_key, scratch_path, settle
 
 LABEL_OUTPUT = "label"
 FEATURES_OUTPUT = "features"
 SCALED_OUTPUT = "numeric_scaled"
+# Beyond this many values a category is indexed by a stored table.
+DRIVER_CATEGORIES = 200_000
+# One-hot columns and the label take a place in each vector for each value.
+MOST_VECTOR_VALUES = 10_000
 
 
 class _ColumnTransformer(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -113,7 +117,7 @@ def scaling_stages(p: Profile = ROAD) -> list:
     ]
 
 
-def encoding_stages(p: Profile = ROAD) -> tuple[list, list[str]]:
+def encoding_stages(p: Profile = ROAD, category_limit: int = DRIVER_CATEGORIES) -> tuple[list, list[str]]:
     """Index and one-hot stages, and the encoded columns in assembly order.
 
     One multi-column indexer per kind, so that all columns are counted in one
@@ -121,13 +125,13 @@ def encoding_stages(p: Profile = ROAD) -> tuple[list, list[str]]:
     an error.
     """
     one_hot, indexed = list(p.one_hot), list(p.indexed)
-    stages: list = []
+    stages: list = [ValueLimit(inputCols=[*one_hot, p.label], most=MOST_VECTOR_VALUES)]
     if one_hot:
         indices = [f"{c}_idx" for c in one_hot]
         stages.append(StringIndexer(inputCols=one_hot, outputCols=indices, handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=indices, outputCols=[f"{c}_ohe" for c in one_hot], handleInvalid="keep"))
     if indexed:
-        stages.append(StringIndexer(inputCols=indexed, outputCols=[f"{c}_idx" for c in indexed], handleInvalid="keep"))
+        stages.append(CategoryIndexer(inputCols=indexed, outputCols=[f"{c}_idx" for c in indexed], limit=category_limit))
     stages.append(StringIndexer(inputCol=p.label, outputCol=LABEL_OUTPUT, handleInvalid="error"))
     return stages, [f"{c}_ohe" for c in one_hot] + [f"{c}_idx" for c in indexed]
 
@@ -136,20 +140,13 @@ def assembly_stage(encoded: list[str], extra: list[str] | None = None) -> Vector
     return VectorAssembler(inputCols=[SCALED_OUTPUT, *encoded, *(extra or [])], outputCol=FEATURES_OUTPUT, handleInvalid="skip")
 
 
-def build_stages(p: Profile = ROAD, include_derived: bool = False, indexed_outside: tuple[str, ...] = ()) -> list:
+def build_stages(p: Profile = ROAD, include_derived: bool = False, category_limit: int = DRIVER_CATEGORIES) -> list:
     """All stages in order: derived features, scaling, encoding, assembly.
 
     The derived columns stay out of the feature vector unless asked for.
-    Columns in ``indexed_outside`` already carry their ``_idx`` column (see
-    ``FrequencyIndex``) and need no stage.
     """
-    from dataclasses import replace
-
-    stages = [*derived_stages(p), *scaling_stages(p)]
-    inside = replace(p, indexed=tuple(c for c in p.indexed if c not in indexed_outside))
-    encoding, _ = encoding_stages(inside)
-    stages += encoding
-    encoded = [f"{c}_ohe" for c in p.one_hot] + [f"{c}_idx" for c in p.indexed]
+    encoding, encoded = encoding_stages(p, category_limit)
+    stages = [*derived_stages(p), *scaling_stages(p), *encoding]
     extra: list[str] = []
     if include_derived:
         stages.append(StringIndexer(inputCol="location_density", outputCol="location_density_idx", handleInvalid="keep"))
@@ -157,8 +154,79 @@ def build_stages(p: Profile = ROAD, include_derived: bool = False, indexed_outsi
     return [*stages, assembly_stage(encoded, extra)]
 
 
-def build_feature_job(p: Profile = ROAD, include_derived: bool = False, indexed_outside: tuple[str, ...] = ()) -> Pipeline:
-    return Pipeline(stages=build_stages(p, include_derived, indexed_outside))
+def build_feature_job(p: Profile = ROAD, include_derived: bool = False, category_limit: int = DRIVER_CATEGORIES) -> Pipeline:
+    return Pipeline(stages=build_stages(p, include_derived, category_limit))
+
+
+class ValueLimit(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Refuses columns whose values would fill the driver or the vectors; changes nothing."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "checked columns", TypeConverters.toListString)
+    most = Param(Params._dummy(), "most", "values allowed", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, most=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        names, most = self.getOrDefault(self.inputCols), self.getOrDefault(self.most)
+        if wide := oversized_categories(dataset, tuple(names), most):
+            counts = dataset.agg(*[F.approx_count_distinct(col(n)).alias(n) for n in wide]).first()
+            found = ", ".join(f"{n} (about {counts[n]})" for n in wide)
+            raise ValueError(f"more than {most} values for a vector or label: {found}")
+        return PipelineModel([])
+
+
+class CategoryIndexer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Category indices by frequency, fitted on the rows that reach this stage.
+
+    Columns of at most ``limit`` values use Spark's indexer, whose values sit on
+    the driver; larger ones use a stored table with the same numbers. Either way
+    the fitted model is complete: it saves, loads and transforms by itself.
+    """
+
+    inputCols = Param(Params._dummy(), "inputCols", "category columns", TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "index columns", TypeConverters.toListString)
+    limit = Param(Params._dummy(), "limit", "values kept on the driver", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None, limit=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        names, outputs = self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols)
+        wide = oversized_categories(dataset, tuple(names), self.getOrDefault(self.limit))
+        few = [(n, o) for n, o in zip(names, outputs, strict=True) if n not in wide]
+        stages: list = []
+        if few:
+            indexer = StringIndexer(inputCols=[n for n, _ in few], outputCols=[o for _, o in few], handleInvalid="keep")
+            stages.append(indexer.fit(dataset))
+        for n, o in zip(names, outputs, strict=True):
+            if n in wide:
+                index = FrequencyIndex.fit(dataset, n)
+                path = scratch_path(dataset.sparkSession, "categories")
+                index.table.write.parquet(path)
+                stages.append(CategoryTable(inputCol=n, outputCol=o, table=path))
+        return PipelineModel(stages)
+
+
+class CategoryTable(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Indices of one column by a stored table (value, index)."""
+
+    inputCol = Param(Params._dummy(), "inputCol", "category column", TypeConverters.toString)
+    outputCol = Param(Params._dummy(), "outputCol", "index column", TypeConverters.toString)
+    table = Param(Params._dummy(), "table", "path of the table, which must outlive the model", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, table=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        table = dataset.sparkSession.read.parquet(self.getOrDefault(self.table))
+        return FrequencyIndex(self.getOrDefault(self.inputCol), table).transform(dataset, self.getOrDefault(self.outputCol))
 
 
 class FrequencyIndex:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kerbline.columns import col, measured, numeric, present
 from kerbline.operators.sampling import sample_at_most
-from kerbline.profile import CONTAMINATION, FOREST_SAMPLE
+from kerbline.profile import CONTAMINATION
 from kerbline.scale import settle
 
 FEWEST_ROWS = 100
@@ -32,12 +32,11 @@ def _complete_rows(df: DataFrame, names: list[str], key: str) -> DataFrame:
 def grow_trees(rows: DataFrame, n_rows: int, n_features: int, trees: int = TREES, subset: int = SUBSET, seed: int = 42) -> DataFrame:
     """One row per node of every tree. Each tree sees about ``subset`` rows."""
     limit = 1.0 if n_rows <= subset else subset / n_rows
-    scale = 1_000_000_007
-    # Rows are picked per tree by a hash, so that a retried task repeats it.
-    picked = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.pmod(F.xxhash64(F.col("key"), t, F.lit(seed)), F.lit(scale)) < F.lit(int(limit * scale)),
-    )
+    # Rows are picked per tree by a 64-bit hash of the whole row: a retried task repeats it, a
+    # frequent key does not come as a block, and the share stays exact for very many rows.
+    below = min(int(limit * 2**64) - 2**63, 2**63 - 1)
+    whole = F.xxhash64("key", *[F.col(f"x{i}") for i in range(n_features)])
+    picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.xxhash64(whole, t, F.lit(seed)) <= F.lit(below))
     chosen = rows.withColumn("tree", F.explode(picked))
     depth_limit = max(1, (min(subset, max(n_rows, 2)) - 1).bit_length())
 
@@ -78,11 +77,11 @@ def grow_trees(rows: DataFrame, n_rows: int, n_features: int, trees: int = TREES
     return chosen.groupBy("tree").applyInPandas(grow, schema)
 
 
-def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int | None = FOREST_SAMPLE, seed: int = 42) -> DataFrame:
+def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int | None = None, seed: int = 42) -> DataFrame:
     """Rows (key, score): the nearer to 1, the easier a row is to set apart.
 
-    ``sample=None`` scores every complete row; trees are always grown on the
-    small subsets.
+    Every complete row is scored, unless a ``sample`` is asked for; trees are
+    always grown on the small subsets.
     """
     found = present(df, names)
     n_features = len(found)
@@ -136,19 +135,21 @@ def isolation_summary(
     key: str,
     table: str,
     contamination: float = CONTAMINATION,
-    sample: int = FOREST_SAMPLE,
+    sample: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """One row: rows scored, anomalies above the score cut, their percentage.
+    """One row: rows scored, anomalies above the score cut, their percentage, status.
 
-    Empty when fewer than two columns or fewer than 100 complete rows exist.
+    With fewer than two columns or fewer than 100 complete rows the status is
+    SKIPPED and only the rows are counted.
     """
     found = present(df, names)
-    nothing = df.sparkSession.createDataFrame(
-        [], "`table` string, features string, sample_size long, n_anomalies long, anomaly_pct double"
-    )
-    if len(found) < 2 or _complete_rows(df, found, key).limit(FEWEST_ROWS).count() < FEWEST_ROWS:
-        return nothing
+    rows = _complete_rows(df, found, key).limit(FEWEST_ROWS).count() if found else 0
+    if len(found) < 2 or rows < FEWEST_ROWS:
+        return df.sparkSession.createDataFrame(
+            [(table, ", ".join(found), rows, None, None, "SKIPPED")],
+            "`table` string, features string, sample_size long, n_anomalies long, anomaly_pct double, status string",
+        )
     scores = settle(isolation_scores(df, found, key, sample, seed))
     cut = scores.agg(F.percentile_approx("score", 1.0 - contamination, 100_000)).scalar()
     above = scores.withColumn("cut", cut)
@@ -158,4 +159,5 @@ def isolation_summary(
         "sample_size",
         "n_anomalies",
         F.round(F.col("n_anomalies") / F.col("sample_size") * 100, 2).alias("anomaly_pct"),
+        F.lit("DONE").alias("status"),
     )

@@ -32,7 +32,7 @@ def nearest_place(
 ) -> DataFrame:
     """Append the id of the place with the smallest great-circle distance.
 
-    The lowest id wins a tie; a point without coordinates gets null. Few places
+    The lowest id wins a tie; a point without finite coordinates gets null. Few places
     (counted) are sent to the tasks; more are found by a grid join.
     """
     tidy = places.select(
@@ -40,11 +40,18 @@ def nearest_place(
         numeric(place_lat).alias("lat"),
         numeric(place_lon).alias("lon"),
     ).filter(F.col("id").isNotNull() & measured(F.col("lat")) & measured(F.col("lon")))
+    tidy = tidy.filter(_finite(F.col("lat")) & _finite(F.col("lon")))
     if within(tidy, scan_places):
-        return points.withColumn(output, _nearest_by_scan(tidy, numeric(lat), numeric(lon)))
+        # The output comes last on both paths.
+        kept = [col(c) for c in points.columns if c != output]
+        return points.select(*kept, _nearest_by_scan(tidy, numeric(lat), numeric(lon)).alias(output))
     return _nearest_by_grid(points, tidy, lat, lon, output)
 
 
+def _finite(number: Column) -> Column:
+    return F.abs(number) != F.lit(float("inf"))
+
+
 def _nearest_by_scan(places: DataFrame, lat: Column, lon: Column) -> Column:
     # At most SCAN_PLACES rows, checked by the caller.
     table = places.orderBy("id").toPandas()
@@ -119,7 +126,7 @@ def _nearest_by_grid(points: DataFrame, places: DataFrame, lat: str, lon: str, o
         occupied = occupied.withColumn("d", around).select(*others, shifted)
     occupied = occupied.distinct()
 
-    located = measured(numeric(lat)) & measured(numeric(lon))
+    located = measured(numeric(lat)) & measured(numeric(lon)) & _finite(numeric(lat)) & _finite(numeric(lon))
     keyed = points.withColumns(
         {"__lat": F.when(located, numeric(lat)), "__lon": F.when(located, numeric(lon))}
     )

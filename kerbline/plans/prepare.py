@@ -8,15 +8,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from kerbline.operators.cleaning import clean
-from kerbline.operators.encoding import FEATURES_OUTPUT, LABEL_OUTPUT, FrequencyIndex, build_feature_job, oversized_categories
+from kerbline.operators.encoding import DRIVER_CATEGORIES, FEATURES_OUTPUT, LABEL_OUTPUT, build_feature_job
 from kerbline.operators.sampling import random_split, split_by_key, undersample
 from kerbline.profile import ROAD, Profile
 from kerbline.scale import scratch_path
 from kerbline.sources.sinks import write_parquet
 
-# Beyond this many values a category is indexed by a join, not by a stage.
-STAGE_CATEGORIES = 200_000
-
 
 @dataclass
 class Prepared:
@@ -32,12 +29,15 @@ def prepare(
     balance_ratio: float | None = None,
     include_derived: bool = False,
     out_dir: str | None = None,
+    at_random: bool = False,
+    category_limit: int = DRIVER_CATEGORIES,
 ) -> Prepared:
     """Clean, split 80/20, fit on the training part, transform and store both.
 
-    ``split_key`` splits by a hash of that column, which does not depend on the
-    partitioning; without it Spark's random split is used. Only the training
-    part is ever rebalanced.
+    The split is a hash of ``split_key`` (by default the profile's key), so it
+    does not depend on the partitioning and rows of one key stay together;
+    ``at_random`` uses Spark's random split instead. Only the training part is
+    ever rebalanced. ``category_limit`` only chooses how indices are kept.
     """
     p = profile
     spark = merged.sparkSession
@@ -46,14 +46,10 @@ def prepare(
     # a lost executor.
     write_parquet(clean(merged, p), f"{base}/cleaned.parquet")
     cleaned = spark.read.parquet(f"{base}/cleaned.parquet")
-    train, test = split_by_key(cleaned, split_key) if split_key else random_split(cleaned)
+    train, test = random_split(cleaned) if at_random else split_by_key(cleaned, split_key or p.key)
     if balance_ratio is not None:
         train = undersample(train, p.label, split_key or p.key, balance_ratio)
-    outside = oversized_categories(train, p.indexed, STAGE_CATEGORIES)
-    for name in outside:
-        index = FrequencyIndex.fit(train, name)
-        train, test = index.transform(train), index.transform(test)
-    model = build_feature_job(p, include_derived, outside).fit(train)
+    model = build_feature_job(p, include_derived, category_limit).fit(train)
     stored = []
     for name, part in (("train", train), ("test", test)):
         write_parquet(model.transform(part).select(FEATURES_OUTPUT, LABEL_OUTPUT), f"{base}/{name}.parquet")

@@ -80,15 +80,6 @@ def likely_tasks(df: DataFrame) -> int:
     return max(1, size // SPLIT_BYTES)
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer splits than there are cores.
-
-    Small files only: a table of cluster size has more splits and is unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def spread_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left equi-join whose null-key rows do not meet in one task.
 

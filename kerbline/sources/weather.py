@@ -4,48 +4,71 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kerbline.columns import col
 from kerbline.functions.temporal import date_from_parts
 from kerbline.profile import WEATHER_COLUMNS, WEATHER_DATES
+from kerbline.scale import attach_by_key
 
 # Source column of each output column; the others keep their name.
 SOURCE_NAMES = {"tavg": "temp", "snow": "snwd"}
 DATE_PARTS = ("year", "month", "day")
 STATION_PATTERN = r"([^/]*)_[^_/]*$"
-# Different headers handled by one reader each.
-MOST_LAYOUTS = 200
+_COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
-def header_layouts(spark: SparkSession, path: str, fields: tuple[str, ...] = DATE_PARTS) -> list[tuple[str, list[str]]]:
-    """The distinct header lines below a path, with the files that carry them.
+def _fields(line: Column) -> Column:
+    """The fields of a CSV line without blanks and quotes around them."""
+    parts = F.when(F.contains(line, F.lit('"')), F.split(line, _COMMA_OUTSIDE_QUOTES, -1)).otherwise(F.split(line, ",", -1))
+    return F.transform(parts, lambda x: F.trim(F.regexp_replace(F.trim(x), r'^"|"$', "")))
 
-    A header line is one that names all of ``fields``. Files are listed on the
-    driver, as Spark's own file index does; no data is.
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    raw = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).text(path)
+    return raw.select(F.col("_metadata.file_path").alias("file"), _fields(F.col("value")).alias("fields"))
+
+
+def _is_header(fields: Column) -> Column:
+    return reduce(lambda a, b: a & b, [F.array_contains(fields, d) for d in DATE_PARTS])
+
+
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, names): the header of each file, the line that names all date parts."""
+    return _lines(spark, path).filter(_is_header(F.col("fields"))).groupBy("file").agg(F.min("fields").alias("names"))
+
+
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, reason) of files that ``read_daily_weather`` reads in part or not at all.
+
+    A file is damaged if its compressed stream does not end well; others may
+    have no header. Each file is looked at as a whole, as compressed files are
+    read anyway.
     """
-    names = F.transform(F.split(F.regexp_replace("value", '"', ""), ","), lambda n: F.trim(n))
-    is_header = F.array_contains(names, fields[0])
-    for f in fields[1:]:
-        is_header = is_header & F.array_contains(names, f)
-    lines = (
-        spark.read.option("ignoreCorruptFiles", True)
-        .option("recursiveFileLookup", True)
-        .text(path)
-        .select("value", F.col("_metadata.file_path").alias("file"))
-        # A cheap look first: only header lines hold the name at all.
-        .filter(F.contains("value", F.lit(fields[0])) & is_header)
-        .distinct()
-    )
-    layouts = lines.groupBy("value").agg(F.sort_array(F.collect_set("file")).alias("files"))
-    found = [(r["value"], r["files"]) for r in layouts.orderBy("value").limit(MOST_LAYOUTS + 1).collect()]
-    if len(found) > MOST_LAYOUTS:
-        raise ValueError(f"more than {MOST_LAYOUTS} different headers below {path}")
-    return found
-
-
-def _names(header: str) -> list[str]:
-    return [h.strip().strip('"').strip() for h in header.rstrip("\r\n").split(",")]
+
+    def damaged(batches):
+        import zlib
+
+        for frame in batches:
+            bad = []
+            for name, content in zip(frame["path"], frame["content"], strict=True):
+                stream, rest, fine = zlib.decompressobj(31), bytes(content), True
+                try:
+                    while name.endswith(".gz") and fine and rest:
+                        stream.decompress(rest)
+                        fine, rest = stream.eof, stream.unused_data
+                        stream = zlib.decompressobj(31)
+                except zlib.error:
+                    fine = False
+                bad.append(not fine)
+            yield frame.loc[bad, ["path"]].rename(columns={"path": "file"})
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    broken = files.select("path", "content").mapInPandas(damaged, "file string")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    headed = file_headers(spark, path).select(plain("file").alias("file"))
+    broken = broken.select(plain("file").alias("file"), F.lit("damaged").alias("reason"))
+    missing = files.select(plain("path").alias("file")).join(headed, "file", "left_anti").join(broken, "file", "left_anti")
+    return broken.unionByName(missing.withColumn("reason", F.lit("no header")))
 
 
 def read_daily_weather(
@@ -60,32 +83,19 @@ def read_daily_weather(
     ``station`` finds the station in the file path: by default the file name
     before its last underscore. Absent columns and
     unreadable numbers are null; rows without a valid date, or outside the
-    closed date range, are left out; unreadable files are skipped.
+    closed date range, are left out. Any number of headers and files is read with
+    two scans; files read in part or not at all are told by ``unreadable_files``.
     """
-    parts = []
-    for header, files in header_layouts(spark, path):
-        names = _names(header)
-        # A name given twice keeps its first position.
-        unique = [n if names.index(n) == i else f"{n}__{i}" for i, n in enumerate(names)]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in unique])
-        raw = (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("ignoreCorruptFiles", True)
-            .option("recursiveFileLookup", True)
-            .option("ignoreLeadingWhiteSpace", True)
-            .option("ignoreTrailingWhiteSpace", True)
-            .csv(files)
-        )
-        measures = []
-        for out in WEATHER_COLUMNS:
-            source = SOURCE_NAMES.get(out, out)
-            value = col(source).try_cast("float") if source in names else F.lit(None).cast("float")
-            measures.append(value.alias(out))
-        station_id = F.regexp_extract(F.col("_metadata.file_path"), station, 1)
-        time = date_from_parts(*[col(p) for p in DATE_PARTS])
-        parts.append(raw.select(station_id.alias("station_id"), time.alias("time"), *measures))
-    if not parts:
+    headers = file_headers(spark, path)
+    if headers.isEmpty():
         raise ValueError(f"no weather file with year, month and day below {path}")
-    table = reduce(DataFrame.unionByName, parts)
+    rows = attach_by_key(_lines(spark, path), headers, "file").filter(F.col("names").isNotNull() & ~_is_header(F.col("fields")))
+
+    # A name that a file lacks has position 0, and place -1 holds nothing.
+    def value(name: str) -> Column:
+        return F.get("fields", (F.array_position("names", name) - 1).cast("int"))
+
+    measures = [value(SOURCE_NAMES.get(c, c)).try_cast("float").alias(c) for c in WEATHER_COLUMNS]
+    time = date_from_parts(*[value(p) for p in DATE_PARTS])
+    table = rows.select(F.regexp_extract("file", station, 1).alias("station_id"), time.alias("time"), *measures)
     return table.filter(F.col("time").between(F.lit(first).cast("date"), F.lit(last).cast("date")))

@@ -158,3 +158,13 @@ def test_large_samples_are_narrowed_first(spark, monkeypatch):
 def test_undersampling_nothing(spark):
     empty = spark.createDataFrame([], "id long, c string")
     assert sampling.undersample(empty, "c", "id").count() == 0
+
+
+@pytest.mark.parametrize("scan_places", [0, 100])
+def test_both_nearest_paths_agree_on_odd_points(spark, scan_places):
+    points = spark.createDataFrame([(1, float("inf"), 0.0), (2, 50.0, 1.0), (3, None, 0.0), (4, -50.0, 170.0)], "id int, lat double, lon double")
+    points = points.selectExpr("'old' AS station_id", "id", "lat", "lon")
+    places = spark.createDataFrame([("a", 50.0, 0.0), ("b", 51.0, 5.0), ("c", float("inf"), 0.0)], "id string, latitude double, longitude double")
+    out = joins.nearest_place(points, places, "lat", "lon", scan_places=scan_places)
+    assert out.columns == ["id", "lat", "lon", "station_id"]
+    assert {r["id"]: r["station_id"] for r in out.collect()} == {1: None, 2: "a", 3: None, 4: "b"}

@@ -173,8 +173,25 @@ def test_isolation_forest_finds_far_rows(spark):
     assert len(scores) == 602 and {900, 901} <= set(sorted(scores, key=scores.get)[-5:])
     row = forest.isolation_summary(df, ["a", "b"], "id", "t").first()
     assert row["sample_size"] == 602 and abs(row["n_anomalies"] - 30) <= 3
-    assert forest.isolation_summary(df, ["a"], "id", "t").count() == 0
-    assert forest.isolation_summary(df.limit(50), ["a", "b"], "id", "t").count() == 0
+    for few in (forest.isolation_summary(df, ["a"], "id", "t"), forest.isolation_summary(df.limit(50), ["a", "b"], "id", "t")):
+        skipped = few.first()
+        assert skipped["status"] == "SKIPPED" and skipped["n_anomalies"] is None
+
+
+def test_trees_see_rows_of_one_key_apart(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(20_000).select(F.lit(None).cast("long").alias("key"), F.rand(1).alias("x0"))
+    sizes = [r["size"] for r in forest.grow_trees(rows, 20_000, 1, trees=10).groupBy("tree").agg(F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("size")).collect()]
+    assert len(sizes) == 10 and all(100 < n < 500 for n in sizes)
+    # The share stays above nothing for very many rows.
+    assert forest.grow_trees(rows, 10**13, 1, trees=1).count() <= 1
+
+
+def test_ks_without_a_spread_is_skipped(spark):
+    for values in ([3.0, 3.0, 3.0], [None, None], [1.0]):
+        row = distribution.ks_normal(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, x double"), "x", "id").first()
+        assert row["status"] == "SKIPPED" and row["ks_statistic"] is None
 
 
 def test_full_report(spark, tmp_path):

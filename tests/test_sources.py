@@ -1,4 +1,5 @@
 import gzip
+from pathlib import Path
 
 import pytest
 
@@ -10,6 +11,9 @@ from kerbline.profile import INDEXED_COLUMNS, NUMERIC_COLUMNS, ONE_HOT_COLUMNS,
 from kerbline.sources import sinks, tables, weather
 
 
+SF_DIR = Path("/root/testdata/sf0.001")
+
+
 def _gz(path, text):
     with gzip.open(path, "wt") as f:
         f.write(text)
@@ -111,7 +115,7 @@ def test_ingest_prepare_and_explore(spark, tmp_path):
     assert merged.count() == n_merged  # the stored located events were used again
 
     ready = prepare(merged, split_key="Accident_Index", out_dir=str(tmp_path / "out"))
-    n_stages = 4 + 2 + 4 + 1  # derived, scaling, multi-column encoding, assembly
+    n_stages = 4 + 2 + 5 + 1  # derived, scaling, multi-column encoding, assembly
     assert len(ready.model.stages) == n_stages
     check = encoding.written_check(ready.train).first()
     assert check["n_rows"] > 0 and (check["null_features"], check["null_labels"]) == (0, 0)
@@ -143,6 +147,43 @@ def test_frequency_index_equals_the_indexer(spark):
     assert pick(got) == pick(want)
 
 
+def test_index_storage_does_not_change_the_features(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    from workload import views
+    from workload.featuring import _merged
+
+    if not SF_DIR.is_dir():
+        pytest.skip("test tables not found")
+    merged = _merged(spark, str(SF_DIR))
+    few, many = (prepare(merged, views.VIEW, category_limit=n, out_dir=str(tmp_path / str(n))) for n in (2, 200_000))
+    pick = lambda df: sorted((list(r["f"]), r["label"]) for r in df.select(vector_to_array("features").alias("f"), "label").collect())
+    assert pick(few.train) == pick(many.train) and pick(few.test) == pick(many.test)
+    few.model.save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model")).transform(spark.read.parquet(str(tmp_path / "2" / "cleaned.parquet")))
+    assert sorted(pick(few.train) + pick(few.test)) == pick(again)
+
+
+def test_too_many_values_for_a_vector(spark):
+    df = spark.range(200).selectExpr("CAST(id AS STRING) AS big", "'x' AS small")
+    encoding.ValueLimit(inputCols=["small"], most=100).fit(df)
+    with pytest.raises(ValueError, match="big"):
+        encoding.ValueLimit(inputCols=["small", "big"], most=100).fit(df)
+
+
+def test_many_layouts_and_a_damaged_file(spark, tmp_path):
+    for i in range(300):
+        _gz(tmp_path / f"S{i}_2005.csv.gz", f'year,extra{i},month,"day",temp\n2005,"a,b",1,{i % 28 + 1},{i}\n')
+    whole = gzip.compress(("year,month,day,temp\n" + "2005,1,2,3\n" * 50_000).encode())
+    (tmp_path / "BAD_2005.csv.gz").write_bytes(whole[: len(whole) // 2])
+    _gz(tmp_path / "NONE_2005.csv.gz", "some,file\n1,2\n")
+    rows = {r["station_id"]: r["tavg"] for r in weather.read_daily_weather(spark, str(tmp_path)).filter("station_id <> 'BAD'").collect()}
+    assert rows == {f"S{i}": float(i) for i in range(300)}
+    told = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in weather.unreadable_files(spark, str(tmp_path)).collect()}
+    assert told == {"BAD_2005.csv.gz": "damaged", "NONE_2005.csv.gz": "no header"}
+
+
 def test_oversized_categories(spark):
     df = spark.range(1000).selectExpr("CAST(id AS STRING) AS big", "CAST(id % 3 AS STRING) AS small")
     assert encoding.oversized_categories(df, ("big", "small", "absent"), 100) == ("big",)

@@ -160,7 +160,7 @@ def group_modes(spark, sf_dir):
 def merged(spark, sf_dir):
     """The merged table, stored before it is cleaned, as an ingest leaves it."""
     both = lambda: joins.join_details(
-        views.events(spark, sf_dir, spread=True), views.details(spark, sf_dir, spread=True), "acc_id", drop=("veh_year",)
+        views.events(spark, sf_dir), views.details(spark, sf_dir), "acc_id", drop=("veh_year",)
     )
     return materialize(spark, scratch_path(spark, "merged"), both)
 

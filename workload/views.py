@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbline.profile import Profile
-from kerbline.scale import spread_scan
 
 EVENTS = {
     "acc_id": "o_orderkey",
@@ -126,14 +125,14 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 
-def events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return _select(spread_scan(rows) if spread else rows, EVENTS)
+    return _select(rows, EVENTS)
 
 
-def details(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_quantity", "l_suppkey")
-    return _select(spread_scan(rows) if spread else rows, DETAILS)
+    return _select(rows, DETAILS)
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
