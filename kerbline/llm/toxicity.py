@@ -38,6 +38,7 @@ PATTERNS = {
     "shout": r"[A-Z]{3,}[!?]{2,}",
     "masked": r"(?i)\b[a-z]{1,3}[*@#$]{1,5}[a-z]{1,4}\b",
 }
+HINTS = {"you": ("you",), "shout": ("!!", "??", "!?", "?!"), "masked": ("*", "@", "#", "$")}
 LEARNED = ("words", "starts")
 VOTERS = (*LEXICONS, *PATTERNS, *LEARNED, "many")
 WORD = re.compile(r"[^\W\d_]+")
@@ -58,25 +59,28 @@ def _features(text: str | None) -> set[str]:
     return out
 
 
-def counts(text: str | None, learned: dict[str, dict[str, float]]) -> list[float]:
+def counts(text: str | None, learned: dict) -> list[float]:
     """Hits of each voter and the number of words; ``many`` is the weight of distinct hits."""
     text = text or ""
-    words = Counter(WORD.findall(text.lower()))
+    low = text.lower()
+    words = Counter(WORD.findall(low))
     hits = dict.fromkeys(VOTERS, 0.0)
-    table, starts = learned["words"], learned["starts"]
+    table, starts, heads = learned["words"], learned["starts"], learned["heads"]
     for w, n in words.items():
         if (kind := _LEXICON_OF.get(w)) is not None:
             hits[kind] += n
         if w in table:
             hits["words"] += n
             hits["many"] += table[w]
-        else:
+        elif w[: STARTS[0]] in heads:
             best = max((starts[s] for k in STARTS if len(w) > k and (s := w[:k]) in starts), default=0.0)
             if best:
                 hits["starts"] += n
                 hits["many"] += best
     for k, p in _PATTERNS.items():
-        hits[k] = float(len(p.findall(text)))
+        # A pattern needs its hint somewhere in the text.
+        if any(h in low for h in HINTS[k]):
+            hits[k] = float(len(p.findall(text)))
     return [*hits.values(), float(sum(words.values()))]
 
 
@@ -177,7 +181,7 @@ def fit_linear(hits: np.ndarray, soft: np.ndarray, penalty: float = 1.0, rounds:
 
 @dataclass
 class Model:
-    learned: dict[str, dict[str, float]]
+    learned: dict
     labels: LabelModel
     weights: np.ndarray
 
@@ -196,12 +200,15 @@ def _tally(column: str):
     return run
 
 
-def _learn(sample: DataFrame) -> dict[str, dict[str, float]]:
-    """Telling words and word beginnings of the labelled sample with their evidence."""
+def _learn(sample: DataFrame) -> dict:
+    """Telling words and word beginnings of the labelled sample with their evidence.
+
+    ``heads`` are the shortest beginnings of those beginnings, asked first.
+    """
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
-        return {"words": {}, "starts": {}}
+        return {"words": {}, "starts": {}, "heads": frozenset()}
     tally = _tally("text")
     often = sample.filter("y = 1").mapInArrow(tally, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).filter(F.col("n") >= FEWEST_ROWS)
     # Bounded: a list of fixed length from a bounded sample.
@@ -216,7 +223,9 @@ def _learn(sample: DataFrame) -> dict[str, dict[str, float]]:
             scored.append((n * np.log(rate / base), f, float(np.log(rate / base))))
     scored.sort(reverse=True)
     best = {f: e for _, f, e in scored[:TABLE]}
-    return {"words": {f: e for f, e in best.items() if not f.endswith("*")}, "starts": {f[:-1]: e for f, e in best.items() if f.endswith("*")}}
+    starts = {f[:-1]: e for f, e in best.items() if f.endswith("*")}
+    words = {f: e for f, e in best.items() if not f.endswith("*")}
+    return {"words": words, "starts": starts, "heads": frozenset(f[: STARTS[0]] for f in starts)}
 
 
 def _hits(learned):
