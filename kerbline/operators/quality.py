@@ -15,9 +15,11 @@ from kerbline import profile as fixed
 from kerbline.columns import col, measured, numeric
 from kerbline.functions.rules import capitalised
 from kerbline.functions.temporal import bad_time_format, day_name, parsed_date
-from kerbline.operators.distribution import iqr_outliers
+from kerbline.operators.distribution import describe_numeric, iqr_outliers, ks_profile, zscore_outliers
+from kerbline.operators.forest import isolation_summary
 from kerbline.operators.keys import cross_table_mismatch, key_overlap
 from kerbline.operators.profiling import duplicate_rows, missing_profile, pct
+from kerbline.operators.summaries import yearly_coverage
 from kerbline.operators.relationships import compare_correlations, pearson_pairs, spearman_pairs
 from kerbline.profile import ROAD, Profile
 
@@ -253,9 +255,45 @@ def check_outliers(events: DataFrame, details: DataFrame, p: Profile = ROAD) ->
         parts.append(
             as_findings(fences, "outliers", "iqr", table, F.col("column"), F.col("n_outliers"), status=F.lit(INFO), detail=span)
         )
+        far = zscore_outliers(df, found)
+        parts.append(as_findings(far, "outliers", "z_score", table, F.col("column"), F.col("n_outliers"), F.col("n_valid"), status=F.lit(INFO)))
+        if p.key in df.columns:
+            apart = isolation_summary(df, found, p.key, table)
+            shown = F.when(F.col("status") == SKIPPED, SKIPPED).otherwise(INFO)
+            parts.append(as_findings(apart, "outliers", "isolation_forest", table, F.col("features"), F.col("n_anomalies"), F.col("sample_size"), status=shown))
     return union_findings(parts) if parts else skipped(events, "outliers", "iqr", "events", "*")
 
 
+def check_distribution(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
+    """Moments of the described columns and whether a normal fits them, for information."""
+    parts = []
+    for table, df, names in (("events", events, p.described_event), ("details", details, p.described_detail)):
+        found = [n for n in names if n in df.columns]
+        if not found:
+            parts.append(skipped(df, "distribution", "describe", table, "*"))
+            continue
+        text = F.format_string("mean=%.3f median=%.3f std=%.3f skewness=%.3f", "mean", "median", "std", "skewness")
+        moments = describe_numeric(df, found)
+        parts.append(as_findings(moments, "distribution", "describe", table, F.col("column"), F.lit(0), F.col("n_valid"), status=F.lit(INFO), detail=text))
+        tests = ks_profile(df, found)
+        shown = F.when(F.col("status") == SKIPPED, SKIPPED).otherwise(INFO)
+        text = F.format_string("D=%.4f p=%.6f", "ks_statistic", "p_value")
+        bad = F.coalesce(F.col("not_normal").cast("int"), F.lit(0))
+        parts.append(as_findings(tests, "distribution", "not_normal", table, F.col("column"), bad, F.col("n_valid"), status=shown, detail=F.when(F.col("status") != SKIPPED, text), pct=F.lit(None).cast("double")))
+    return union_findings(parts)
+
+
+def check_coverage(events: DataFrame, p: Profile = ROAD) -> DataFrame:
+    """Years with far fewer rows than the year before, for information."""
+    if p.date not in events.columns:
+        return skipped(events, "timeliness", "yearly_dip", "events", p.date)
+    years = yearly_coverage(events.select(parsed_date(col(p.date)).alias("day")), "day")
+    told = F.array_join(F.array_sort(F.collect_list(F.when(F.col("is_dip"), F.col("year")).cast("string"))), ", ")
+    # One row per year goes in, one comes out.
+    dips = years.agg(F.count_if("is_dip").alias("n"), F.count("*").alias("years"), told.alias("told"))
+    return as_findings(dips, "timeliness", "yearly_dip", "events", p.date, F.col("n"), F.col("years"), status=F.lit(INFO), detail=F.nullif("told", F.lit("")))
+
+
 def date_range(events: DataFrame, p: Profile = ROAD, now: Column | None = None) -> DataFrame:
     """One row: earliest and latest readable date, future dates, dates before the floor."""
     future, early = timeliness_rules(p, now)

@@ -27,6 +27,8 @@ def validate(events: DataFrame, details: DataFrame, profile: Profile = ROAD, now
             quality.check_completeness(events, details, p),
             quality.check_uniqueness(events, details, p),
             quality.check_outliers(events, details, p),
+            quality.check_distribution(events, details, p),
+            quality.check_coverage(events, p),
             quality.check_relationships(events, p),
             quality.check_join_integrity(events, details, p),
         ]

@@ -341,6 +341,45 @@ def corr_compare(spark, sf_dir):
     )
 
 
+_ERF = "1 - (((((1.061405429 * t - 1.453152027) * t + 1.421413741) * t - 0.284496736) * t + 0.254829592) * t) * exp(-x * x)"
+_KS_SQL = f"""v AS (SELECT 'lat' AS c, lat AS v FROM acc WHERE lat IS NOT NULL UNION ALL SELECT 'speed', speed FROM acc WHERE speed IS NOT NULL
+ UNION ALL SELECT 'n_vehicles', CAST(n_vehicles AS DOUBLE) FROM acc),
+m AS (SELECT c, avg(v) AS mean, stddev_samp(v) AS sd, count(*) AS total FROM v GROUP BY c),
+d AS (SELECT c, v, count(*) AS n FROM v GROUP BY c, v),
+r AS (SELECT d.c, v, n, sum(n) OVER (PARTITION BY d.c ORDER BY v) AS upto, total, (v - mean) / sd AS z FROM d JOIN m USING (c)),
+e AS (SELECT *, abs(z) / sqrt(2.0) AS x, 1 / (1 + 0.3275911 * abs(z) / sqrt(2.0)) AS t FROM r),
+f AS (SELECT *, CASE WHEN z >= 0 THEN (1 + ({_ERF})) / 2 ELSE (1 - ({_ERF})) / 2 END AS phi FROM e),
+g AS (SELECT c, max(greatest(upto / total - phi, phi - (upto - n) / total)) AS dist FROM f GROUP BY c)"""
+
+
+@query(
+    "ks_profile",
+    with_views("", "acc").rstrip()
+    + ",\n"
+    + _KS_SQL
+    + """ SELECT c AS "column", total AS n_valid, round(dist, 4) AS ks_statistic FROM g JOIN m USING (c)""",
+)
+def ks_profile(spark, sf_dir):
+    found = distribution.ks_profile(views.events(spark, sf_dir), ["lat", "speed", "n_vehicles"])
+    return found.select("column", "n_valid", "ks_statistic")
+
+
+@query(
+    "unreadable_dates",
+    with_views(
+        """SELECT count(*) FILTER (WHERE d IS NOT NULL AND TRY_CAST(d AS DATE) IS NULL) AS n_bad, count(*) AS n_total FROM
+ (SELECT CASE WHEN acc_id % 43 = 0 THEN 'soon' WHEN acc_id % 41 = 0 THEN NULL WHEN acc_id % 37 = 0 THEN '2001-02-30' ELSE CAST(acc_date AS VARCHAR) END AS d FROM acc)""",
+        "acc",
+    ),
+)
+def unreadable_dates(spark, sf_dir):
+    text = """CASE WHEN acc_id % 43 = 0 THEN 'soon' WHEN acc_id % 41 = 0 THEN NULL WHEN acc_id % 37 = 0 THEN '2001-02-30'
+        ELSE CAST(acc_date AS STRING) END"""
+    acc = views.events(spark, sf_dir).withColumn("acc_date", F.expr(text))
+    rules = [r for r in quality.consistency_rules(VIEW) if r.check == "unreadable_date"]
+    return quality.run_rules(acc, "events", rules).select("n_bad", "n_total")
+
+
 @query("ks_normal")
 def ks_normal(spark, sf_dir):
     return distribution.ks_normal(views.table(spark, sf_dir, "orders"), "o_totalprice", "o_orderkey")
