@@ -201,13 +201,12 @@ def _window_rows(buckets: int):
     names = ["bucket", "h", "h2", "doc", "sign", "pos"]
 
     def run(docs: pa.Table, places: pa.Table) -> pa.Table:
-        out = []
+        h, h2, doc, sign, pos = [], [], [], [], []
         for part, found in _unpacked(docs, places):
             ids, signs = _keys(part)
             mine = [i for i in range(len(ids)) if (int(ids[i]), int(signs[i])) in found]
             part, ids, signs = part.take(pa.array(mine, pa.int64())), ids[mine], signs[mine]
             w = words_of(part.column("text"))
-            h, h2, doc, sign, pos = [], [], [], [], []
             for i in range(len(ids)):
                 n = w.count(i)
                 if n < WINDOW:
@@ -224,8 +223,9 @@ def _window_rows(buckets: int):
                 doc.append(np.full(len(at), ids[i], dtype=np.int64))
                 sign.append(np.full(len(at), signs[i], dtype="<u2"))
                 pos.append(at)
-            if not h:
-                continue
+        out = []
+        if h:
+            # Dealt once for the whole document bucket, so there is a row for each pair of buckets at most.
             h, h2, doc, sign, pos = (np.concatenate(c) for c in (h, h2, doc, sign, pos))
             late = _not_earliest(h, h2, doc, sign, pos)
             for some, more in ((~late, {"h": h, "h2": h2}), (late, {})):

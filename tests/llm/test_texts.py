@@ -47,7 +47,8 @@ def test_quality_counts(docs, texts):
 
 
 def test_quality_drops_lines_not_prose(spark):
-    prose = "\n".join(f"This is sentence number {i} of a plain text that says word{i} and more." for i in range(10))
+    rng = random.Random(6)
+    prose = "\n".join(filler(rng, 12) + "." for _ in range(10))
     rows = [(1, prose), (2, "Home | News | Sport | Contact\n" + prose), (3, "BUY!! NOW!! CHEAP!! STUFF!! " * 20)]
     got = {r["doc_id"]: r for r in quality.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1]["kept"] and got[1]["clean_text"] == prose
