@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from kerbline.llm import langid, packing, tokens, topk, toxicity, warc
 from kerbline.llm.queries import QUERIES
+from tests.llm import brute
 
 SF = Path("/root/testdata/sf0.001")
 needs_tables = pytest.mark.skipif(not SF.is_dir(), reason="test tables not found")
@@ -234,6 +235,16 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, plain):
         out = corpus_pipeline.settle(stage(spark, docs, str(SF)))
         assert out.columns == docs.columns
         assert 0 < out.count() <= before
+        old, new = ({r["doc_id"]: r["text"] for r in df.collect()} for df in (docs, out))
+        if name == "near_dedup":
+            groups = brute.components({i: brute.shingles(t, 5) for i, t in old.items()}, 80)
+            assert new == {i: old[i] for i, c in groups.items() if i == c}
+        if name == "substring_dedup":
+            want = brute.repeats(list(old.items()))
+            assert {i: hashlib.sha256(" ".join(brute.words(t)).encode()).hexdigest() for i, t in new.items()} == {i: w[2] for i, w in want.items()}
+        if name == "personal_data":
+            assert all(not brute.base_spans(t) for t in new.values())
+            assert all(new[i] == t for i, t in old.items() if not brute.base_spans(t) and "[" not in new[i])
         docs, before = out, out.count()
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
     check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, str(SF)).collect(), None, plain, rows)
