@@ -232,7 +232,10 @@ def _rest(stars: DataFrame, sets: DataFrame, comp: DataFrame, num: int, den: int
     held = contested.join(held, ["x", "y"])
     prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1 - (F.col("f") - F.size("hs"))
     listed = held.filter(prefix > 0).select("x", "y", "n", "f", "component", "main", F.explode(F.slice("hs", F.lit(1), prefix.cast("int"))).alias("e"))
-    common = sides(listed.withColumn("h", F.col("e.h")).drop("e"), "y", "h").select("a", "b")
+    # Common shingles are the centre's, or foreign to both: an upper bound of the intersection.
+    reach = most + F.least("fa", "fb")
+    common = sides(listed.withColumn("h", F.col("e.h")).drop("e"), "y", "h")
+    common = common.filter(den * reach >= num * (F.col("na") + F.col("nb") - reach)).select("a", "b")
     pairs = plain.unionAll(common).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
     return settle(_with_sets(settle(pairs), sets).mapInArrow(_verify(num, den, k), "x long, y long"))
 
