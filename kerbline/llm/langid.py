@@ -11,11 +11,12 @@ scored once a task.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; rows with a null
 language teach nothing; characters outside the vocabulary share one unknown piece; words of any
-length are scored whole; without training rows every text is ``und``.
+length teach and are scored whole; without training rows every text is ``und``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +32,8 @@ SAMPLE_DOCS = 3_000
 ITERATIONS = 3
 SMOOTH = 0.1
 STORED_WORDS = 300_000
+TAUGHT_CHARS = 200_000  # of one batch of equally long words
+RESCALED = 4
 START = "▁"
 _G = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 20
@@ -84,10 +87,9 @@ class Pieces:
             at = (at + 1) & ((1 << _TABLE_BITS) - 1)
         return out
 
-    def lattice(self, chars: np.ndarray) -> list[list[np.ndarray | None]]:
-        """ids[l][i] of the substrings of length l + 1 from i, for rows of equal length."""
+    def substrings(self, chars: np.ndarray) -> Iterator[np.ndarray]:
+        """Piece ids of all substrings of length 1, 2, ..., for rows of equal length."""
         n, m = chars.shape
-        out = []
         with np.errstate(over="ignore"):
             codes = chars.astype(np.uint64) + np.uint64(1)
             rolled = np.zeros((n, m), dtype=np.uint64)
@@ -95,8 +97,21 @@ class Pieces:
                 # key(size) of a substring: size * G^size plus its characters' polynomial.
                 rolled = codes if size == 1 else rolled[:, :-1] * _G + codes[:, size - 1 :]
                 lead = np.uint64(size) * np.uint64(pow(int(_G), size, 1 << 64))
-                ids = self.find(rolled + lead, size == 1)
-                out.append([ids[:, i] if size == 1 or (ids[:, i] != self.absent).any() else None for i in range(m - size + 1)])
+                yield self.find(rolled + lead, size == 1)
+
+    def lattice(self, chars: np.ndarray) -> list[list[np.ndarray | None]]:
+        """ids[l][i] of the substrings of length l + 1 from i; None where no row has a piece."""
+        return [
+            [ids[:, i] if size == 1 or (ids[:, i] != self.absent).any() else None for i in range(ids.shape[1])] for size, ids in enumerate(self.substrings(chars), 1)
+        ]
+
+    def dense(self, chars: np.ndarray, low: int, block: int, wide: int) -> np.ndarray:
+        """ids[i - low, l] of the substrings of length l + 1 from i, for the places of a block."""
+        n, m = chars.shape
+        out = np.full((min(block, m - low), wide, n), self.absent, dtype=np.int32)
+        for size, ids in enumerate(self.substrings(chars[:, low : low + block + self.longest - 1]), 1):
+            k = min(len(out), ids.shape[1])
+            out[:k, size - 1] = ids[:, :k].T
         return out
 
 
@@ -143,34 +158,44 @@ def forward(pieces: Pieces, chars: np.ndarray, probs: np.ndarray, block: int = 2
     return np.log(np.maximum(alpha[m], 1e-300)) + scale
 
 
-def expected(pieces: Pieces, chars: np.ndarray, weight: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    """Expected counts of all pieces in words with weights, under one language."""
+def expected(pieces: Pieces, chars: np.ndarray, weight: np.ndarray, probs: np.ndarray, block: int = 256) -> np.ndarray:
+    """Expected counts of all pieces in words with weights, under one language.
+
+    The forward sums of a place and those after it are divided by the place's own sum every
+    ``RESCALED`` characters, and the backward sums by the same factors, so words of any length stay
+    in range. The lattice of a long word is held in parts.
+    """
     n, m = chars.shape
-    lattice = pieces.lattice(chars)
-    alpha = np.zeros((m + 1, n))
-    beta = np.zeros((m + 1, n))
-    alpha[0] = beta[m] = 1
-    for i in range(m):
-        for size, starts in enumerate(lattice, 1):
-            if i + size <= m and starts[i] is not None:
-                alpha[i + size] += alpha[i] * probs[starts[i]]
-    for i in range(m - 1, -1, -1):
-        for size, starts in enumerate(lattice, 1):
-            if i + size <= m and starts[i] is not None:
-                beta[i] += beta[i + size] * probs[starts[i]]
-    total = np.maximum(alpha[m], 1e-300)
+    wide = min(m, pieces.longest)
+    alpha, beta = np.zeros((m + wide, n)), np.zeros((m + wide, n))
+    factor: dict[int, np.ndarray] = {}
+    alpha[0] = 1
+    for low in range(0, m, block):
+        ids = pieces.dense(chars, low, block, wide)
+        step = probs[ids]
+        for i in range(low, low + len(ids)):
+            if i and i % RESCALED == 0:
+                factor[i] = alpha[i].copy()
+                alpha[i : i + wide] /= factor[i]
+            alpha[i + 1 : i + 1 + wide] += alpha[i] * step[i - low]
     out = np.zeros(pieces.size + 1)
-    for i in range(m):
-        for size, starts in enumerate(lattice, 1):
-            if i + size <= m and (ids := starts[i]) is not None:
-                out += np.bincount(ids, weights=weight * alpha[i] * probs[ids] * beta[i + size] / total, minlength=pieces.size + 1)
+    # Sums to 1 over the pieces that cover any one character.
+    beta[m] = 1 / alpha[m]
+    for low in range((m - 1) // block * block, -1, -block):
+        if m > block:
+            ids = pieces.dense(chars, low, block, wide)
+            step = probs[ids]
+        for i in range(low + len(ids) - 1, low - 1, -1):
+            if i + 1 in factor:
+                beta[i + 1 : i + 1 + wide] /= factor[i + 1]
+            mass = step[i - low]
+            mass *= beta[i + 1 : i + 1 + wide]
+            beta[i] = mass.sum(axis=0)
+            mass *= alpha[i] * weight
+        out += np.bincount(ids.ravel(), weights=step.ravel(), minlength=pieces.size + 1)
     return out[:-1]
 
 
-#: Longer words teach nothing: their sums would leave the range of doubles.
-LONGEST_TAUGHT = 40
-
-
 class Model:
     """Languages and the piece probabilities (pieces and unknown and absent x languages)."""
 
@@ -188,8 +213,9 @@ def _expectations(path: str, languages: list[str], probs: np.ndarray):
             for k in np.unique(lang).tolist():
                 mine = np.flatnonzero(lang == k)
                 for at, chars in _rows([words[i] for i in mine]).values():
-                    for low in range(0, len(at), 20_000):
-                        part = slice(low, low + 20_000)
+                    step = max(1, TAUGHT_CHARS // chars.shape[1])
+                    for low in range(0, len(at), step):
+                        part = slice(low, low + step)
                         total[k] += expected(pieces, chars[part], n[mine[at[part]]], probs[:, k])
         k, p = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(p.astype(np.int32)), pa.array(total[k, p])], names=["k", "p", "e"])
@@ -208,7 +234,7 @@ def fit(docs: DataFrame, path: str = VOCABULARY, sample_docs: int = SAMPLE_DOCS,
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample_docs / counts[lang]))])
     picked = rows.filter(F.pmod(F.xxhash64("text", F.lit(9)), F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
     # Bounded by the words of the sample.
-    words = picked.select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).filter(F.length("word").between(1, LONGEST_TAUGHT))
+    words = picked.select("lang", F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).filter(F.length("word") > 0)
     words = settle(words.groupBy("lang", "word").agg(F.count("*").alias("n")))
     # Longer pieces start rarer, so that no cut is favoured only for having few pieces.
     start = np.array([0.02 ** len(w) for w in pieces.words] + [1e-6])

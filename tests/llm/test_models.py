@@ -163,6 +163,28 @@ def test_languages_of_held_out_documents(spark):
     assert langid.predict(odd, langid.fit(docs.limit(0))).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_languages_without_blanks_are_taught(spark):
+    rng = random.Random(5)
+    chars = {"ja": "これは日本語の文章です私たちは本を読みました", "zh": "这是中文句子我们读了很多书没有空格你好世界"}
+    rows = [(k, lang, "".join(rng.choice(chars[lang]) for _ in range(rng.randrange(50, 400)))) for k, lang in enumerate(["ja", "zh"] * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit(docs.filter("doc_id < 40"))
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs.filter("doc_id >= 40"), model).collect()}
+    assert got == {k: lang for k, lang, _ in rows if k >= 40}
+
+
+def test_expected_counts_of_long_words():
+    pieces = langid.vocabulary(langid.VOCABULARY)
+    start = np.array([0.02 ** len(w) for w in pieces.words] + [1e-6])
+    probs = np.append(start / start.sum(), 0)
+    sizes = np.array([len(w) for w in pieces.words] + [1])
+    words = ["".join(random.Random(k).choices("abcdef 中é".replace(" ", ""), k=3000)) for k in range(2)]
+    (at, chars), = langid._rows(words).values()
+    counts = [langid.expected(pieces, chars, np.array([1.0, 3.0]), probs, block) for block in (100, 256, 4000)]
+    # The pieces of any cut cover each character once.
+    assert all(np.allclose(c, counts[0]) and math.isclose((c * sizes).sum(), 4 * 3001) for c in counts)
+
+
 def toxic_rows(n=400):
     rng = random.Random(5)
     for i in range(n):
