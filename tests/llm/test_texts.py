@@ -71,6 +71,19 @@ def test_near_duplicates_of_five_words(docs, texts):
     assert kept == {i for i, c in want.items() if i == c}
 
 
+def test_near_duplicates_at_a_low_threshold(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(60):
+        w = [f"w{k}x{j}" for j in range(300)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:rng.randrange(178, 198)] + [f"v{k}x{j}" for j in range(30)]))]
+    want = brute.components({i: brute.shingles(t) for i, t in rows}, 55)
+    got = {r["doc_id"]: r["component"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), num=55).collect()}
+    assert got == want and len(set(want.values())) < 90
+    with pytest.raises(ValueError):
+        neardup.least_shared(10, 100, neardup.K)
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 3), (7, 3)]
     got = {r["id"]: r["component"] for r in neardup.components(spark.createDataFrame(edges, "x long, y long")).collect()}
