@@ -6,8 +6,8 @@
    class and the voter it depends on most (a tree over the voters). Expectation maximisation over
    the counts of all firing patterns of all documents estimates accuracies and correlations;
    labelled rows of the sample keep their class. Twelve voters make at most 4,096 patterns.
-3. A logistic regression over the voters' counts and rates is trained on the posterior labels of
-   the sample and scores every whole text.
+3. A logistic regression over the voters' counts and rates is trained on the sample, each target
+   half posterior and half true label, and scores every whole text.
 
 Defined cases: null and empty texts fire no voter and get the lowest evidence; a label row without
 a class or document teaches nothing, repeated label rows count as toxic if one is; without labels
