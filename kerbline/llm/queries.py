@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from kerbline.llm import langid, neardup, packing, pii, quality, substring, tokens, topk, toxicity, warc
+from kerbline.llm import alignment, conversations, langid, neardup, packing, pii, quality, sharding, substring, tokens, topk, toxicity, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -119,3 +119,79 @@ SELECT page_id, payload_bytes,
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warc.archive(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_counts(read(spark, sf_dir, "documents"))
+
+
+def _move(letter: str, to: str) -> str:
+    """The option of giving a turn this initial: kept, or with a new role."""
+    other = "far" if letter == "s" else f"{{'c': 3 + x + {to}.c, 'a': 'R' || {to}.a}}"
+    kept = f"{{'c': x + {to}.c, 'a': 'K' || {to}.a}}"
+    return f"CASE WHEN gone THEN far WHEN ini = '{letter}' THEN {kept} ELSE {other} END"
+
+
+def _state(q: str, moves: dict[str, str]) -> str:
+    options = [f"{{'c': 4 + {q}.c, 'a': 'D' || {q}.a}}", *[_move(letter, to) for letter, to in moves.items()]]
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _insert(q: str, to: str) -> str:
+    return f"list_sort([{q}, {{'c': 3 + {to}.c, 'a': 'I' || {to}.a}}])[1]"
+
+
+_FAR = "{'c': CAST(1000000000 AS BIGINT), 'a': '~'}"
+_EMPTY = "{'c': CAST(0 AS BIGINT), 'a': ''}"
+# The grammar's states from the last turn to the first: n0 start, n1 after s, n2 after u, n3 after a.
+OP12_SQL = f"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce([CAST(i AS BIGINT), 0, 1, 2, 3, 4, 5, 6, 7],
+  lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+hashed AS (SELECT src.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(k) + 1), lambda i: CAST(ascii(substr(k, i, 1)) AS BIGINT))),
+  lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), CAST(4294967295 AS BIGINT)) % 20 AS f FROM src, tab),
+hurt AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+  CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM hashed, range(CASE f WHEN 3 THEN 2 ELSE 1 END) WHERE f <> 0),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY conv_id) AS g,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS i FROM hurt),
+facts AS (SELECT *, substr(role, 1, 1) AS ini, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last,
+  row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again,
+  lag(substr(role, 1, 1)) OVER (PARTITION BY g ORDER BY i) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au') AS odd FROM placed),
+coded AS (SELECT *, last = '' AS blank, last <> '' AND again AS duplicate, last <> '' AND NOT again AND last NOT IN ('.', '!', '?') AS truncated FROM facts),
+total AS (SELECT g, any_value(conv_id) AS conv_id, count(*) AS n, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+  count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (odd) AS illegal FROM coded GROUP BY g),
+ends AS (SELECT {_FAR} AS far, {_EMPTY} AS done),
+steps AS (
+  SELECT g, n AS i, {_insert('done', 'far')} AS n0, {{'c': CAST(6 AS BIGINT), 'a': 'II'}} AS n1, {{'c': CAST(3 AS BIGINT), 'a': 'I'}} AS n2, done AS n3 FROM total, ends
+  UNION ALL
+  SELECT g, i, {_insert('b0', 'f2')}, {_insert('b1', 'f2')}, f2, f3 FROM (
+    SELECT *, {_insert('b2', 'b3')} AS f2, {_insert('b3', 'b2')} AS f3 FROM (
+      SELECT s.g, s.i - 1 AS i, {_state('n0', {'s': 'n1', 'u': 'n2'})} AS b0, {_state('n1', {'u': 'n2'})} AS b1, {_state('n2', {'a': 'n3'})} AS b2, {_state('n3', {'u': 'n2'})} AS b3
+      FROM steps s JOIN (SELECT g, i, ini, blank OR duplicate AS gone, CASE WHEN truncated THEN 3 ELSE 0 END AS x FROM coded) c ON s.g = c.g AND s.i = c.i, ends))),
+best AS (SELECT g, n0.c AS cost, n0.a AS audit FROM steps WHERE i = 0),
+edits AS (SELECT g, p, audit[p] AS e, length(replace(audit[1:p], 'I', '')) AS i, length(replace(audit[1:p], 'D', '')) AS j, length(replace(audit, 'D', '')) % 2 AS s
+  FROM best, range(1, length(audit) + 1) r(p)),
+lines AS (SELECT edits.g, p, CASE e WHEN 'K' THEN role WHEN 'R' THEN fit ELSE fit END || ':' || CASE e WHEN 'I' THEN '' ELSE text END AS line
+  FROM (SELECT *, CASE (j - 1 - s) % 2 WHEN 0 THEN 'user' ELSE 'assistant' END AS fit FROM edits WHERE e <> 'D') edits LEFT JOIN coded ON edits.g = coded.g AND edits.i = coded.i),
+texts AS (SELECT g, string_agg(line, chr(10) ORDER BY p) AS whole FROM lines GROUP BY g)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN total ON a.conv_id IS NOT DISTINCT FROM total.conv_id LEFT JOIN best USING (g) LEFT JOIN texts USING (g)
+"""
+
+
+@query(sql=OP12_SQL)
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_digests(conversations.damage(read(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    out = sharding.interleave(docs, 8)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
