@@ -2,24 +2,29 @@
 
 One hash function orders the shingles of a text; its ``k`` smallest values are the sketch.
 
-1. Texts with one shingle set become one class, represented by the smallest id.
+1. Texts with one shingle set become one class.
 2. Inverted lists of retained values show which values two classes or more hold. A class can only
    have a partner if enough of its sketch is shared; it is listed under its rarest shared values,
    of which any partner must hold one.
 3. In each list the most central class (fewest values of its own) meets every other: the
    Jaccard of the full sets decides.
-4. Classes that met the same centre and are still in different components are compared where
-   the shingles that the centre lacks leave a link possible. This finds every remaining link
-   without writing the pairs inside a group.
-5. Links are joined to components by alternating star contraction, stored each round.
+4. Classes that met the same centre and are still in different components can only be linked if
+   they share enough shingles that the centre lacks. These are ordered from the rarest on and
+   listed, and two classes meet where the places of a common shingle in both orders leave room for
+   enough others. So members of a large group are not paired.
+5. For such pairs the sketch of the union estimates the Jaccard; pairs below the bound go, the full
+   sets of the others decide.
+6. Links are joined to components by alternating star contraction, stored each round.
 
 A pair at the threshold shares ``k * threshold`` sketch values on average, and fewer than
 ``least_shared`` with a probability below ``MISSED``: 1.5e-9 at 0.85 and 4.4e-9 at 0.80 with
-64 values. Only this step can miss a link.
+64 values. Only the two steps on sketches (2 and 5) can miss a link, each with that bound.
 
 Defined cases: null or wordless texts have no set and stand alone; fewer words than a shingle
 count as one shingle; rows repeated with one id and text are one document; rows without an id
-belong to no group and are kept.
+belong to no group and are kept. A row is a document: where one id has several texts, each of its
+rows is in the group of its own text, and only the rows that another document stands for go.
+Other columns are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -38,8 +43,8 @@ K = 64
 MISSED = 5e-9
 
 
-def least_shared(num: int, den: int, k: int) -> int:
-    """The most sketch values that a link at the threshold lacks with a probability below MISSED.
+def _fewest(num: int, den: int, k: int) -> int:
+    """Of ``k`` values, how many a link at the threshold shares but for a probability below MISSED.
 
     Of the ``k`` smallest values of a union those held by both are in both sketches; their number
     has a lighter tail than the binomial one summed here.
@@ -48,7 +53,13 @@ def least_shared(num: int, den: int, k: int) -> int:
     for need in range(k + 1):
         tail += comb(k, need) * share**need * (1 - share) ** (k - need)
         if tail > MISSED:
-            break
+            return need
+    return k
+
+
+def least_shared(num: int, den: int, k: int) -> int:
+    """The sketch values that a link at the threshold shares but for a probability below MISSED."""
+    need = _fewest(num, den, k)
     if need == 0:
         raise ValueError(f"a sketch of {k} values is too short for a threshold of {num}/{den}")
     return need
@@ -67,6 +78,11 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
             yield np.unique(window_hash(h, size))
 
 
+def _signs(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit sums that tell one shingle set from another."""
+    return int(np.bitwise_xor.reduce(mix(s + np.uint64(77))).astype(np.int64)) if len(s) else 0, int(mix(s + np.uint64(5)).sum().astype(np.int64))
+
+
 def _sketches(size: int, k: int):
     def run(batches):
         for batch in batches:
@@ -74,14 +90,14 @@ def _sketches(size: int, k: int):
                 counts, signs, others, sketches = [], [], [], []
                 for s in shingle_sets(part.column("text"), size):
                     counts.append(len(s))
-                    signs.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(77))).astype(np.int64)) if len(s) else 0)
-                    others.append(int(mix(s + np.uint64(5)).sum().astype(np.int64)))
+                    for held, sign in zip((signs, others), _signs(s), strict=True):
+                        held.append(sign)
                     sketches.append(s[:k].astype(np.int64))
                 flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(counts, pa.int64()), pa.array(signs, pa.int64()), pa.array(others, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["id", "n", "sign", "sign2", "sketch"],
+                    [part.column("id"), part.column("mark"), pa.array(counts, pa.int64()), pa.array(signs, pa.int64()), pa.array(others, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                    names=["id", "mark", "n", "sign", "sign2", "sketch"],
                 )
 
     return run
@@ -91,8 +107,10 @@ def _sets(size: int):
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text"):
-                blobs = [s.tobytes() for s in shingle_sets(part.column("text"), size)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(blobs, pa.binary())], names=["id", "set"])
+                sets = list(shingle_sets(part.column("text"), size))
+                signs = [_signs(s) for s in sets]
+                columns = [pa.array([x for x, _ in signs], pa.int64()), pa.array([y for _, y in signs], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column("rep"), *columns], names=["rep", "sign", "sign2", "set"])
 
     return run
 
@@ -116,6 +134,23 @@ def _verify(num: int, den: int):
     return run
 
 
+def _likely(num: int, den: int, k: int):
+    """Keep pairs whose union's sketch does not rule the threshold out."""
+    needed = [_fewest(num, den, j) for j in range(k + 1)]
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for i in range(batch.num_rows):
+                a, b = (batch.column(c)[i].values.to_numpy().view(np.uint64) for c in ("sx", "sy"))
+                union = np.union1d(a, b)[:k]
+                both = np.intersect1d(a, b, assume_unique=True)
+                keep.append(int(np.searchsorted(both, union[-1], side="right")) >= needed[len(union)])
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _overlap(batches):
     """The exact intersection of each pair."""
     for batch in batches:
@@ -168,59 +203,68 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return full.select("x", "y", "sx", "sy")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 3, num: int = 85, den: int = 100, k: int = K) -> DataFrame:
-    """(id, n_shingles, component): groups of documents whose sets reach ``num``/``den``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    sketched = settle(rows.mapInArrow(_sketches(size, k), "id long, n long, sign long, sign2 long, sketch array<long>"))
+def _grouped(docs: DataFrame, id_col: str, text: str, size: int, num: int, den: int, k: int) -> DataFrame:
+    """(id, mark of the text, n, component) of every row."""
+    whole = F.col(text).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), whole.alias("text"), F.xxhash64(whole).alias("mark"))
+    sketched = settle(rows.mapInArrow(_sketches(size, k), "id long, mark long, n long, sign long, sign2 long, sketch array<long>"))
     named = sketched.filter("id is not null and n > 0")
-    classes = settle(named.groupBy("sign", "sign2", "n").agg(F.min_by(F.struct("id", "sketch"), "id").alias("r")).select("sign", "sign2", "n", F.col("r.id").alias("rep"), F.col("r.sketch").alias("sketch")))
+    first = named.groupBy("sign", "sign2", "n").agg(F.min_by(F.struct("id", "sketch"), "id").alias("r"))
+    # A class is a text, so an id with several texts is in several; its number is stored with it.
+    classes = settle(first.select("sign", "sign2", "n", F.col("r.id").alias("rep"), F.col("r.sketch").alias("sketch"), F.monotonically_increasing_id().alias("node")))
     links = _links(rows, classes, size, num, den, k)
-    comp = settle(components(links))
-    by_class = settle(
-        classes.select("sign", "sign2", "n", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("sign", "sign2", "n", F.coalesce("component", "rep").alias("component"))
-    )
+    comp = settle(classes.select("node", "rep").join(components(links).withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node")))
+    least = comp.groupBy("component").agg(F.min("rep").alias("least"))
+    by_class = settle(classes.select("sign", "sign2", "n", "node").join(comp.join(least, "component").select("node", "least"), "node").drop("node"))
     # One class may hold a third of the rows: both sides are stored, so a skewed join is split.
-    out = sketched.select("id", "n", "sign", "sign2").join(by_class, ["sign", "sign2", "n"], "left")
+    out = sketched.select("id", "mark", "n", "sign", "sign2").join(by_class, ["sign", "sign2", "n"], "left")
     alone = F.col("id").isNull() | (F.col("n") == 0)
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(alone, F.col("id")).otherwise(F.col("component")).alias("component"))
+    return out.select("id", "mark", "n", F.when(alone, F.col("id")).otherwise(F.col("least")).alias("component"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = 3, num: int = 85, den: int = 100, k: int = K) -> DataFrame:
+    """(id, n_shingles, component): groups of documents whose sets reach ``num``/``den``."""
+    out = _grouped(docs, id_col, text, size, num, den, k)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component")
 
 
 def _links(rows: DataFrame, classes: DataFrame, size: int, num: int, den: int, k: int) -> DataFrame:
-    """Links (x, y) between class representatives that give the same components as all links."""
-    held = classes.select("rep", "n", F.explode("sketch").alias("v"), F.size("sketch").alias("m"))
+    """Links (x, y) between classes that give the same components as all links."""
+    held = classes.select("node", "n", F.explode("sketch").alias("v"), F.size("sketch").alias("m"))
     often = settle(held.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1"))
     need = F.greatest(F.floor(F.col("m") * least_shared(num, den, k) / k), F.lit(1))
-    shared = held.join(often, "v").groupBy("rep").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    shared = held.join(often, "v").groupBy("node").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
     # Bounded by k values a class. Any partner holds one of the rarest (shared - needed + 1).
     shared = shared.withColumn("s", F.size("vs")).filter(F.col("s") >= need)
-    lists = settle(
-        shared.select("rep", "n", (F.col("m") - F.col("s")).alias("own"), F.explode(F.slice("vs", F.lit(1), (F.col("s") - need + 1).cast("int"))).alias("e")).select(
-            "rep", "n", "own", F.col("e.v").alias("v")
-        )
-    )
-    member_ids = lists.select("rep").distinct()
-    texts = rows.withColumnRenamed("id", "rep").join(member_ids, "rep")
-    # Rows repeated under one id may differ in text: the representative's set has its sign.
-    sets = settle(texts.select(F.col("rep").alias("id"), "text").mapInArrow(_sets(size), "id long, set binary").dropDuplicates(["id"]))
+    rarest = F.slice("vs", F.lit(1), (F.col("s") - need + 1).cast("int"))
+    lists = settle(shared.select("node", "n", (F.col("m") - F.col("s")).alias("own"), F.explode(rarest).alias("e")).select("node", "n", "own", F.col("e.v").alias("v")))
+    members = settle(classes.select("node", "rep", "sign", "sign2").join(lists.select("node").distinct(), "node"))
+    # All texts of a class's smallest id are read; the signs tell which is the class's own.
+    texts = rows.select(F.col("id").alias("rep"), "text").join(members.select("rep").distinct(), "rep")
+    found = texts.mapInArrow(_sets(size), "rep long, sign long, sign2 long, set binary")
+    sets = settle(found.join(members, ["rep", "sign", "sign2"]).select(F.col("node").alias("id"), "set").dropDuplicates(["id"]))
     # Round one: everyone meets the most central class of each list.
-    centre = settle(lists.groupBy("v").agg(F.min(F.struct("own", "rep", "n")).alias("c"), F.count("*").alias("members")).filter("members > 1").select("v", F.col("c.rep").alias("y"), F.col("c.n").alias("ny")))
-    stars = lists.select("v", F.col("rep").alias("x"), F.col("n").alias("nx")).join(centre, "v").filter("x <> y")
+    centre = settle(lists.groupBy("v").agg(F.min(F.struct("own", "node", "n")).alias("c"), F.count("*").alias("members")).filter("members > 1").select("v", F.col("c.node").alias("y"), F.col("c.n").alias("ny")))
+    stars = lists.select("v", F.col("node").alias("x"), F.col("n").alias("nx")).join(centre, "v").filter("x <> y")
     stars = settle(stars.select("x", "y", "nx", "ny").distinct())
     met = settle(_with_sets(stars.select("x", "y"), sets).mapInArrow(_overlap, "x long, y long, inner long"))
     stars = settle(stars.join(met, ["x", "y"]))
     first = stars.filter(den * F.col("inner") >= num * (F.col("nx") + F.col("ny") - F.col("inner"))).select("x", "y")
     comp = settle(components(first))
-    second = _rest(stars, sets, comp, num, den)
-    return first.unionAll(second)
+    sketches = classes.select(F.col("node").alias("id"), F.col("sketch").alias("set"))
+    second = _rest(stars, sets, sketches, comp, num, den, k)
+    # The components found so far stand for the links that gave them.
+    return comp.select(F.col("id").alias("x"), F.col("component").alias("y")).unionAll(second)
 
 
-def _rest(stars: DataFrame, sets: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
+def _rest(stars: DataFrame, sets: DataFrame, sketches: DataFrame, comp: DataFrame, num: int, den: int, k: int) -> DataFrame:
     """Links between classes that met the same centre and are still in different components.
 
-    Of two such classes the shingles that the centre lacks are "foreign". Without a common foreign
-    shingle they share at most what either has in common with the centre; a pair this bound allows
-    is compared. With a common one they meet in the list of one of the rarest foreign shingles
-    (the prefix that any partner must touch). So members of a large group are not paired.
+    ``f`` shingles of a class are "foreign", its centre lacks them; the other ``n - f`` bound what
+    two classes share with the centre. Without a common foreign shingle both must almost lie in
+    the centre. Otherwise their link needs at least ``least`` common foreign ones. If these are
+    ordered alike, and the first common one is number ``p`` of ``f`` in one class, at most
+    ``f - p + 1`` can be common: they meet only where both places leave enough.
     """
     placed = stars.select("x", "y", F.col("nx").alias("n"), (F.col("nx") - F.col("inner")).alias("f"))
     placed = settle(placed.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("component", F.coalesce("component", "x")))
@@ -229,32 +273,42 @@ def _rest(stars: DataFrame, sets: DataFrame, comp: DataFrame, num: int, den: int
     contested = settle(placed.join(mixed, "y"))
     lone = F.col("component") != F.col("main")
 
-    def sides(rows: DataFrame, *keys: str) -> DataFrame:
-        left = settle(rows.filter(lone).select(*keys, F.col("x").alias("a"), F.col("n").alias("na"), F.col("f").alias("fa"), F.col("component").alias("ca")))
-        right = settle(rows.select(*keys, F.col("x").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("component").alias("cb"), (~lone).alias("major")))
-        once = (F.col("ca") != F.col("cb")) & (F.col("major") | (F.col("a") < F.col("b"))) & (den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
-        return left.join(right, list(keys)).filter(once)
-
-    near = contested.filter(den * (F.col("n") - F.col("f")) >= num * F.col("n"))
-    most = F.least(F.col("na") - F.col("fa"), F.col("nb") - F.col("fb"))
-    plain = sides(near, "y").filter(den * most >= num * (F.col("na") + F.col("nb") - most)).select("a", "b")
+    def sides(rows: DataFrame, keys: list[str], fit) -> DataFrame:
+        """Pairs of a lone class and any other under the same keys for which ``fit`` holds."""
+        names = {c: c for c in ("x", "n", "f", "component", "place") if c in rows.columns}
+        left = settle(rows.filter(lone).select(*keys, *[F.col(c).alias(f"{c}_a") for c in names]))
+        right = settle(rows.select(*keys, *[F.col(c).alias(f"{c}_b") for c in names], (~lone).alias("major")))
+        once = (F.col("component_a") != F.col("component_b")) & (F.col("major") | (F.col("x_a") < F.col("x_b")))
+        fair = den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")
+        return left.join(right, keys).filter(once & fair & fit).select("x_a", "x_b")
+
+    # An intersection o is enough for a link if (num + den) * o >= num * (na + nb).
+    both = num * (F.col("n_a") + F.col("n_b"))
+    most = F.least(F.col("n_a") - F.col("f_a"), F.col("n_b") - F.col("f_b"))
+    # Who lies in the centre but for a few has partners up to this size only.
+    reach = contested.withColumn("reach", (num + den) * (F.col("n") - F.col("f")) - num * F.col("n"))
+    near = reach.filter(F.col("reach") >= num * (F.col("n") - F.col("f")))
+    floor = near.groupBy("y").agg(F.min("n").alias("low"))
+    near = near.join(floor, "y").filter(F.col("reach") >= num * F.col("low"))
+    plain = sides(near, ["y"], (num + den) * most >= both)
     foreign = settle(_with_sets(contested.select("x", "y"), sets).mapInArrow(_foreign, "x long, y long, h long"))
     often = settle(foreign.groupBy("y", "h").agg(F.count("*").alias("df")).filter("df > 1"))
-    # Bounded by the shingles of one document.
+    # Bounded by the shingles of one document. Those no other class has come first.
     held = foreign.join(often, ["y", "h"]).groupBy("x", "y").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("hs"))
-    held = contested.join(held, ["x", "y"])
-    prefix = F.col("n") - F.ceil(F.col("n") * num / den) + 1 - (F.col("f") - F.size("hs"))
-    listed = held.filter(prefix > 0).select("x", "y", "n", "f", "component", "main", F.explode(F.slice("hs", F.lit(1), prefix.cast("int"))).alias("e"))
-    # Common shingles are the centre's, or foreign to both: an upper bound of the intersection.
-    reach = most + F.least("fa", "fb")
-    common = sides(listed.withColumn("h", F.col("e.h")).drop("e"), "y", "h")
-    common = common.filter(den * reach >= num * (F.col("na") + F.col("nb") - reach)).select("a", "b")
-    pairs = plain.unionAll(common).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
-    return settle(_with_sets(settle(pairs), sets).mapInArrow(_verify(num, den), "x long, y long"))
-
-
-def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    held = contested.join(held, ["x", "y"]).withColumn("own", F.col("f") - F.size("hs"))
+    # Even the smallest possible partner asks for this many of the foreign ones.
+    last = F.col("n") - F.ceil(F.col("n") * num / den) + 1 - F.col("own")
+    rarest = F.posexplode(F.slice("hs", F.lit(1), F.greatest(last, F.lit(0)).cast("int"))).alias("i", "e")
+    listed = held.select("x", "y", "n", "f", "component", "main", "own", rarest).withColumn("place", F.col("own") + F.col("i") + 1).withColumn("h", F.col("e.h")).drop("e", "i", "own")
+    left = 1 + F.least(F.col("f_a") - F.col("place_a"), F.col("f_b") - F.col("place_b"))
+    common = sides(listed, ["y", "h"], (num + den) * (most + left) >= both)
+    pairs = settle(plain.unionAll(common).select(F.least("x_a", "x_b").alias("x"), F.greatest("x_a", "x_b").alias("y")).distinct())
+    likely = settle(_with_sets(pairs, sketches).mapInArrow(_likely(num, den, k), "x long, y long"))
+    return settle(_with_sets(likely, sets).mapInArrow(_verify(num, den), "x long, y long"))
+
+
+def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, k: int = K) -> DataFrame:
     """The documents that stay: of each group the one with the smallest id."""
-    groups = near_duplicates(docs, size=size, num=num, den=den)
-    drop = groups.filter("doc_id is not null and component <> doc_id").select("doc_id")
-    return docs.join(drop, "doc_id", "left_anti")
+    groups = _grouped(docs, "doc_id", "text", size, num, den, k)
+    drop = groups.filter("id is not null and component <> id").select(F.col("id").alias("__id"), F.col("mark").alias("__mark"))
+    return docs.join(drop, (F.col("doc_id") == F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__mark")), "left_anti")

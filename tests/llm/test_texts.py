@@ -172,3 +172,44 @@ def test_empty_tables(spark):
 
 def test_no_words_hash():
     assert brute.repeats([(1, None)])[1] == (0, 0, hashlib.sha256(b"").hexdigest())
+
+
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    rng = random.Random(21)
+    rows = []
+    for k in range(40):
+        for text in (filler(rng, 120), filler(rng, 120)):
+            w = text.split()
+            w[60] = "changed"
+            rows += [(k, text), (1000 + len(rows), " ".join(w))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], SCHEMA).repartition(5)
+    got = neardup.near_duplicates(docs).collect()
+    assert sorted(r["component"] for r in got) == sorted(4 * list(range(40)))
+    kept = sorted((r["doc_id"], r["text"]) for r in neardup.keep_one(docs).collect())
+    assert kept == sorted(r for r in rows if r[0] < 1000)
+
+
+def test_near_duplicates_of_a_contested_group(spark):
+    """500 edits of one text around the threshold, many edits in common."""
+    rng = random.Random(22)
+    base = [f"w{j}" for j in range(150)]
+    rows = []
+    for k in range(500):
+        w = list(base)
+        for _ in range(rng.randrange(2, 14)):
+            at = rng.randrange(0, 150, 3)
+            w[at] = f"edit{at % 4}"
+        rows.append((k, " ".join(w[: rng.randrange(135, 151)])))
+    rows += [(600 + k, " ".join(base[k : k + rng.randrange(60, 120)])) for k in range(30)]
+    want = brute.components({i: brute.shingles(t) for i, t in rows})
+    docs = spark.createDataFrame([(i, t, None, "s", len(t)) for i, t in rows], SCHEMA).repartition(7)
+    got = {r["doc_id"]: r["component"] for r in neardup.near_duplicates(docs).collect()}
+    assert got == want and len(set(want.values())) > 50
+
+
+def test_near_duplicates_of_clashing_columns_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b c d", 1, "x", b"y")], "doc_id long, text string, mark int, node string, component binary")
+    assert neardup.near_duplicates(docs).first()["component"] == 1
+    assert neardup.keep_one(docs).columns == docs.columns and neardup.keep_one(docs).count() == 1
+    assert neardup.keep_one(docs.limit(0)).count() == 0 and neardup.near_duplicates(docs.limit(0)).count() == 0
