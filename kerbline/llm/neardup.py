@@ -11,7 +11,9 @@ One hash function orders the shingles of a text; its ``k`` smallest values are t
 4. Classes that met the same centre and are still in different components can only be linked if
    they share enough shingles that the centre lacks. These are ordered from the rarest on and
    listed, and two classes meet where the places of a common shingle in both orders leave room for
-   enough others. So members of a large group are not paired.
+   enough others, and where the parity bits of their sets (a shingle flips one of 512 bits) differ
+   in no more places than the threshold lets the sets differ. So members of a large group are not
+   paired, but for links and near misses.
 5. For such pairs the sketch of the union estimates the Jaccard; pairs below the bound go, the full
    sets of the others decide.
 6. Links are joined to components by alternating star contraction, stored each round.
@@ -41,6 +43,8 @@ from kerbline.scale import settle
 
 K = 64
 MISSED = 5e-9
+BITS = 512
+_PARITY = [f"p{i}" for i in range(BITS // 64)]
 
 
 def _fewest(num: int, den: int, k: int) -> int:
@@ -83,21 +87,31 @@ def _signs(s: np.ndarray) -> tuple[int, int]:
     return int(np.bitwise_xor.reduce(mix(s + np.uint64(77))).astype(np.int64)) if len(s) else 0, int(mix(s + np.uint64(5)).sum().astype(np.int64))
 
 
+def _parity(s: np.ndarray) -> bytes:
+    """64 bytes; every shingle flips one bit, so two sets differ in at least as many shingles as bits."""
+    place, times = np.unique(mix(s + np.uint64(31)) >> np.uint64(64 - 9), return_counts=True)
+    bits = np.zeros(BITS, dtype=np.uint8)
+    bits[place] = times % 2
+    return np.packbits(bits).tobytes()
+
+
 def _sketches(size: int, k: int):
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text"):
-                counts, signs, others, sketches = [], [], [], []
+                counts, signs, others, sketches, parity = [], [], [], [], []
                 for s in shingle_sets(part.column("text"), size):
                     counts.append(len(s))
                     for held, sign in zip((signs, others), _signs(s), strict=True):
                         held.append(sign)
                     sketches.append(s[:k].astype(np.int64))
+                    parity.append(_parity(s))
+                bits = np.frombuffer(b"".join(parity), np.int64).reshape(len(parity), -1)
                 flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("mark"), pa.array(counts, pa.int64()), pa.array(signs, pa.int64()), pa.array(others, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["id", "mark", "n", "sign", "sign2", "sketch"],
+                    [part.column("id"), part.column("mark"), pa.array(counts, pa.int64()), pa.array(signs, pa.int64()), pa.array(others, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), *[pa.array(c) for c in bits.T]],
+                    names=["id", "mark", "n", "sign", "sign2", "sketch", *_PARITY],
                 )
 
     return run
@@ -207,11 +221,11 @@ def _grouped(docs: DataFrame, id_col: str, text: str, size: int, num: int, den:
     """(id, mark of the text, n, component) of every row."""
     whole = F.col(text).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole.alias("text"), F.xxhash64(whole).alias("mark"))
-    sketched = settle(rows.mapInArrow(_sketches(size, k), "id long, mark long, n long, sign long, sign2 long, sketch array<long>"))
+    sketched = settle(rows.mapInArrow(_sketches(size, k), "id long, mark long, n long, sign long, sign2 long, sketch array<long>, " + ", ".join(f"{p} long" for p in _PARITY)))
     named = sketched.filter("id is not null and n > 0")
-    first = named.groupBy("sign", "sign2", "n").agg(F.min_by(F.struct("id", "sketch"), "id").alias("r"))
+    first = named.groupBy("sign", "sign2", "n").agg(F.min_by(F.struct("id", "sketch", *_PARITY), "id").alias("r"))
     # A class is a text, so an id with several texts is in several; its number is stored with it.
-    classes = settle(first.select("sign", "sign2", "n", F.col("r.id").alias("rep"), F.col("r.sketch").alias("sketch"), F.monotonically_increasing_id().alias("node")))
+    classes = settle(first.select("sign", "sign2", "n", F.col("r.id").alias("rep"), F.col("r.sketch").alias("sketch"), *[F.col(f"r.{p}").alias(p) for p in _PARITY], F.monotonically_increasing_id().alias("node")))
     links = _links(rows, classes, size, num, den, k)
     comp = settle(classes.select("node", "rep").join(components(links).withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node")))
     least = comp.groupBy("component").agg(F.min("rep").alias("least"))
@@ -251,13 +265,12 @@ def _links(rows: DataFrame, classes: DataFrame, size: int, num: int, den: int, k
     stars = settle(stars.join(met, ["x", "y"]))
     first = stars.filter(den * F.col("inner") >= num * (F.col("nx") + F.col("ny") - F.col("inner"))).select("x", "y")
     comp = settle(components(first))
-    sketches = classes.select(F.col("node").alias("id"), F.col("sketch").alias("set"))
-    second = _rest(stars, sets, sketches, comp, num, den, k)
+    second = _rest(stars, sets, classes, comp, num, den, k)
     # The components found so far stand for the links that gave them.
     return comp.select(F.col("id").alias("x"), F.col("component").alias("y")).unionAll(second)
 
 
-def _rest(stars: DataFrame, sets: DataFrame, sketches: DataFrame, comp: DataFrame, num: int, den: int, k: int) -> DataFrame:
+def _rest(stars: DataFrame, sets: DataFrame, classes: DataFrame, comp: DataFrame, num: int, den: int, k: int) -> DataFrame:
     """Links between classes that met the same centre and are still in different components.
 
     ``f`` shingles of a class are "foreign", its centre lacks them; the other ``n - f`` bound what
@@ -270,17 +283,21 @@ def _rest(stars: DataFrame, sets: DataFrame, sketches: DataFrame, comp: DataFram
     placed = settle(placed.join(comp.withColumnRenamed("id", "x"), "x", "left").withColumn("component", F.coalesce("component", "x")))
     sizes = placed.groupBy("y", "component").agg(F.count("*").alias("here"))
     mixed = settle(sizes.groupBy("y").agg(F.max(F.struct("here", "component")).alias("big"), F.count("*").alias("parts")).filter("parts > 1").select("y", F.col("big.component").alias("main")))
-    contested = settle(placed.join(mixed, "y"))
+    bits = classes.select(F.col("node").alias("x"), *_PARITY)
+    contested = settle(placed.join(mixed, "y").join(bits, "x"))
     lone = F.col("component") != F.col("main")
 
     def sides(rows: DataFrame, keys: list[str], fit) -> DataFrame:
         """Pairs of a lone class and any other under the same keys for which ``fit`` holds."""
-        names = {c: c for c in ("x", "n", "f", "component", "place") if c in rows.columns}
+        names = [c for c in ("x", "n", "f", "component", "place", *_PARITY) if c in rows.columns]
         left = settle(rows.filter(lone).select(*keys, *[F.col(c).alias(f"{c}_a") for c in names]))
         right = settle(rows.select(*keys, *[F.col(c).alias(f"{c}_b") for c in names], (~lone).alias("major")))
         once = (F.col("component_a") != F.col("component_b")) & (F.col("major") | (F.col("x_a") < F.col("x_b")))
         fair = den * F.least("n_a", "n_b") >= num * F.greatest("n_a", "n_b")
-        return left.join(right, keys).filter(once & fair & fit).select("x_a", "x_b")
+        # Linked sets differ in at most this share of their sizes together.
+        differ = sum((F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in _PARITY), F.lit(0))
+        alike = (num + den) * differ <= (den - num) * (F.col("n_a") + F.col("n_b"))
+        return left.join(right, keys).filter(once & fair & fit & alike).select("x_a", "x_b")
 
     # An intersection o is enough for a link if (num + den) * o >= num * (na + nb).
     both = num * (F.col("n_a") + F.col("n_b"))
@@ -299,10 +316,11 @@ def _rest(stars: DataFrame, sets: DataFrame, sketches: DataFrame, comp: DataFram
     # Even the smallest possible partner asks for this many of the foreign ones.
     last = F.col("n") - F.ceil(F.col("n") * num / den) + 1 - F.col("own")
     rarest = F.posexplode(F.slice("hs", F.lit(1), F.greatest(last, F.lit(0)).cast("int"))).alias("i", "e")
-    listed = held.select("x", "y", "n", "f", "component", "main", "own", rarest).withColumn("place", F.col("own") + F.col("i") + 1).withColumn("h", F.col("e.h")).drop("e", "i", "own")
+    listed = held.select("x", "y", "n", "f", "component", "main", "own", *_PARITY, rarest).withColumn("place", F.col("own") + F.col("i") + 1).withColumn("h", F.col("e.h")).drop("e", "i", "own")
     left = 1 + F.least(F.col("f_a") - F.col("place_a"), F.col("f_b") - F.col("place_b"))
     common = sides(listed, ["y", "h"], (num + den) * (most + left) >= both)
     pairs = settle(plain.unionAll(common).select(F.least("x_a", "x_b").alias("x"), F.greatest("x_a", "x_b").alias("y")).distinct())
+    sketches = classes.select(F.col("node").alias("id"), F.col("sketch").alias("set"))
     likely = settle(_with_sets(pairs, sketches).mapInArrow(_likely(num, den, k), "x long, y long"))
     return settle(_with_sets(likely, sets).mapInArrow(_verify(num, den), "x long, y long"))
 
