@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kerbline.columns import col, measured, numeric, present
 from kerbline.functions.rules import bin_edge, bucket
 from kerbline.operators.profiling import coalesced_extremes, melted
+from kerbline.operators.quantiles import at_ranks, brackets, exact_quantiles, value_of
 from kerbline.operators.sampling import sample_at_most
 from kerbline.profile import NOT_NORMAL_P_BELOW
-from kerbline.scale import cumulative_counts, long_values, quantile, settle, value_counts_long
+from kerbline.scale import cumulative_counts, long_values, settle, value_counts_long
 
 APPROX_ACCURACY = 10_000
 FEWEST_DESCRIBED = 10
@@ -21,16 +22,15 @@ FEWEST_DESCRIBED = 10
 def iqr_outliers(df: DataFrame, names: Iterable[str], exact: bool = True, digits: int = 2) -> DataFrame:
     """Per column the fences Q1 - 1.5 IQR and Q3 + 1.5 IQR, and the rows outside.
 
-    Exact quartiles rank the distinct values. ``exact=False`` uses one sketch
-    pass and one counting pass.
+    Exact quartiles are counted between the values of a sketch; ``exact=False``
+    takes the sketch's own quartiles. Each row is then compared with the fences.
     """
     found = present(df, names)
     if exact:
-        ranked = cumulative_counts(value_counts_long(df, found))
-        quartiles = ranked.groupBy("column").agg(quantile(0.25).alias("q1"), quantile(0.75).alias("q3"))
+        both = exact_quantiles(df, found, [0.25, 0.75])
+        pick = lambda p: F.max(F.when(F.col("p") == p, F.col("value")))
+        quartiles = both.groupBy("column").agg(pick(0.25).alias("q1"), pick(0.75).alias("q3"))
     else:
-        # No need to count equal values: each row is compared with the fences.
-        ranked = long_values(df, found).withColumn("n", F.lit(1))
         both = F.percentile_approx("value", [0.25, 0.75], APPROX_ACCURACY).alias("q")
         quartiles = long_values(df, found).groupBy("column").agg(both).select(
             "column", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")
@@ -40,9 +40,10 @@ def iqr_outliers(df: DataFrame, names: Iterable[str], exact: bool = True, digits
     outside = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
     # Bounded: one row per named column.
     return (
-        ranked.join(F.broadcast(fences), "column")
+        long_values(df, found)
+        .join(F.broadcast(fences), "column")
         .groupBy("column", "lo", "hi")
-        .agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("n_outliers"))
+        .agg(F.count_if(outside).alias("n_outliers"))
         .select("column", "n_outliers", F.round("lo", digits).alias("lower_fence"), F.round("hi", digits).alias("upper_fence"))
     )
 
@@ -66,31 +67,37 @@ def zscore_outliers(df: DataFrame, names: Iterable[str], threshold: float = 3.0)
 
 
 def describe_numeric(df: DataFrame, names: Iterable[str], digits: int = 3) -> DataFrame:
-    """Range, mean, exact median, deviation, skew, excess kurtosis, cardinality.
+    """Range, mean, exact median, deviation, skew, excess kurtosis, cardinality, status.
 
     Skew and kurtosis are population moments, the deviation is the sample one.
-    Columns with fewer than ten values are left out.
+    A column with fewer than ten values is SKIPPED: it keeps its row, with the
+    number of values and of different ones, but no measures.
     """
     found = present(df, names)
-    aggs = []
+    moments = []
     for i, n in enumerate(found):
-        c = F.when(measured(numeric(n)), numeric(n))
-        aggs += [
-            F.min(c).alias(f"lo_{i}"),
-            F.max(c).alias(f"hi_{i}"),
-            F.avg(c).alias(f"mean_{i}"),
-            F.stddev(c).alias(f"sd_{i}"),
-            F.skewness(c).alias(f"skew_{i}"),
-            F.kurtosis(c).alias(f"kurt_{i}"),
-            F.count(c).alias(f"n_{i}"),
-        ]
-    measures = {"min": "lo", "max": "hi", "mean": "mean", "std": "sd", "skewness": "skew", "kurtosis": "kurt", "n_valid": "n"}
-    moments = melted(df.agg(*aggs), found, measures).filter(F.col("n_valid") >= FEWEST_DESCRIBED)
-    ranked = cumulative_counts(value_counts_long(df, found))
-    ranks = ranked.groupBy("column").agg(quantile(0.5).alias("median"), F.count("*").alias("cardinality"))
-    rounded = [F.round(c, digits).alias(c) for c in ("min", "max", "mean", "median", "std", "skewness", "kurtosis")]
+        c = value_of(n)
+        for name, f in (("mean", F.avg), ("std", F.stddev), ("skewness", F.skewness), ("kurtosis", F.kurtosis)):
+            moments.append(f(c).alias(f"{name}{i}"))
+    # One pass for the moments and the brackets of the medians, one for the values.
+    brackets_, row = brackets(df, found, [0.5], moments)
+    middle = at_ranks(df, value_counts_long(df, found), brackets_, grouped=True).select("column", F.col("value").alias("median"), "cardinality")
+    names_ = ("min", "max", "mean", "std", "skewness", "kurtosis")
+    rows = []
+    for i, n in enumerate(found):
+        measures = [row[f"__a{i}"], row[f"__z{i}"], *[row[f"{m}{i}"] for m in names_[2:]]]
+        enough = row[f"__n{i}"] >= FEWEST_DESCRIBED
+        rows.append((n, *(measures if enough else [None] * len(measures)), row[f"__n{i}"], "DONE" if enough else "SKIPPED"))
+    schema = "column string, " + ", ".join(f"{m} double" for m in names_) + ", n_valid long, status string"
     # Bounded: one row per named column.
-    return moments.join(F.broadcast(ranks), "column").select("column", *rounded, "n_valid", "cardinality")
+    table = df.sparkSession.createDataFrame(rows, schema).coalesce(1)
+    full = table.join(F.broadcast(middle), "column", "left")
+    rounded = [F.round(c, digits).alias(c) for c in ("min", "max", "mean")]
+    median = F.round(F.when(F.col("status") == "DONE", F.col("median")), digits).alias("median")
+    return full.select(
+        "column", *rounded, median, *[F.round(c, digits).alias(c) for c in ("std", "skewness", "kurtosis")],
+        "n_valid", F.coalesce("cardinality", F.lit(0).cast("long")).alias("cardinality"), "status",
+    )
 
 
 def histogram(df: DataFrame, names: Iterable[str], bins: int = 10, digits: int = 3) -> DataFrame:

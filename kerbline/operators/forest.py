@@ -20,6 +20,8 @@ FEWEST_ROWS = 100
 TREES = 100
 SUBSET = 256
 ROWS_PER_TASK = 2_000
+# Rows scored together: a matrix of rows by trees.
+BLOCK = 1_024
 
 
 def _complete_rows(df: DataFrame, names: list[str], key: str) -> DataFrame:
@@ -30,14 +32,19 @@ def _complete_rows(df: DataFrame, names: list[str], key: str) -> DataFrame:
 
 
 def grow_trees(rows: DataFrame, n_rows: int, n_features: int, trees: int = TREES, subset: int = SUBSET, seed: int = 42) -> DataFrame:
-    """One row per node of every tree. Each tree sees about ``subset`` rows."""
-    limit = 1.0 if n_rows <= subset else subset / n_rows
-    # Rows are picked per tree by a 64-bit hash of the whole row: a retried task repeats it, a
-    # frequent key does not come as a block, and the share stays exact for very many rows.
-    below = min(int(limit * 2**64) - 2**63, 2**63 - 1)
-    whole = F.xxhash64("key", *[F.col(f"x{i}") for i in range(n_features)])
-    picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.xxhash64(whole, t, F.lit(seed)) <= F.lit(below))
-    chosen = rows.withColumn("tree", F.explode(picked))
+    """One row per node of every tree. Each tree sees about ``subset`` rows, apart from the others' if there are enough."""
+    # One hash of the whole row deals it: a retried task repeats it, and a frequent key does not
+    # come as a block. Large tables give each row to one tree at most, small ones to several.
+    wanted = trees * subset
+    dealt = F.xxhash64(F.lit(seed), "key", *[F.col(f"x{i}") for i in range(n_features)])
+    if n_rows >= wanted:
+        # The hash as a number in [0, 1), stretched so that the trees take the first part of it.
+        place = (F.shiftrightunsigned(dealt, 11) / float(1 << 53)) * (n_rows / subset)
+        chosen = rows.withColumn("tree", F.floor(place).cast("long")).filter(F.col("tree") < trees).withColumn("tree", F.col("tree").cast("int"))
+    else:
+        repeats = min(trees, -(-wanted // max(1, n_rows)))
+        ways = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+        chosen = rows.withColumn("__way", ways).withColumn("tree", F.pmod(F.pmod(dealt, F.lit(trees)) + F.col("__way"), F.lit(trees)).cast("int")).drop("__way")
     depth_limit = max(1, (min(subset, max(n_rows, 2)) - 1).bit_length())
 
     def grow(frame):
@@ -77,53 +84,72 @@ def grow_trees(rows: DataFrame, n_rows: int, n_features: int, trees: int = TREES
     return chosen.groupBy("tree").applyInPandas(grow, schema)
 
 
-def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int | None = None, seed: int = 42) -> DataFrame:
+def _average_path(n):
+    """Mean depth of a search that ends without a match among ``n`` rows."""
+    import numpy as np
+
+    n = np.asarray(n, dtype=float)
+    harmonic = np.log(np.maximum(n - 1, 1)) + 0.5772156649015329
+    full = 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1)
+    return np.where(n > 2, full, np.where(n == 2, 1.0, 0.0))
+
+
+def _flat(table):
+    """All trees as flat arrays (feature, cut, low child, high child, path length) and their roots.
+
+    A leaf is its own child, so all rows take as many steps as the deepest tree has levels.
+    """
+    import numpy as np
+
+    table = table.sort_values(["tree", "node"], kind="stable").reset_index(drop=True)
+    roots = np.flatnonzero(table["node"].to_numpy() == 0)
+    base = np.repeat(roots, np.diff(np.append(roots, len(table))))
+    leaf = table["feature"].to_numpy() < 0
+    own = np.arange(len(table))
+    low = np.where(leaf, own, base + table["left"].to_numpy())
+    high = np.where(leaf, own, base + table["right"].to_numpy())
+    path = table["depth"].to_numpy() + _average_path(table["size"].to_numpy())
+    return np.where(leaf, 0, table["feature"]), table["cut"].to_numpy(), low, high, path, roots, int(table["depth"].max())
+
+
+def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int | None = None, seed: int = 42, n_rows: int | None = None) -> DataFrame:
     """Rows (key, score): the nearer to 1, the easier a row is to set apart.
 
     Every complete row is scored, unless a ``sample`` is asked for; trees are
-    always grown on the small subsets.
+    always grown on the small subsets. ``n_rows`` saves counting the complete
+    rows again.
     """
     found = present(df, names)
     n_features = len(found)
     rows = _complete_rows(df, found, key)
     if sample is not None:
         rows = settle(sample_at_most(rows, sample, "key", seed))
-    n_rows = rows.count()
+    if sample is not None or n_rows is None:
+        n_rows = rows.count()
     subset = min(SUBSET, max(n_rows, 2))
     if sample is not None:
         # A top-k arrives in one partition; score it on all cores.
         cores = df.sparkSession.sparkContext.defaultParallelism
         rows = rows.repartition(max(1, min(cores, n_rows // ROWS_PER_TASK)), "key")
     # Bounded: TREES trees of at most 2 x (about SUBSET rows) nodes.
-    table = grow_trees(rows, n_rows, n_features, seed=seed).orderBy("tree", "node").toPandas()
-    fields = ["feature", "cut", "left", "right", "size", "depth"]
-    forest = [{f: g[f].to_numpy() for f in fields} for _, g in table.groupby("tree")]
+    feature, cut, low, high, path, roots, levels = _flat(grow_trees(rows, n_rows, n_features, subset=subset, seed=seed).toPandas())
+    scale = float(_average_path(subset)) * len(roots)
 
     def score(batches):
         import numpy as np
 
-        def average_path(n):
-            n = np.asarray(n, dtype=float)
-            harmonic = np.log(np.maximum(n - 1, 1)) + 0.5772156649015329
-            full = 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1)
-            return np.where(n > 2, full, np.where(n == 2, 1.0, 0.0))
-
         for batch in batches:
             data = batch[[f"x{i}" for i in range(n_features)]].to_numpy(dtype=float)
-            total = np.zeros(len(data))
-            for tree in forest:
-                at = np.zeros(len(data), dtype=int)
-                while True:
-                    feature = tree["feature"][at]
-                    inner = np.flatnonzero(feature >= 0)
-                    if len(inner) == 0:
-                        break
-                    here = at[inner]
-                    low = data[inner, feature[inner]] <= tree["cut"][here]
-                    at[inner] = np.where(low, tree["left"][here], tree["right"][here])
-                total += tree["depth"][at] + average_path(tree["size"][at])
-            mean = total / max(1, len(forest))
-            batch["score"] = 2.0 ** (-mean / float(average_path(subset)))
+            out = np.empty(len(data))
+            # A block of rows goes through all trees at once.
+            for a in range(0, len(data), BLOCK):
+                part = data[a : a + BLOCK]
+                row = np.arange(len(part))[:, None]
+                at = np.broadcast_to(roots, (len(part), len(roots)))
+                for _ in range(levels):
+                    at = np.where(part[row, feature[at]] <= cut[at], low[at], high[at])
+                out[a : a + BLOCK] = path[at].sum(axis=1)
+            batch["score"] = 2.0 ** (-out / scale)
             yield batch[["key", "score"]]
 
     return rows.mapInPandas(score, f"key {dict(rows.dtypes)['key']}, score double")
@@ -144,13 +170,13 @@ def isolation_summary(
     SKIPPED and only the rows are counted.
     """
     found = present(df, names)
-    rows = _complete_rows(df, found, key).limit(FEWEST_ROWS).count() if found else 0
+    rows = _complete_rows(df, found, key).count() if found else 0
     if len(found) < 2 or rows < FEWEST_ROWS:
         return df.sparkSession.createDataFrame(
             [(table, ", ".join(found), rows, None, None, "SKIPPED")],
             "`table` string, features string, sample_size long, n_anomalies long, anomaly_pct double, status string",
         )
-    scores = settle(isolation_scores(df, found, key, sample, seed))
+    scores = settle(isolation_scores(df, found, key, sample, seed, rows))
     cut = scores.agg(F.percentile_approx("score", 1.0 - contamination, 100_000)).scalar()
     above = scores.withColumn("cut", cut)
     return above.agg(F.count("*").alias("sample_size"), F.count_if(F.col("score") > F.col("cut")).alias("n_anomalies")).select(

@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbline.columns import col, measured, present, replace_columns
-from kerbline.scale import attach_by_key, cumulative_counts, lower_median, settle, value_counts_long
+from kerbline.operators.quantiles import exact_quantiles
+from kerbline.scale import attach_by_key, settle
 
 # Rank error allowed by default: one in this many rows.
 MEDIAN_ACCURACY = 1_000
@@ -16,14 +17,13 @@ MEDIAN_ACCURACY = 1_000
 def medians(df: DataFrame, names: Iterable[str], exact: bool = False) -> DataFrame:
     """One row holding an observed median of each column (null and NaN ignored).
 
-    The default is a mergeable sketch in one pass. ``exact`` ranks the distinct
-    values instead.
+    The default is a mergeable sketch in one pass. ``exact`` counts
+    between the sketch's values instead.
     """
     found = present(df, names)
     if exact:
-        ranked = cumulative_counts(value_counts_long(df, found))
-        middle = ranked.groupBy("column").agg(lower_median().alias("m"))
-        return middle.agg(*[F.max(F.when(F.col("column") == n, F.col("m"))).alias(n) for n in found])
+        middle = exact_quantiles(df, found, [0.5])
+        return middle.agg(*[F.max(F.when(F.col("column") == n, F.col("lower"))).alias(n) for n in found])
     usable = [F.when(measured(col(n).cast("double")), col(n).cast("double")) for n in found]
     return df.agg(*[F.percentile_approx(u, 0.5, MEDIAN_ACCURACY).alias(n) for n, u in zip(found, usable)])
 

@@ -6,7 +6,7 @@
   otherwise joins by shuffle.
 * ``spread_left_join`` keeps rows with a null key out of a single task.
 * ``cumulative_counts`` is a prefix sum over distinct values that never sorts
-  a whole column in one task. Exact quantiles and average ranks build on it.
+  a whole column in one task. Average ranks and the normality test build on it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kerbline.columns import col, measured, numeric
 
@@ -152,21 +152,3 @@ def cumulative_counts(counts: DataFrame, bucket_values: int = BUCKET_VALUES) ->
         .join(F.broadcast(starts), ["column", "__bucket"])
         .select("column", "value", "n", (F.col("__start") + F.col("__run")).alias("before"), "total")
     )
-
-
-def value_at(rank: Column) -> Column:
-    """Aggregate over ``cumulative_counts``: the value at a zero-based rank."""
-    here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-    return F.max(F.when(here, F.col("value")))
-
-
-def quantile(p: float) -> Column:
-    """Aggregate over ``cumulative_counts``: the linearly interpolated quantile."""
-    k = F.lit(float(p)) * (F.col("total") - 1)
-    low, high = value_at(F.floor(k)), value_at(F.ceil(k))
-    return low + (high - low) * F.max(k - F.floor(k))
-
-
-def lower_median() -> Column:
-    """Aggregate over ``cumulative_counts``: the observed value at rank ceil(n/2)."""
-    return value_at(F.ceil(F.col("total") / 2) - 1)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import kerbline.scale as scale
-from kerbline.operators import distribution, forest, profiling, quality, relationships
+from kerbline.operators import distribution, forest, profiling, quality, quantiles, relationships
 from kerbline.plans.validate import findings_text, save_report, validate
 from kerbline.profile import ROAD
 
@@ -87,9 +87,9 @@ def test_duplicates(spark):
     assert profiling.duplicate_rows(df.limit(0)).first()[0] == 0
 
 
-@pytest.mark.parametrize("bucket_values", [5, 100_000])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, bucket_values):
-    monkeypatch.setattr(scale.cumulative_counts, "__defaults__", (bucket_values,))
+@pytest.mark.parametrize("few", [20, 100_000])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, few):
+    monkeypatch.setattr(quantiles, "FEW", few)
     rng = np.random.default_rng(3)
     x = np.round(rng.gamma(2.0, 50.0, 997), 1)
     y = np.where(rng.random(997) < 0.4, 7.0, x * 3)  # one value holds much of the column
@@ -105,6 +105,24 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch, bucket_values):
     assert described["y"]["cardinality"] == len(set(y.tolist())) and described["y"]["n_valid"] == 997
 
 
+def test_quantiles_of_many_rows_and_one_heavy_value(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "FEW", 500)
+    df = spark.range(0, 60_000, 1, 6).selectExpr("cast(id * 48271 % 60000 as double) AS x", "if(id % 3 = 0, cast(-0.0 AS double), cast(id AS double)) AS y", "cast(7 AS int) AS z")
+    x, y = np.arange(60_000.0), np.array([0.0 if i % 3 == 0 else float(i) for i in range(60_000)])
+    got = {(r["column"], r["p"]): r["value"] for r in quantiles.exact_quantiles(df, ["x", "y", "z"], [0.0, 0.1, 0.333, 0.5, 0.999, 1.0]).collect()}
+    for (name, p), value in got.items():
+        assert value == pytest.approx(np.quantile({"x": x, "y": y, "z": np.full(9, 7.0)}[name], p))
+    assert len(got) == 18
+
+
+def test_few_values_are_skipped_but_told(spark):
+    df = spark.createDataFrame([(float(i % 3) if i < 9 else None, float(i)) for i in range(12)], "few double, enough double")
+    got = {r["column"]: r for r in distribution.describe_numeric(df, ["few", "enough"]).collect()}
+    assert (got["few"]["status"], got["few"]["n_valid"], got["few"]["cardinality"], got["few"]["mean"], got["few"]["median"]) == ("SKIPPED", 9, 3, None, None)
+    assert (got["enough"]["status"], got["enough"]["median"]) == ("DONE", 5.5)
+    assert distribution.describe_numeric(df.limit(0), ["few"]).first()["n_valid"] == 0
+
+
 @pytest.mark.parametrize("bucket_values", [5, 100_000])
 def test_spearman_matches_ranks(spark, monkeypatch, bucket_values):
     import pandas as pd
@@ -188,6 +206,15 @@ def test_trees_see_rows_of_one_key_apart(spark):
     assert forest.grow_trees(rows, 10**13, 1, trees=1).count() <= 1
 
 
+def test_trees_take_rows_apart(spark):
+    rows = spark.range(60_000).select(F.col("id").alias("key"), F.rand(3).alias("x0"))
+    leaves = forest.grow_trees(rows, 60_000, 1).filter("feature < 0").groupBy("tree").agg(F.sum("size").alias("n")).collect()
+    assert len(leaves) == 100 and 23_000 < sum(r["n"] for r in leaves) < 28_000
+    # A table too small for that gives each tree a full subset again.
+    few = forest.grow_trees(rows.limit(600), 600, 1).filter("feature < 0").groupBy("tree").agg(F.sum("size").alias("n")).collect()
+    assert len(few) == 100 and all(150 < r["n"] < 400 for r in few)
+
+
 def test_ks_without_a_spread_is_skipped(spark):
     for values in ([3.0, 3.0, 3.0], [None, None], [1.0]):
         row = distribution.ks_normal(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, x double"), "x", "id").first()

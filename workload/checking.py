@@ -237,7 +237,7 @@ def zscore_outliers(spark, sf_dir):
  round(median({c}), 3) AS median, round(stddev_samp({c}), 3) AS std,
  round(avg(pow({c} - m, 3)) / pow(avg(pow({c} - m, 2)), 1.5), 3) AS skewness,
  round(avg(pow({c} - m, 4)) / pow(avg(pow({c} - m, 2)), 2) - 3, 3) AS kurtosis,
- count({c}) AS n_valid, count(DISTINCT {c}) AS cardinality FROM {t}, (SELECT avg({c}) AS m FROM {t})"""
+ count({c}) AS n_valid, count(DISTINCT {c}) AS cardinality, 'DONE' AS status FROM {t}, (SELECT avg({c}) AS m FROM {t})"""
         ),
         "veh",
     ),
