@@ -202,14 +202,23 @@ def ks_profile(df: DataFrame, names: Iterable[str]) -> DataFrame:
     # Bounded: one row per named column.
     stats = melted(df.agg(*aggs), found, {"mean": "mean", "sd": "sd", "n_valid": "n"})
     ranked = cumulative_counts(value_counts_long(df, found)).join(F.broadcast(stats.filter("sd > 0")), "column")
+    tested = ranked.groupBy("column").agg(F.max(normal_gap()).alias("d"))
+    return ks_table(stats.join(tested, "column", "left"))
+
+
+def normal_gap() -> Column:
+    """Distance of the share of rows up to a ranked value from the normal of ``mean`` and ``sd``."""
     below = normal_share((F.col("value") - F.col("mean")) / F.col("sd"))
-    gap = F.greatest((F.col("before") + F.col("n")) / F.col("total") - below, below - F.col("before") / F.col("total"))
-    tested = ranked.groupBy("column").agg(F.max(gap).alias("d"))
+    return F.greatest((F.col("before") + F.col("n")) / F.col("total") - below, below - F.col("before") / F.col("total"))
+
+
+def ks_table(tested: DataFrame) -> DataFrame:
+    """Statistic, p-value and verdict from rows (column, n_valid, d)."""
     root = F.col("d") * F.sqrt(F.col("n_valid"))
     tail = sum(((-1) ** (k - 1) * 2 * F.exp(-2.0 * k * k * root * root) for k in range(1, KOLMOGOROV_TERMS + 1)), F.lit(0.0))
     p = F.when(root < 0.2, F.lit(1.0)).otherwise(F.greatest(F.least(tail, F.lit(1.0)), F.lit(0.0)))
     p = F.when(F.col("d").isNotNull(), p)
-    return stats.join(tested, "column", "left").select(
+    return tested.select(
         "column",
         "n_valid",
         F.round("d", 4).alias("ks_statistic"),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from kerbline.columns import col, measured, numeric, present
 from kerbline.operators.sampling import sample_at_most
 from kerbline.profile import CONTAMINATION
-from kerbline.scale import settle
+from kerbline.scale import likely_tasks, settle
 
 FEWEST_ROWS = 100
 TREES = 100
@@ -95,7 +95,7 @@ def _average_path(n):
 
 
 def _flat(table):
-    """All trees as flat arrays (feature, cut, low child, high child, path length) and their roots.
+    """All trees as flat arrays (feature, cut, high and low child, path length), their roots and levels.
 
     A leaf is its own child, so all rows take as many steps as the deepest tree has levels.
     """
@@ -109,7 +109,8 @@ def _flat(table):
     low = np.where(leaf, own, base + table["left"].to_numpy())
     high = np.where(leaf, own, base + table["right"].to_numpy())
     path = table["depth"].to_numpy() + _average_path(table["size"].to_numpy())
-    return np.where(leaf, 0, table["feature"]), table["cut"].to_numpy(), low, high, path, roots, int(table["depth"].max())
+    children = np.stack([high, low], axis=1).ravel()
+    return np.where(leaf, 0, table["feature"]), table["cut"].to_numpy(), children, path, roots, int(table["depth"].max())
 
 
 def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int | None = None, seed: int = 42, n_rows: int | None = None) -> DataFrame:
@@ -127,12 +128,13 @@ def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int
     if sample is not None or n_rows is None:
         n_rows = rows.count()
     subset = min(SUBSET, max(n_rows, 2))
-    if sample is not None:
-        # A top-k arrives in one partition; score it on all cores.
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        rows = rows.repartition(max(1, min(cores, n_rows // ROWS_PER_TASK)), "key")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    scored = rows
+    if sample is not None or likely_tasks(rows) < cores:
+        # A top-k arrives in one partition and a small table in few; score on all cores.
+        scored = rows.repartition(max(1, min(cores, n_rows // ROWS_PER_TASK)))
     # Bounded: TREES trees of at most 2 x (about SUBSET rows) nodes.
-    feature, cut, low, high, path, roots, levels = _flat(grow_trees(rows, n_rows, n_features, subset=subset, seed=seed).toPandas())
+    feature, cut, children, path, roots, levels = _flat(grow_trees(rows, n_rows, n_features, subset=subset, seed=seed).toPandas())
     scale = float(_average_path(subset)) * len(roots)
 
     def score(batches):
@@ -144,15 +146,17 @@ def isolation_scores(df: DataFrame, names: Iterable[str], key: str, sample: int
             # A block of rows goes through all trees at once.
             for a in range(0, len(data), BLOCK):
                 part = data[a : a + BLOCK]
-                row = np.arange(len(part))[:, None]
+                flat, row = part.ravel(), np.arange(len(part))[:, None] * n_features
                 at = np.broadcast_to(roots, (len(part), len(roots)))
                 for _ in range(levels):
-                    at = np.where(part[row, feature[at]] <= cut[at], low[at], high[at])
-                out[a : a + BLOCK] = path[at].sum(axis=1)
+                    goes_low = flat.take(row + feature.take(at)) <= cut.take(at)
+                    # The two children of a node stand in one row.
+                    at = children.take(2 * at + goes_low)
+                out[a : a + BLOCK] = path.take(at).sum(axis=1)
             batch["score"] = 2.0 ** (-out / scale)
             yield batch[["key", "score"]]
 
-    return rows.mapInPandas(score, f"key {dict(rows.dtypes)['key']}, score double")
+    return scored.mapInPandas(score, f"key {dict(rows.dtypes)['key']}, score double")
 
 
 def isolation_summary(

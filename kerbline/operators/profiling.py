@@ -31,18 +31,24 @@ def dataset_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("total_rows")).withColumn("total_columns", F.lit(len(df.columns)).cast("long"))
 
 
-def null_profile(df: DataFrame, keep_complete: bool = False) -> DataFrame:
-    """Null count and percentage per column, all columns in one pass.
+def null_counts(names: list[str]) -> list[Column]:
+    """Aggregates that ``nulls_from`` reads: rows, and nulls of each column."""
+    return [F.count("*").alias("total"), *[F.count_if(col(n).isNull()).alias(f"null_{i}") for i, n in enumerate(names)]]
 
-    Columns without nulls are left out unless ``keep_complete``.
-    """
+
+def nulls_from(row: DataFrame, names: list[str]) -> DataFrame:
+    """Rows (column, null_count, null_pct) of the columns with nulls, from one row of ``null_counts``."""
+    structs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"null_{i}").alias("null_count")) for i, n in enumerate(names)])
+    out = row.select(F.inline(structs), "total").select("column", "null_count", pct(F.col("null_count"), F.col("total")).alias("null_pct"))
+    return out.filter("null_count > 0")
+
+
+def null_profile(df: DataFrame) -> DataFrame:
+    """Null count and percentage of the columns that have nulls, all columns in one pass."""
     names = df.columns
     if not names:
         return df.sparkSession.createDataFrame([], "`column` string, null_count long, null_pct double")
-    row = df.agg(*[F.count_if(col(n).isNull()).alias(f"k_{i}") for i, n in enumerate(names)], F.count("*").alias("total"))
-    structs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"k_{i}").alias("null_count")) for i, n in enumerate(names)])
-    out = row.select(F.inline(structs), "total").select("column", "null_count", pct(F.col("null_count"), F.col("total")).alias("null_pct"))
-    return out if keep_complete else out.filter("null_count > 0")
+    return nulls_from(df.agg(*null_counts(names)), names)
 
 
 def numeric_profile(df: DataFrame, digits: int = 2) -> DataFrame:
@@ -68,8 +74,12 @@ def missing_profile(df: DataFrame, table: str, required: Iterable[str] = ()) ->
     The percentage is rounded before it is compared.
     """
     must = list(required)
+    return missing_from(null_profile(df), table, must)
+
+
+def missing_from(nulls: DataFrame, table: str, must: list[str]) -> DataFrame:
     needed = F.col("column").isin(*must) if must else F.lit(False)
-    return null_profile(df).select(
+    return nulls.select(
         F.lit(table).alias("table"),
         "column",
         "null_count",
@@ -93,9 +103,42 @@ def duplicate_rows(df: DataFrame, names: Iterable[str] | None = None) -> DataFra
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
-def duplicate_profile(checks: list[tuple[str, DataFrame, list[str] | None]]) -> DataFrame:
-    """Duplicate counts of several (name, table, key columns) in one frame."""
-    parts = [duplicate_rows(df, keys).select(F.lit(name).alias("check"), "n_duplicates") for name, df, keys in checks]
+def nested_duplicates(df: DataFrame, levels: list[list[str]]) -> DataFrame:
+    """One row: duplicates of whole rows (``rows``) and of each key, from one pass.
+
+    Every key in ``levels`` continues the one before it. Rows are grouped by the
+    longest key and a 128-bit fingerprint of the row, those groups by the next
+    shorter key, and so on, so whole rows are never moved. Two rows with one key
+    and one fingerprint are taken as equal: for n rows some two would differ
+    with a probability below n * n / 2**128.
+    """
+    kinds = dict(df.dtypes)
+    whole = [col(c) for c in df.columns if "map<" not in kinds[c] and kinds[c] != "variant"]
+    longest = levels[-1]
+    keyed = df.select(*[col(k) for k in longest], F.xxhash64(F.lit(1), *_marked(whole)).alias("__f1"), F.xxhash64(F.lit(2), *_marked(whole)).alias("__f2"))
+    groups = keyed.groupBy(*[col(k) for k in longest], "__f1", "__f2").agg(F.count("*").alias("__n"))
+    extra = [(F.col("__n") - 1).alias("__d0")]
+    groups = groups.select(*[col(k) for k in longest], "__n", *extra)
+    for i, keys in enumerate(reversed(levels), 1):
+        sums = [F.sum(f"__d{k}").alias(f"__d{k}") for k in range(i)]
+        groups = groups.groupBy(*[col(k) for k in keys]).agg(F.sum("__n").alias("__n"), *sums).withColumn(f"__d{i}", F.col("__n") - 1)
+    names = ["rows", *[",".join(k) for k in reversed(levels)]]
+    return groups.agg(*[F.coalesce(F.sum(f"__d{i}"), F.lit(0)).cast("long").alias(n) for i, n in enumerate(names)])
+
+
+def _marked(columns: list[Column]) -> list[Column]:
+    """Each value with a mark of its null, which the hash itself would skip."""
+    return [x for c in columns for x in (c.isNull(), c)]
+
+
+def duplicate_profile(checks: list[tuple[str, DataFrame, list[list[str]]]]) -> DataFrame:
+    """Rows (check, n_duplicates) of (prefix, table, keys from short to long): one pass a table."""
+    parts = []
+    for prefix, df, levels in checks:
+        row = nested_duplicates(df, levels)
+        told = [("rows", "rows"), *[(",".join(k), "key" if len(k) == 1 else "composite_key") for k in levels]]
+        shown = [F.struct(F.lit(f"{prefix}_{name}").alias("check"), col(c).alias("n_duplicates")) for c, name in told]
+        parts.append(row.select(F.inline(F.array(*shown))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -15,13 +15,15 @@ from kerbline import profile as fixed
 from kerbline.columns import col, measured, numeric
 from kerbline.functions.rules import capitalised
 from kerbline.functions.temporal import bad_time_format, day_name, parsed_date
-from kerbline.operators.distribution import describe_numeric, iqr_outliers, ks_profile, zscore_outliers
+from kerbline.operators.distribution import FEWEST_DESCRIBED, ks_table, normal_gap
 from kerbline.operators.forest import isolation_summary
 from kerbline.operators.keys import cross_table_mismatch, key_overlap
-from kerbline.operators.profiling import duplicate_rows, missing_profile, pct
+from kerbline.operators.profiling import melted, missing_profile, nested_duplicates, pct, value_counts
+from kerbline.operators.quantiles import value_of
 from kerbline.operators.summaries import yearly_coverage
-from kerbline.operators.relationships import compare_correlations, pearson_pairs, spearman_pairs
+from kerbline.operators.relationships import compare_correlations, spearman_pairs
 from kerbline.profile import ROAD, Profile
+from kerbline.scale import cumulative_counts, settle, value_counts_long
 
 PASS, ISSUE, INFO, SKIPPED = "PASS", "ISSUE", "INFO", "SKIPPED"
 FINDING_COLUMNS = ("dimension", "check", "table", "column", "n_bad", "n_total", "pct", "status", "detail")
@@ -109,12 +111,16 @@ def timeliness_rules(p: Profile = ROAD, now: Column | None = None) -> list[Rule]
     ]
 
 
-def run_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
-    """Evaluate all rules in one pass; a rule on an absent column is SKIPPED."""
-    have = set(df.columns)
-    usable = [set(r.needs) <= have for r in rules]
-    counts = [F.count_if(F.coalesce(r.bad, F.lit(False))).alias(f"k_{i}") for i, r in enumerate(rules) if usable[i]]
-    row = df.agg(F.count("*").alias("n_total"), *counts)
+def rule_counts(columns: list[str], rules: list[Rule]) -> list[Column]:
+    """Aggregates that ``rules_from`` reads; rules on absent columns have none."""
+    have = set(columns)
+    usable = [(i, r) for i, r in enumerate(rules) if set(r.needs) <= have]
+    return [F.count("*").alias("n_total"), *[F.count_if(F.coalesce(r.bad, F.lit(False))).alias(f"k_{i}") for i, r in usable]]
+
+
+def rules_from(row: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
+    """Findings of all rules from one row of ``rule_counts``; a rule on an absent column is SKIPPED."""
+    usable = [f"k_{i}" in row.columns for i in range(len(rules))]
     structs = []
     for i, r in enumerate(rules):
         n_bad = F.col(f"k_{i}") if usable[i] else F.lit(None).cast("long")
@@ -135,6 +141,11 @@ def run_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     return row.select(F.inline(F.array(*structs)))
 
 
+def run_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
+    """Evaluate all rules in one pass."""
+    return rules_from(df.agg(*rule_counts(df.columns, rules)), table, rules)
+
+
 def as_findings(
     df: DataFrame,
     dimension: str,
@@ -210,77 +221,123 @@ def check_consistency(events: DataFrame, details: DataFrame, p: Profile = ROAD)
     return union_findings([run_rules(events, "events", consistency_rules(p)), cross_table_findings(events, details, p)])
 
 
-def check_completeness(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
+def completeness_findings(missing: DataFrame) -> DataFrame:
     """A finding per required column with nulls, and one per column above the threshold."""
-    parts = []
-    for table, df, required in (("events", events, p.required_event), ("details", details, p.required_detail)):
-        missing = missing_profile(df, table, required)
-        both = F.array(
-            F.struct(F.lit("required_column_has_nulls").alias("check"), F.col("is_required").alias("hit")),
-            F.struct(F.lit("mostly_missing").alias("check"), F.col("is_high").alias("hit")),
-        )
-        hits = missing.select("*", F.inline(both)).filter("hit")
-        shaped = as_findings(hits, "completeness", F.col("check"), F.col("table"), F.col("column"), F.col("null_count"), pct=F.col("null_pct"))
-        parts.append(shaped)
-    return union_findings(parts)
+    both = F.array(
+        F.struct(F.lit("required_column_has_nulls").alias("check"), F.col("is_required").alias("hit")),
+        F.struct(F.lit("mostly_missing").alias("check"), F.col("is_high").alias("hit")),
+    )
+    hits = missing.select("*", F.inline(both)).filter("hit")
+    return as_findings(hits, "completeness", F.col("check"), F.col("table"), F.col("column"), F.col("null_count"), pct=F.col("null_pct"))
+
+
+def check_completeness(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
+    sides = (("events", events, p.required_event), ("details", details, p.required_detail))
+    return union_findings([completeness_findings(missing_profile(df, table, required)) for table, df, required in sides])
 
 
 def check_uniqueness(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
-    n = F.col("n_duplicates")
-    parts = [
-        as_findings(duplicate_rows(events), "uniqueness", "duplicate_row", "events", "*", n),
-        as_findings(duplicate_rows(events, [p.key]), "uniqueness", "duplicate_key", "events", p.key, n),
-        as_findings(duplicate_rows(details), "uniqueness", "duplicate_row", "details", "*", n),
+    pair = [p.key, p.detail_key]
+    paired = set(pair) <= set(details.columns)
+    on_events = nested_duplicates(events, [[p.key]])
+    on_details = nested_duplicates(details, [[p.key], pair] if paired else [[p.key]])
+
+    def told(row: DataFrame, *checks) -> DataFrame:
+        shown = [F.struct(F.lit(c).alias("check"), F.lit(t).alias("t"), F.lit(k).alias("k"), col(n).alias("n"), F.lit(info).alias("info")) for c, t, k, n, info in checks]
+        long = row.select(F.inline(F.array(*shown)))
         # Several details per event are expected.
-        as_findings(duplicate_rows(details, [p.key]), "uniqueness", "repeated_event_key", "details", p.key, n, status=F.lit(INFO)),
+        status = F.when(F.col("info"), INFO).when(F.col("n") > 0, ISSUE).otherwise(PASS)
+        return as_findings(long, "uniqueness", F.col("check"), F.col("t"), F.col("k"), F.col("n"), status=status)
+
+    both = [("duplicate_composite_key", "details", ", ".join(pair), ",".join(pair), False)] if paired else []
+    parts = [
+        told(on_events, ("duplicate_row", "events", "*", "rows", False), ("duplicate_key", "events", p.key, p.key, False)),
+        told(on_details, ("duplicate_row", "details", "*", "rows", False), ("repeated_event_key", "details", p.key, p.key, True), *both),
     ]
-    pair = [p.key, p.detail_key]
-    if set(pair) <= set(details.columns):
-        dup = duplicate_rows(details, pair)
-        parts.append(as_findings(dup, "uniqueness", "duplicate_composite_key", "details", ", ".join(pair), n))
-    else:
+    if not paired:
         parts.append(skipped(details, "uniqueness", "duplicate_composite_key", "details", ", ".join(pair)))
     return union_findings(parts)
 
 
-def check_outliers(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
-    """IQR outliers are flagged for information; removing them is up to cleaning."""
-    parts = []
-    for table, df, names in (("events", events, p.outlier_event), ("details", details, p.outlier_detail)):
-        found = [n for n in names if n in df.columns]
-        if not found:
-            continue
-        fences = iqr_outliers(df, found)
-        span = F.format_string("[%.2f, %.2f]", F.col("lower_fence"), F.col("upper_fence"))
-        parts.append(
-            as_findings(fences, "outliers", "iqr", table, F.col("column"), F.col("n_outliers"), status=F.lit(INFO), detail=span)
-        )
-        far = zscore_outliers(df, found)
-        parts.append(as_findings(far, "outliers", "z_score", table, F.col("column"), F.col("n_outliers"), F.col("n_valid"), status=F.lit(INFO)))
-        if p.key in df.columns:
-            apart = isolation_summary(df, found, p.key, table)
-            shown = F.when(F.col("status") == SKIPPED, SKIPPED).otherwise(INFO)
-            parts.append(as_findings(apart, "outliers", "isolation_forest", table, F.col("features"), F.col("n_anomalies"), F.col("sample_size"), status=shown))
-    return union_findings(parts) if parts else skipped(events, "outliers", "iqr", "events", "*")
+def here(df: DataFrame) -> DataFrame:
+    """A frame of a few rows as a local table, so that what reads it runs no job of the source."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def moment_counts(names: list[str]) -> list[Column]:
+    """Aggregates that ``number_table`` reads."""
+    aggs = []
+    for i, n in enumerate(names):
+        c = value_of(n)
+        for name, f in (("n_valid", F.count), ("mean", F.avg), ("sd", F.stddev), ("skewness", F.skewness)):
+            aggs.append(f(c).alias(f"{name}_{i}"))
+    return aggs
+
+
+def number_table(df: DataFrame, names: list[str], row: DataFrame) -> DataFrame:
+    """Per column quartiles, fences, outliers, moments and distance from the normal.
+
+    One table of ranked values serves them all; ``row`` holds ``moment_counts``.
+    """
+    # Bounded: one row per named column, here and below.
+    stats = melted(row, names, {"n_valid": "n_valid", "mean": "mean", "sd": "sd", "skewness": "skewness"})
+    ranked = settle(cumulative_counts(value_counts_long(df, names)))
+
+    def quantile(p: float) -> Column:
+        k = F.lit(p) * (F.col("total") - 1)
+        at = lambda r: F.max(F.when((F.col("before") <= r) & (r < F.col("before") + F.col("n")), F.col("value")))
+        return at(F.floor(k)) + (at(F.ceil(k)) - at(F.floor(k))) * F.max(k - F.floor(k))
+
+    far = F.abs(F.col("value") - F.col("mean")) > 3.0 * F.col("sd")
+    first = ranked.join(F.broadcast(stats), "column").groupBy("column").agg(
+        quantile(0.25).alias("q1"), quantile(0.5).alias("median"), quantile(0.75).alias("q3"),
+        F.sum(F.when(far, F.col("n")).otherwise(0)).alias("n_far"), F.max(F.when(F.col("sd") > 0, normal_gap())).alias("d"),
+    )
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    first = here(first).withColumns({"lo": F.col("q1") - reach, "hi": F.col("q3") + reach})
+    outside = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
+    beyond = ranked.join(F.broadcast(first), "column").groupBy("column").agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("n_outliers"))
+    return here(stats.join(F.broadcast(first), "column", "left").join(F.broadcast(beyond), "column", "left"))
+
+
+def outlier_findings(numbers: DataFrame, table: str, names: list[str]) -> DataFrame:
+    """IQR and z-score outliers, for information; removing them is up to cleaning."""
+    rows = numbers.filter(F.col("column").isin(*names) & (F.col("n_valid") > 0))
+    span = F.format_string("[%.2f, %.2f]", F.round("lo", 2), F.round("hi", 2))
+    return as_findings(rows, "outliers", "iqr", table, F.col("column"), F.col("n_outliers"), status=F.lit(INFO), detail=span).unionByName(
+        as_findings(rows, "outliers", "z_score", table, F.col("column"), F.col("n_far"), F.col("n_valid"), status=F.lit(INFO))
+    )
 
 
-def check_distribution(events: DataFrame, details: DataFrame, p: Profile = ROAD) -> DataFrame:
+def forest_findings(df: DataFrame, table: str, names: list[str], p: Profile = ROAD) -> DataFrame:
+    apart = isolation_summary(df, names, p.key, table)
+    shown = F.when(F.col("status") == SKIPPED, SKIPPED).otherwise(INFO)
+    return as_findings(apart, "outliers", "isolation_forest", table, F.col("features"), F.col("n_anomalies"), F.col("sample_size"), status=shown)
+
+
+def distribution_findings(numbers: DataFrame, table: str, names: list[str]) -> DataFrame:
     """Moments of the described columns and whether a normal fits them, for information."""
-    parts = []
-    for table, df, names in (("events", events, p.described_event), ("details", details, p.described_detail)):
-        found = [n for n in names if n in df.columns]
-        if not found:
-            parts.append(skipped(df, "distribution", "describe", table, "*"))
-            continue
-        text = F.format_string("mean=%.3f median=%.3f std=%.3f skewness=%.3f", "mean", "median", "std", "skewness")
-        moments = describe_numeric(df, found)
-        parts.append(as_findings(moments, "distribution", "describe", table, F.col("column"), F.lit(0), F.col("n_valid"), status=F.lit(INFO), detail=text))
-        tests = ks_profile(df, found)
-        shown = F.when(F.col("status") == SKIPPED, SKIPPED).otherwise(INFO)
-        text = F.format_string("D=%.4f p=%.6f", "ks_statistic", "p_value")
-        bad = F.coalesce(F.col("not_normal").cast("int"), F.lit(0))
-        parts.append(as_findings(tests, "distribution", "not_normal", table, F.col("column"), bad, F.col("n_valid"), status=shown, detail=F.when(F.col("status") != SKIPPED, text), pct=F.lit(None).cast("double")))
-    return union_findings(parts)
+    rows = numbers.filter(F.col("column").isin(*names))
+    few = F.col("n_valid") < FEWEST_DESCRIBED
+    rounded = [F.round(c, 3) for c in ("mean", "median", "sd", "skewness")]
+    text = F.when(~few, F.format_string("mean=%.3f median=%.3f std=%.3f skewness=%.3f", *rounded)).otherwise("fewer than ten values")
+    shown = F.when(few, SKIPPED).otherwise(INFO)
+    moments = as_findings(rows, "distribution", "describe", table, F.col("column"), F.lit(0), F.col("n_valid"), status=shown, detail=text)
+    tests = ks_table(rows)
+    shown = F.when(F.col("status") == SKIPPED, SKIPPED).otherwise(INFO)
+    text = F.format_string("D=%.4f p=%.6f", "ks_statistic", "p_value")
+    bad = F.coalesce(F.col("not_normal").cast("int"), F.lit(0))
+    fits = as_findings(tests, "distribution", "not_normal", table, F.col("column"), bad, F.col("n_valid"), status=shown, detail=F.when(F.col("status") != SKIPPED, text), pct=F.lit(None).cast("double"))
+    return moments.unionByName(fits)
+
+
+def share_findings(df: DataFrame, table: str, names: list[str]) -> DataFrame:
+    """Values and the share of the most frequent one of each category column, for information."""
+    counts = value_counts(df, names)
+    top = F.max(F.struct("n", "value")).alias("top")
+    rows = counts.groupBy("column").agg(F.count("*").alias("values"), F.sum("n").alias("total"), top)
+    text = F.format_string("%d values, most often %s (%.2f%%)", F.col("values"), F.col("top.value"), F.round(F.col("top.n") / F.col("total") * 100, 2))
+    return as_findings(rows, "distribution", "category_shares", table, F.col("column"), F.lit(0), F.col("total"), status=F.lit(INFO), detail=text)
 
 
 def check_coverage(events: DataFrame, p: Profile = ROAD) -> DataFrame:
@@ -310,11 +367,8 @@ def check_timeliness(events: DataFrame, p: Profile = ROAD, now: Column | None =
     return run_rules(events, "events", timeliness_rules(p, now))
 
 
-def check_relationships(events: DataFrame, p: Profile = ROAD) -> DataFrame:
-    found = [n for n in p.related if n in events.columns]
-    if len(found) < 2:
-        return skipped(events, "relationships", "high_correlation", "events", "*")
-    pairs = compare_correlations(pearson_pairs(events, found), spearman_pairs(events, found))
+def relationship_findings(events: DataFrame, pearson: DataFrame, found: list[str]) -> DataFrame:
+    pairs = compare_correlations(pearson, spearman_pairs(events, found))
     name = F.concat(F.col("left_column"), F.lit(" x "), F.col("right_column"))
     text = F.format_string("pearson=%.3f spearman=%.3f", F.col("pearson"), F.col("spearman"))
     return as_findings(

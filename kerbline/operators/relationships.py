@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbline.columns import measured, numeric, present
 from kerbline.profile import HIGH_CORRELATION_ABOVE, NON_LINEAR_ABOVE
@@ -36,19 +36,27 @@ def _melt_pairs(row: DataFrame, names: list[str], measure: str, digits: int) ->
     return row.select(F.inline(F.array(*structs)))
 
 
+def pearson_counts(names: list[str]) -> list[Column]:
+    """Aggregates that ``pearson_from`` reads, over the rows that have all of the columns."""
+    whole = F.lit(True)
+    for n in names:
+        whole = whole & measured(numeric(n))
+    c = [F.when(whole, numeric(n)) for n in names]
+    # corr() itself fails on a constant column under ANSI.
+    return [
+        F.try_divide(F.covar_pop(c[i], c[j]), F.stddev_pop(c[i]) * F.stddev_pop(c[j])).alias(f"r_{i}_{j}")
+        for i, j in _pairs(names)
+    ]
+
+
+def pearson_from(row: DataFrame, names: list[str], digits: int = 3) -> DataFrame:
+    return _melt_pairs(row, names, "pearson", digits)
+
+
 def pearson_pairs(df: DataFrame, names: Iterable[str], digits: int = 3) -> DataFrame:
     """Pearson r of every pair of columns in one pass over the complete rows."""
     found = present(df, names)
-    rows = _complete(df, found)
-    # corr() itself fails on a constant column under ANSI.
-    aggs = [
-        F.try_divide(
-            F.covar_pop(f"c{i}", f"c{j}"), F.stddev_pop(f"c{i}") * F.stddev_pop(f"c{j}")
-        ).alias(f"r_{i}_{j}")
-        for i, j in _pairs(found)
-    ]
-    row = rows.agg(*aggs)
-    return _melt_pairs(row, found, "pearson", digits)
+    return pearson_from(df.agg(*pearson_counts(found)), found, digits)
 
 
 def spearman_pairs(df: DataFrame, names: Iterable[str], digits: int = 3) -> DataFrame:

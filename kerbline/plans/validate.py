@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kerbline.operators import quality
+from kerbline.columns import present
+from kerbline.operators import profiling, quality, relationships
 from kerbline.profile import ROAD, Profile
 from kerbline.sources.sinks import write_json, write_lines
 
@@ -12,24 +13,50 @@ from kerbline.sources.sinks import write_json, write_lines
 def validate(events: DataFrame, details: DataFrame, profile: Profile = ROAD, now: Column | None = None) -> DataFrame:
     """Findings of all dimensions and of the join between the tables.
 
-    Rules on one table are one aggregate each; raw text columns are expected,
-    dates included.
+    Raw text columns are expected, dates included. Each table gives its rules,
+    nulls, moments and correlations in one aggregate, and one table of ranked
+    values serves quartiles, outliers, medians and the normality test.
     """
     p = profile
     on_events, on_details = quality.accuracy_rules(p)
     on_events = on_events + quality.consistency_rules(p) + quality.timeliness_rules(p, now)
+    related = present(events, p.related)
+    sides = (
+        ("events", events, on_events, p.required_event, p.outlier_event, p.described_event, p.category_event),
+        ("details", details, on_details, p.required_detail, p.outlier_detail, p.described_detail, p.category_detail),
+    )
+    parts = []
+    for table, df, rules, required, outlying, described, categories in sides:
+        outlying, described, categories = (present(df, names) for names in (outlying, described, categories))
+        numbers = list(dict.fromkeys([*outlying, *described]))
+        pairs = relationships.pearson_counts(related) if table == "events" and len(related) > 1 else []
+        asked = [*quality.rule_counts(df.columns, rules), *profiling.null_counts(df.columns), *quality.moment_counts(numbers), *pairs]
+        row = quality.here(df.agg(*asked))
+        parts.append(quality.rules_from(row, table, rules))
+        nulls = profiling.nulls_from(row, df.columns)
+        parts.append(quality.completeness_findings(profiling.missing_from(nulls, table, list(required))))
+        ranked = quality.number_table(df, numbers, row) if numbers else None
+        if outlying:
+            parts.append(quality.outlier_findings(ranked, table, outlying))
+        if outlying and p.key in df.columns:
+            parts.append(quality.forest_findings(df, table, outlying, p))
+        if described:
+            parts.append(quality.distribution_findings(ranked, table, described))
+        else:
+            parts.append(quality.skipped(df, "distribution", "describe", table, "*"))
+        if categories:
+            parts.append(quality.share_findings(df, table, categories))
+        if pairs:
+            parts.append(quality.relationship_findings(df, relationships.pearson_from(row, related), related))
+    if len(related) < 2:
+        parts.append(quality.skipped(events, "relationships", "high_correlation", "events", "*"))
     return quality.union_findings(
         [
-            quality.run_rules(events, "events", on_events),
-            quality.run_rules(details, "details", on_details),
+            *parts,
             quality.category_findings(details, p),
             quality.cross_table_findings(events, details, p),
-            quality.check_completeness(events, details, p),
             quality.check_uniqueness(events, details, p),
-            quality.check_outliers(events, details, p),
-            quality.check_distribution(events, details, p),
             quality.check_coverage(events, p),
-            quality.check_relationships(events, p),
             quality.check_join_integrity(events, details, p),
         ]
     )

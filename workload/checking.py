@@ -172,15 +172,7 @@ def dataset_shape(spark, sf_dir):
 )
 def duplicate_profile(spark, sf_dir):
     acc, veh = views.events(spark, sf_dir), views.details(spark, sf_dir)
-    return profiling.duplicate_profile(
-        [
-            ("events_rows", acc, None),
-            ("events_key", acc, ["acc_id"]),
-            ("details_rows", veh, None),
-            ("details_key", veh, ["acc_id"]),
-            ("details_composite_key", veh, ["acc_id", "veh_ref"]),
-        ]
-    )
+    return profiling.duplicate_profile([("events", acc, [["acc_id"]]), ("details", veh, [["acc_id"], ["acc_id", "veh_ref"]])])
 
 
 _MEASURES = {"veh": ("age", "engine_cc"), "lineitem": ("l_quantity", "l_extendedprice", "l_discount")}
