@@ -39,11 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kerbline.llm.wordhash import mix, pieces, window_hash, words_of
-from kerbline.scale import settle
+from kerbline.scale import settle, within
 
 K = 64
 MISSED = 5e-9
 BITS = 512
+# Ids of which a task may hold a set (about 8 MB), so that texts are not shuffled for them.
+BROADCAST_IDS = 250_000
 _PARITY = [f"p{i}" for i in range(BITS // 64)]
 
 
@@ -254,7 +256,10 @@ def _links(rows: DataFrame, classes: DataFrame, size: int, num: int, den: int, k
     lists = settle(shared.select("node", "n", (F.col("m") - F.col("s")).alias("own"), F.explode(rarest).alias("e")).select("node", "n", "own", F.col("e.v").alias("v")))
     members = settle(classes.select("node", "rep", "sign", "sign2").join(lists.select("node").distinct(), "node"))
     # All texts of a class's smallest id are read; the signs tell which is the class's own.
-    texts = rows.select(F.col("id").alias("rep"), "text").join(members.select("rep").distinct(), "rep")
+    ids = settle(members.select("rep").distinct())
+    # One long a row, counted; beyond that both sides are shuffled.
+    ids = F.broadcast(ids) if within(ids, BROADCAST_IDS) else ids
+    texts = rows.select(F.col("id").alias("rep"), "text").join(ids, "rep")
     found = texts.mapInArrow(_sets(size), "rep long, sign long, sign2 long, set binary")
     sets = settle(found.join(members, ["rep", "sign", "sign2"]).select(F.col("node").alias("id"), "set").dropDuplicates(["id"]))
     # Round one: everyone meets the most central class of each list.
