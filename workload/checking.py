@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbline.operators import distribution, forest, profiling, quality, relationships
+from kerbline.operators import cleaning, distribution, forest, profiling, quality, relationships
 from kerbline.plans.validate import validate
 from workload import views
 from workload.registry import query
@@ -272,7 +272,8 @@ def histogram_2d(spark, sf_dir):
 
 @query("hotspot_grid", with_views(_grid_sql("p"), "acc", p="SELECT lon AS x, lat AS y FROM acc WHERE lat <= 61 AND lon IS NOT NULL"))
 def hotspot_grid(spark, sf_dir):
-    return distribution.density_grid(views.events(spark, sf_dir).filter("lat <= 61"), "lon", "lat")
+    acc = cleaning.null_out_of_bounds(views.events(spark, sf_dir), {"lat": VIEW.bounds["lat"]})
+    return distribution.density_grid(acc, "lon", "lat")
 
 
 _CATEGORIES = {"acc": ("severity", *VIEW.category_event), "veh": VIEW.category_detail}

@@ -74,7 +74,7 @@ def density_band(spark, sf_dir):
 
 @query("kmeans_hotspots")
 def kmeans_hotspots(spark, sf_dir):
-    acc = views.events(spark, sf_dir).select("lat", "lon").filter("lat <= 61")
+    acc = cleaning.null_out_of_bounds(views.events(spark, sf_dir).select("lat", "lon"), {"lat": VIEW.bounds["lat"]})
     return encoding.hotspot_table(encoding.fit_hotspots(acc, "lat", "lon"), acc, "lat", "lon")
 
 
