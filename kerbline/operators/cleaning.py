@@ -10,6 +10,7 @@ from kerbline.columns import col, numeric, present, replace_columns, string_colu
 from kerbline.functions import rules
 from kerbline.operators.imputing import fill_group_mode, fill_median
 from kerbline.profile import ROAD, Profile
+from kerbline.scale import settle
 
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -76,12 +77,17 @@ def clean(df: DataFrame, profile: Profile = ROAD, exact_median: bool = False) ->
     """All cleaning rules in order.
 
     The group mode runs before missing groups are filled, so a row without a
-    group takes the overall mode.
+    group takes the overall mode. The few columns that medians and modes need
+    are stored once, so the rows are evaluated for them and for the result only.
     """
     df = apply_row_rules(df, profile)
-    df = fill_median(df, profile.median, exact=exact_median)
+    used = present(df, [*profile.median, *[c for pair in profile.group_mode for c in pair]])
+    # A column in two steps is counted after the first has filled it.
+    once = used and len(set(used)) == len(used)
+    facts = settle(df.select(*[col(c) for c in used])) if once else None
+    df = fill_median(df, profile.median, exact=exact_median, facts=facts)
     for target, group in profile.group_mode:
-        df = fill_group_mode(df, target, group, profile.fill_value)
+        df = fill_group_mode(df, target, group, profile.fill_value, facts=facts)
     return fill_constant(df, profile.unknown_fill, profile.fill_value)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window, functions as F
@@ -19,7 +19,7 @@ LABEL_OUTPUT = "label"
 FEATURES_OUTPUT = "features"
 SCALED_OUTPUT = "numeric_scaled"
 # Beyond this many values a category is indexed by a stored table.
-DRIVER_CATEGORIES = 200_000
+DRIVER_CATEGORIES = 10_000
 # One-hot columns and the label take a place in each vector for each value.
 MOST_VECTOR_VALUES = 10_000
 
@@ -117,22 +117,27 @@ def scaling_stages(p: Profile = ROAD) -> list:
     ]
 
 
-def encoding_stages(p: Profile = ROAD, category_limit: int = DRIVER_CATEGORIES) -> tuple[list, list[str]]:
+def encoding_stages(p: Profile = ROAD, category_limit: int = DRIVER_CATEGORIES, extra: tuple[str, ...] = ()) -> tuple[list, list[str]]:
     """Index and one-hot stages, and the encoded columns in assembly order.
 
-    One multi-column indexer per kind, so that all columns are counted in one
-    job. Unseen and missing categories take the last index; a missing label is
-    an error.
+    All columns are counted in one pass over the rows. Unseen and missing
+    categories take the last index; a missing label is an error. ``extra``
+    columns are indexed only.
     """
     one_hot, indexed = list(p.one_hot), list(p.indexed)
-    stages: list = [ValueLimit(inputCols=[*one_hot, p.label], most=MOST_VECTOR_VALUES)]
+    names = [*one_hot, *indexed, *extra]
+    indexer = JointIndexer(
+        inputCols=[*names, p.label],
+        outputCols=[*[f"{c}_idx" for c in names], LABEL_OUTPUT],
+        narrow=[*one_hot, p.label],
+        strict=[p.label],
+        limit=category_limit,
+        most=MOST_VECTOR_VALUES,
+    )
+    stages: list = [indexer]
     if one_hot:
-        indices = [f"{c}_idx" for c in one_hot]
-        stages.append(StringIndexer(inputCols=one_hot, outputCols=indices, handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=indices, outputCols=[f"{c}_ohe" for c in one_hot], handleInvalid="keep"))
-    if indexed:
-        stages.append(CategoryIndexer(inputCols=indexed, outputCols=[f"{c}_idx" for c in indexed], limit=category_limit))
-    stages.append(StringIndexer(inputCol=p.label, outputCol=LABEL_OUTPUT, handleInvalid="error"))
+        # The indices carry their number of values, so this fit reads no rows.
+        stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in one_hot], outputCols=[f"{c}_ohe" for c in one_hot], handleInvalid="keep"))
     return stages, [f"{c}_ohe" for c in one_hot] + [f"{c}_idx" for c in indexed]
 
 
@@ -145,12 +150,9 @@ def build_stages(p: Profile = ROAD, include_derived: bool = False, category_limi
 
     The derived columns stay out of the feature vector unless asked for.
     """
-    encoding, encoded = encoding_stages(p, category_limit)
+    encoding, encoded = encoding_stages(p, category_limit, ("location_density",) if include_derived else ())
     stages = [*derived_stages(p), *scaling_stages(p), *encoding]
-    extra: list[str] = []
-    if include_derived:
-        stages.append(StringIndexer(inputCol="location_density", outputCol="location_density_idx", handleInvalid="keep"))
-        extra = ["danger_index", "vehicle_vulnerable", "accident_hotspot_cluster", "location_density_idx"]
+    extra = ["danger_index", "vehicle_vulnerable", "accident_hotspot_cluster", "location_density_idx"] if include_derived else []
     return [*stages, assembly_stage(encoded, extra)]
 
 
@@ -178,34 +180,56 @@ class ValueLimit(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         return PipelineModel([])
 
 
-class CategoryIndexer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Category indices by frequency, fitted on the rows that reach this stage.
+class JointIndexer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Category indices of many columns, fitted on one stored table of value counts.
 
-    Columns of at most ``limit`` values use Spark's indexer, whose values sit on
-    the driver; larger ones use a stored table with the same numbers. Either way
-    the fitted model is complete: it saves, loads and transforms by itself.
+    Same numbers as Spark's indexer: most frequent first, ties in value order.
+    Columns of at most ``limit`` values keep them in the model, larger ones in a
+    stored table; the fitted model is complete either way and saves, loads and
+    transforms by itself. Missing and unseen values take the last index, but
+    are an error in ``strict`` columns. ``narrow`` columns of more than ``most``
+    values are refused.
     """
 
     inputCols = Param(Params._dummy(), "inputCols", "category columns", TypeConverters.toListString)
     outputCols = Param(Params._dummy(), "outputCols", "index columns", TypeConverters.toListString)
-    limit = Param(Params._dummy(), "limit", "values kept on the driver", TypeConverters.toInt)
+    narrow = Param(Params._dummy(), "narrow", "columns that take a place in a vector for each value", TypeConverters.toListString)
+    strict = Param(Params._dummy(), "strict", "columns whose unknown values are an error", TypeConverters.toListString)
+    limit = Param(Params._dummy(), "limit", "values kept in the model", TypeConverters.toInt)
+    most = Param(Params._dummy(), "most", "values allowed in narrow columns", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, outputCols=None, limit=None):
+    def __init__(self, *, inputCols=None, outputCols=None, narrow=None, strict=None, limit=None, most=None):
         super().__init__()
+        self._setDefault(narrow=[], strict=[], limit=DRIVER_CATEGORIES, most=MOST_VECTOR_VALUES)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        names, outputs = self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols)
-        wide = oversized_categories(dataset, tuple(names), self.getOrDefault(self.limit))
-        few = [(n, o) for n, o in zip(names, outputs, strict=True) if n not in wide]
+        names, outputs, narrow, strict, limit, most = (
+            self.getOrDefault(x) for x in (self.inputCols, self.outputCols, self.narrow, self.strict, self.limit, self.most)
+        )
+        texts = [col(n).cast("string").alias(f"c{i}") for i, n in enumerate(names)]
+        long = dataset.select(*texts).unpivot([], [f"c{i}" for i in range(len(names))], "column", "value")
+        counts = settle(long.filter("value is not null").groupBy("column", "value").agg(F.count("*").alias("n")))
+        # One row a column.
+        sizes = {r["column"]: r["values"] for r in counts.groupBy("column").agg(F.count("*").alias("values")).collect()}
+        size = {n: sizes.get(f"c{i}", 0) for i, n in enumerate(names)}
+        if wide := [f"{n} ({size[n]})" for n in names if n in narrow and size[n] > most]:
+            raise ValueError(f"more than {most} values for a vector or label: {', '.join(wide)}")
+        # Narrow and strict columns need Spark's own model: its index carries the number of values.
+        held = [n for n in names if size[n] <= limit or n in narrow or n in strict]
+        labels: dict[str, list] = {f"c{names.index(n)}": [] for n in held}
+        # Bounded: ``limit`` or ``most`` values a column.
+        for r in counts.filter(F.col("column").isin(list(labels))).collect():
+            # Ties stand in the order of code points, as in Spark's indexer and its sorts.
+            labels[r["column"]].append((-r["n"], r["value"]))
         stages: list = []
-        if few:
-            indexer = StringIndexer(inputCols=[n for n, _ in few], outputCols=[o for _, o in few], handleInvalid="keep")
-            stages.append(indexer.fit(dataset))
-        for n, o in zip(names, outputs, strict=True):
-            if n in wide:
-                index = FrequencyIndex.fit(dataset, n)
+        for i, (n, o) in enumerate(zip(names, outputs, strict=True)):
+            if n in held:
+                values = [v for _, v in sorted(labels[f"c{i}"])]
+                stages.append(StringIndexerModel.from_labels(values, n, o, "error" if n in strict else "keep"))
+            else:
+                index = FrequencyIndex.from_counts(n, counts.filter(F.col("column") == f"c{i}").select("value", "n"))
                 path = scratch_path(dataset.sparkSession, "categories")
                 index.table.write.parquet(path)
                 stages.append(CategoryTable(inputCol=n, outputCol=o, table=path))
@@ -242,7 +266,11 @@ class FrequencyIndex:
     @classmethod
     def fit(cls, df: DataFrame, column: str) -> FrequencyIndex:
         text = df.filter(col(column).isNotNull()).select(col(column).cast("string").alias("value"))
-        counts = text.groupBy("value").agg(F.count("*").alias("n"))
+        return cls.from_counts(column, text.groupBy("value").agg(F.count("*").alias("n")))
+
+    @classmethod
+    def from_counts(cls, column: str, counts: DataFrame) -> FrequencyIndex:
+        """From rows (value, n) with each value once."""
         # A row id taken after a range sort holds partition and place, so one
         # task never sees all values.
         ordered = counts.orderBy(F.desc("n"), "value").select(
@@ -261,7 +289,7 @@ class FrequencyIndex:
         output = output or f"{self.column}_idx"
         known = self.table.count()
         table = self.table.select(F.col("value").alias(self.column), F.col("index").alias(output))
-        joined = attach_by_key(df, table, self.column)
+        joined = attach_by_key(df, table, self.column, stored=True)
         return joined.withColumn(output, F.coalesce(col(output), F.lit(float(known))))
 
 

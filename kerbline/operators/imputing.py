@@ -28,12 +28,12 @@ def medians(df: DataFrame, names: Iterable[str], exact: bool = False) -> DataFra
     return df.agg(*[F.percentile_approx(u, 0.5, MEDIAN_ACCURACY).alias(n) for n, u in zip(found, usable)])
 
 
-def fill_median(df: DataFrame, names: Iterable[str], exact: bool = False) -> DataFrame:
-    """Replace null and NaN by the column's median."""
+def fill_median(df: DataFrame, names: Iterable[str], exact: bool = False, facts: DataFrame | None = None) -> DataFrame:
+    """Replace null and NaN by the column's median (of ``facts``, by default the rows themselves)."""
     found = present(df, names)
     if not found:
         return df
-    middle = medians(df, found, exact).select(F.struct(*[col(n) for n in found]).alias("m")).scalar()
+    middle = medians(df if facts is None else facts, found, exact).select(F.struct(*[col(n) for n in found]).alias("m")).scalar()
     filled = df.withColumn("__m", middle)
     new = {n: F.when(measured(col(n).cast("double")), col(n)).otherwise(F.col("__m").getField(n)) for n in found}
     return filled.select(*[new[c].alias(c) if c in new else col(c) for c in df.columns])
@@ -49,27 +49,31 @@ def _best(target: str) -> Column:
     return F.min(F.struct((-F.col("n")).alias("neg"), col(target).alias("value"))).getField("value").alias("mode")
 
 
-def group_modes(df: DataFrame, target: str, group: str) -> DataFrame:
-    """The most frequent target per group; the lowest value wins a tie.
+def _modes(df: DataFrame, target: str, group: str) -> DataFrame:
+    """(group, whole, mode): the mode of each group, and in the ``whole`` row that of all rows.
 
-    Two hash aggregations with partial results, so a hot group costs no more
-    than its distinct values.
+    The counts are partial before the shuffle, so a hot group costs no more than
+    its distinct values; both kinds of mode come from one pass over the rows.
     """
+    levels = mode_counts(df, target, group).rollup(col(target), col(group)).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
+    return levels.filter("level < 2").groupBy(col(group), (F.col("level") == 1).alias("whole")).agg(_best(target))
+
+
+def group_modes(df: DataFrame, target: str, group: str) -> DataFrame:
+    """The most frequent target per group; the lowest value wins a tie."""
     return mode_counts(df, target, group).groupBy(col(group)).agg(_best(target))
 
 
-def fill_group_mode(df: DataFrame, target: str, group: str, nothing: str = "Unknown") -> DataFrame:
+def fill_group_mode(df: DataFrame, target: str, group: str, nothing: str = "Unknown", facts: DataFrame | None = None) -> DataFrame:
     """Fill null targets with the mode of the row's group, else the overall mode.
 
     With no target value at all, ``nothing`` is used. Unchanged when either
-    column is absent.
+    column is absent. ``facts`` are the rows to count, by default those filled.
     """
     if len(present(df, [target, group])) < 2:
         return df
-    # Stored: both kinds of mode come from this one pass over the rows.
-    counts = settle(mode_counts(df, target, group))
-    modes = counts.filter(col(group).isNotNull()).groupBy(col(group)).agg(_best(target)).withColumnRenamed("mode", "__mode")
-    overall = counts.groupBy(col(target)).agg(F.sum("n").alias("n")).agg(_best(target))
-    joined = attach_by_key(df, modes, group).withColumn("__all", overall.scalar())
+    found = settle(_modes(df if facts is None else facts, target, group))
+    modes = found.filter(~F.col("whole") & col(group).isNotNull()).select(col(group), F.col("mode").alias("__mode"))
+    joined = attach_by_key(df, modes, group, stored=True).withColumn("__all", found.filter("whole").select("mode").scalar())
     filled = F.coalesce(col(target), F.col("__mode"), F.col("__all"), F.lit(nothing))
     return joined.select(*[filled.alias(c) if c == target else col(c) for c in df.columns])

@@ -9,7 +9,7 @@ from kerbline.columns import col, measured, numeric
 from kerbline.functions.features import haversine_term
 from kerbline.operators.cleaning import null_columns
 from kerbline.profile import WEATHER_COLUMNS
-from kerbline.scale import spread_left_join, within
+from kerbline.scale import attach_by_key, settle, spread_left_join, within
 
 # Places up to this number are compared with every point inside the tasks.
 SCAN_PLACES = 4_096
@@ -17,6 +17,8 @@ SCAN_PLACES = 4_096
 GRID_LEVELS = 11
 # On the first levels the whole sphere touches well under 100,000 cubes.
 COARSE_LEVELS = 4
+# Detail rows of one key that one task may join.
+HEAVY_ROWS = 1_000_000
 
 
 def nearest_place(
@@ -192,21 +194,36 @@ def join_daily_from(
     return join_daily(events, daily, on)
 
 
-def join_details(events: DataFrame, details: DataFrame, key: str, drop: tuple[str, ...] = ("Year",)) -> DataFrame:
+def heavy_keys(details: DataFrame, key: str, most: int = HEAVY_ROWS) -> DataFrame:
+    """(key, copies): keys with more than ``most`` rows, and over how many shares to deal them.
+
+    Counts are partial before the shuffle; the result has at most one row for
+    each ``most`` rows of the table.
+    """
+    counts = details.select(col(key)).filter(col(key).isNotNull()).groupBy(col(key)).agg(F.count("*").alias("__n"))
+    return counts.filter(F.col("__n") > most).select(col(key), F.ceil(F.col("__n") / most).cast("int").alias("__copies"))
+
+
+def join_details(events: DataFrame, details: DataFrame, key: str, drop: tuple[str, ...] = ("Year",), most: int = HEAVY_ROWS) -> DataFrame:
     """Left-join 1:n detail rows; events without details are kept.
 
-    ``drop`` names detail columns that repeat an event column. The left join is
-    written as inner join plus anti join: a key holding very many detail rows
-    makes the right side hot, which the adaptive skew join can split in an
-    inner join but not in a left join.
+    ``drop`` names detail columns that repeat an event column. A left join can
+    not split a hot right side at runtime, so keys with more than ``most``
+    detail rows are dealt over shares of about that size, and their events are
+    copied to each. Rows with a null key do not meet in one task.
     """
     details = details.drop(*[c for c in drop if c in details.columns])
     extra = [c for c in details.columns if c != key]
-    matched = events.join(details, key, "inner")
-    keys = details.select(col(key)).filter(col(key).isNotNull()).distinct()
-    alone = events.join(keys, key, "left_anti")
-    types = dict(details.dtypes)
-    order = [col(c) for c in events.columns]
-    return matched.select(*order, *[col(c) for c in extra]).unionByName(
-        alone.select(*order, *[F.lit(None).cast(types[c]).alias(c) for c in extra])
-    )
+    heavy = settle(heavy_keys(details, key, most))
+    if heavy.isEmpty():
+        return spread_left_join(events, details, [key]).select(*[col(c) for c in events.columns], *[col(c) for c in extra])
+    # The share follows from the row and its partition, so a retried task deals alike and equal rows are spread.
+    share = F.pmod(F.xxhash64(*[col(c) for c in details.columns], F.spark_partition_id()), F.coalesce(F.col("__copies"), F.lit(1))).cast("int")
+    # Bounded: one row for each ``most`` detail rows, counted by attach_by_key.
+    dealt = attach_by_key(details, heavy, key, stored=True).withColumn("__share", share).drop("__copies").withColumn("__met", F.lit(True))
+    copied = attach_by_key(events, heavy, key, stored=True)
+    copied = copied.withColumn("__share", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__copies"), F.lit(1)) - 1)))
+    joined = spread_left_join(copied, dealt, [key, "__share"])
+    # A hot key has details, so its copies that met none stand for no row.
+    joined = joined.filter(F.col("__copies").isNull() | F.col("__met"))
+    return joined.select(*[col(c) for c in events.columns], *[col(c) for c in extra])

@@ -25,6 +25,8 @@ from kerbline.operators.relationships import compare_correlations, spearman_pair
 from kerbline.profile import ROAD, Profile
 from kerbline.scale import cumulative_counts, settle, value_counts_long
 
+# File names written into a finding's text; the ledger holds all.
+SHOWN_FILES = 20
 PASS, ISSUE, INFO, SKIPPED = "PASS", "ISSUE", "INFO", "SKIPPED"
 FINDING_COLUMNS = ("dimension", "check", "table", "column", "n_bad", "n_total", "pct", "status", "detail")
 
@@ -389,6 +391,23 @@ def check_join_integrity(events: DataFrame, details: DataFrame, p: Profile = ROA
     return as_findings(long, "join_integrity", F.col("check"), F.col("t"), p.key, F.col("bad"), F.col("all"))
 
 
+def file_findings(ledger: DataFrame, table: str = "weather") -> DataFrame:
+    """Files read in part or not at all, and lines without a valid date, from a ledger of ``file_ledger``."""
+    parts = []
+    for reason, check in (("damaged", "damaged_files"), ("no header", "files_without_header")):
+        bad = F.col("reason") == reason
+        row = ledger.agg(
+            F.count_if(bad).alias("bad"),
+            F.count("*").alias("total"),
+            F.array_join(F.slice(F.array_sort(F.collect_set(F.when(bad, F.regexp_extract("file", "[^/]*$", 0)))), 1, SHOWN_FILES), ", ").alias("names"),
+        )
+        status = F.when(F.col("bad") > 0, F.lit(ISSUE)).otherwise(F.lit(PASS))
+        parts.append(as_findings(row, "completeness", check, table, "file", F.col("bad"), F.col("total"), status=status, detail=F.nullif("names", F.lit(""))))
+    row = ledger.agg(F.sum(F.col("lines") - F.col("dated")).alias("bad"), F.sum("lines").alias("total"))
+    parts.append(as_findings(row, "completeness", "lines_without_date", table, "file", F.coalesce("bad", F.lit(0)), F.coalesce("total", F.lit(0))))
+    return union_findings(parts)
+
+
 def issue_rollup(findings: DataFrame) -> DataFrame:
     """Issues per dimension, with their overall number on every row."""
     counts = findings.filter(F.col("status") == ISSUE).groupBy("dimension").agg(F.count("*").alias("n_issues"))

@@ -57,25 +57,25 @@ def summary_lines(report: dict[str, DataFrame], profile: Profile = ROAD) -> Data
     number = lambda c: F.format_number(F.col(c), 0)
     mean = F.format_string("%.2f", "avg_casualties")
     severity = F.format_string(
-        "  %s: %s (%.2f%%) | Avg Casualties: %s", name(p.label), number("count"), "percentage", mean
+        "  %s: %s (%.2f%%), mean casualties %s", name(p.label), number("count"), "percentage", mean
     )
-    weather = F.format_string("  %s: %s | Avg Casualties: %s", name(p.weather), number("count"), mean)
+    weather = F.format_string("  %s: %s, mean casualties %s", name(p.weather), number("count"), mean)
     days = F.format_string("  %s: %s", name("day_name"), number("count"))
     share = F.col("count") / F.col("__total") * 100
     band = F.format_string("  %s: %s (%.1f%%)", name("location_density"), number("count"), share)
-    overview = F.format_string("Total Records: %s, Total Features: %s", number("total_rows"), number("total_columns"))
+    overview = F.format_string("%s rows of %s columns", number("total_rows"), number("total_columns"))
     top = summaries.top_by_count(report["weather_analysis"], p.weather, 5)
     bands = report["by_density"].withColumn("__total", total)
     parts = [
-        heading(1, "DATASET OVERVIEW"),
+        heading(1, "Size"),
         _numbered(shape, 1, overview, F.col("total_rows")),
-        heading(2, "SEVERITY DISTRIBUTION"),
+        heading(2, "Share of each severity"),
         _numbered(report["severity_distribution"], 2, severity, col(p.label)),
-        heading(3, "TOP WEATHER CONDITIONS"),
+        heading(3, "Most frequent weather"),
         _numbered(top, 3, weather, F.desc("count"), col(p.weather)),
-        heading(4, "DAY OF WEEK"),
+        heading(4, "Events by weekday"),
         _numbered(report["day_of_week"], 4, days, F.col("day_name")),
-        heading(5, "LOCATION DENSITY"),
+        heading(5, "Events by density band"),
         _numbered(bands, 5, band, F.col("location_density")),
     ]
     return reduce(DataFrame.unionByName, parts)

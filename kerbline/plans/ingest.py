@@ -8,6 +8,7 @@ from kerbline.operators.cleaning import null_columns
 from kerbline.operators.joins import join_daily, join_details, nearest_place
 from kerbline.profile import ROAD, WEATHER_COLUMNS, Profile
 from kerbline.sources.sinks import materialize, write_by
+from kerbline.sources.weather import file_ledger, read_daily_weather
 
 
 def merge(
@@ -55,3 +56,14 @@ def ingest(
     merged = merge(events, details, stations, daily, p, located)
     write_by(merged, f"{work_dir}/merged.parquet", p.year)
     return spark.read.parquet(f"{work_dir}/merged.parquet")
+
+
+def ingest_weather(spark: SparkSession, path: str, work_dir: str, **options) -> tuple[DataFrame, DataFrame]:
+    """The daily table of all weather files below ``path``, and its file ledger; both are stored.
+
+    The ledger goes to the quality report (``validate``), so that files read
+    in part or not at all are told. ``options`` are those of ``read_daily_weather``.
+    """
+    daily = materialize(spark, f"{work_dir}/daily.parquet", lambda: read_daily_weather(spark, path, **options))
+    ledger = materialize(spark, f"{work_dir}/weather_files.parquet", lambda: file_ledger(spark, path))
+    return daily, ledger

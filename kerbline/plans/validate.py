@@ -10,12 +10,15 @@ from kerbline.profile import ROAD, Profile
 from kerbline.sources.sinks import write_json, write_lines
 
 
-def validate(events: DataFrame, details: DataFrame, profile: Profile = ROAD, now: Column | None = None) -> DataFrame:
+def validate(
+    events: DataFrame, details: DataFrame, profile: Profile = ROAD, now: Column | None = None, files: DataFrame | None = None
+) -> DataFrame:
     """Findings of all dimensions and of the join between the tables.
 
     Raw text columns are expected, dates included. Each table gives its rules,
     nulls, moments and correlations in one aggregate, and one table of ranked
-    values serves quartiles, outliers, medians and the normality test.
+    values serves quartiles, outliers, medians and the normality test. ``files``
+    is the ledger of the weather files read (``ingest_weather``).
     """
     p = profile
     on_events, on_details = quality.accuracy_rules(p)
@@ -58,6 +61,7 @@ def validate(events: DataFrame, details: DataFrame, profile: Profile = ROAD, now
             quality.check_uniqueness(events, details, p),
             quality.check_coverage(events, p),
             quality.check_join_integrity(events, details, p),
+            *([quality.file_findings(files)] if files is not None else []),
         ]
     )
 

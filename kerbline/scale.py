@@ -100,9 +100,12 @@ def spread_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> Data
     return salted.join(other, [*keys, "__salt"], "left").drop("__salt")
 
 
-def attach_by_key(df: DataFrame, table: DataFrame, key: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left-join a lookup table with one row per key, by broadcast if it is small."""
-    table = settle(table)
+def attach_by_key(df: DataFrame, table: DataFrame, key: str, max_rows: int = BROADCAST_ROWS, stored: bool = False) -> DataFrame:
+    """Left-join a lookup table with one row per key, by broadcast if it is small.
+
+    A ``stored`` table is cheap to read twice and not stored again.
+    """
+    table = table if stored else settle(table)
     order = df.columns + [c for c in table.columns if c != key]
     if within(table, max_rows):
         joined = df.join(F.broadcast(table), key, "left")

@@ -71,6 +71,22 @@ def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
     return broken.unionByName(missing.withColumn("reason", F.lit("no header")))
 
 
+def file_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(file, lines, dated, reason): every file with the lines read, those with a valid date, and what is wrong.
+
+    ``reason`` is null for a file read in full. Lines exclude the header; of a
+    damaged file they are those before the damage.
+    """
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/").alias("file")
+    headers = file_headers(spark, path)
+    lines = attach_by_key(_lines(spark, path), headers, "file").filter(F.col("names").isNull() | ~_is_header(F.col("fields")))
+    parts = [F.get("fields", (F.array_position("names", d) - 1).cast("int")) for d in DATE_PARTS]
+    counts = lines.groupBy(plain("file")).agg(F.count("*").alias("lines"), F.count(date_from_parts(*parts)).alias("dated"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(plain("path"))
+    told = files.join(counts, "file", "left").join(unreadable_files(spark, path), "file", "left")
+    return told.select("file", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("lines", "dated")], "reason")
+
+
 def read_daily_weather(
     spark: SparkSession,
     path: str,

@@ -155,3 +155,31 @@ def test_hotspots_find_separate_groups(spark):
     assert [r["pct"] for r in table] == [60.0, 30.0, 10.0]
     for r, (a, b) in zip(table, centres):
         assert math.dist((r["centre_lat"], r["centre_lon"]), (a, b)) < 0.1
+
+
+def test_joint_indices_are_those_of_single_indexers(spark, tmp_path):
+    from pyspark.ml.feature import StringIndexer
+
+    rows = [("b", "x", 1), ("a", "x", 1), ("a", None, 2), (None, "\U0001f600", 3), ("b", "\uff5e", 3), ("c", "y", 1)]
+    df = spark.createDataFrame(rows, "p string, q string, label int")
+    unseen = spark.createDataFrame([("z", "y", 1), (None, None, 2)], "p string, q string, label int")
+    for limit in (1, 100):
+        joint = encoding.JointIndexer(inputCols=["p", "q", "label"], outputCols=["i", "j", "l"], narrow=["label"], strict=["label"], limit=limit)
+        model = joint.fit(df)
+        for part in (df, unseen):
+            got = sorted(tuple(r) for r in model.transform(part).select("i", "j", "l").collect())
+            plain = part
+            for c, o, kind in (("p", "i", "keep"), ("q", "j", "keep"), ("label", "l", "error")):
+                plain = StringIndexer(inputCol=c, outputCol=o, handleInvalid=kind).fit(df).transform(plain)
+            want = sorted(tuple(r) for r in plain.select("i", "j", "l").collect())
+            assert got == want
+    with pytest.raises(Exception, match="(?i)unseen"):
+        model.transform(unseen.withColumn("label", F.lit(9))).collect()
+    with pytest.raises(ValueError, match="label"):
+        encoding.JointIndexer(inputCols=["label"], outputCols=["l"], narrow=["label"], most=2).fit(df)
+
+
+def test_joint_indices_of_empty_columns(spark):
+    df = spark.createDataFrame([], "p string, label string")
+    model = encoding.JointIndexer(inputCols=["p"], outputCols=["i"]).fit(df)
+    assert model.transform(spark.createDataFrame([("a",), (None,)], "p string")).agg(F.min("i"), F.max("i")).first() == (0.0, 0.0)

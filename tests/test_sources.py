@@ -3,9 +3,9 @@ from pathlib import Path
 
 import pytest
 
-from kerbline.operators import encoding, summaries
+from kerbline.operators import encoding, quality, summaries
 from kerbline.plans.explore import explore, save_report, summary_lines
-from kerbline.plans.ingest import ingest
+from kerbline.plans.ingest import ingest, ingest_weather
 from kerbline.plans.prepare import label_counts, prepare
 from kerbline.profile import INDEXED_COLUMNS, NUMERIC_COLUMNS, ONE_HOT_COLUMNS, ROAD
 from kerbline.sources import sinks, tables, weather
@@ -115,12 +115,13 @@ def test_ingest_prepare_and_explore(spark, tmp_path):
     assert merged.count() == n_merged  # the stored located events were used again
 
     ready = prepare(merged, split_key="Accident_Index", out_dir=str(tmp_path / "out"))
-    n_stages = 4 + 2 + 5 + 1  # derived, scaling, multi-column encoding, assembly
+    n_stages = 4 + 2 + 2 + 1  # derived, scaling, joint indices and one-hot, assembly
     assert len(ready.model.stages) == n_stages
     check = encoding.written_check(ready.train).first()
     assert check["n_rows"] > 0 and (check["null_features"], check["null_labels"]) == (0, 0)
     assert {r["label"] for r in label_counts(ready.train).collect()} == {0.0, 1.0, 2.0}
-    labels = [s for s in ready.model.stages if s.uid.startswith("StringIndexer")][-1].labels
+    joint = next(s for s in ready.model.stages if hasattr(s, "stages"))
+    labels = joint.stages[-1].labels
     assert labels == ["Slight", "Serious", "Fatal"]  # most frequent first
     cleaned = spark.read.parquet(str(tmp_path / "out" / "cleaned.parquet"))
     scaled = ready.model.transform(cleaned)
@@ -132,7 +133,7 @@ def test_ingest_prepare_and_explore(spark, tmp_path):
     save_report(report, str(tmp_path / "eda"))
     assert report["severity_distribution"].count() == 3
     lines = [r["line"] for r in summary_lines(report).orderBy("line_no").collect()]
-    assert lines[0] == "DATASET OVERVIEW" and "LOCATION DENSITY" in lines
+    assert lines[0] == "Size" and "Events by density band" in lines
     assert spark.read.json(str(tmp_path / "eda" / "hourly.json")).count() == 24
 
 
@@ -182,6 +183,14 @@ def test_many_layouts_and_a_damaged_file(spark, tmp_path):
     assert rows == {f"S{i}": float(i) for i in range(300)}
     told = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in weather.unreadable_files(spark, str(tmp_path)).collect()}
     assert told == {"BAD_2005.csv.gz": "damaged", "NONE_2005.csv.gz": "no header"}
+    daily, ledger = ingest_weather(spark, str(tmp_path), f"{tmp_path}-work")
+    assert daily.filter("station_id <> 'BAD'").count() == 300
+    files = {r["file"].rsplit("/", 1)[1]: (r["lines"], r["dated"], r["reason"]) for r in ledger.collect()}
+    assert len(files) == 302 and files["S7_2005.csv.gz"] == (1, 1, None) and files["NONE_2005.csv.gz"] == (2, 0, "no header")
+    assert files["BAD_2005.csv.gz"][2] == "damaged" and files["BAD_2005.csv.gz"][0] < 50_000
+    findings = {r["check"]: (r["n_bad"], r["status"], r["detail"]) for r in quality.file_findings(ledger).collect()}
+    assert findings["damaged_files"] == (1, "ISSUE", "BAD_2005.csv.gz")
+    assert findings["files_without_header"] == (1, "ISSUE", "NONE_2005.csv.gz")
 
 
 def test_oversized_categories(spark):

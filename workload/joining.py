@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kerbline.operators import joins, keys, sampling
-from kerbline.plans.ingest import merge
+from kerbline.plans.ingest import ingest, ingest_weather, merge
 from kerbline.scale import scratch_path
 from workload import views
 from workload.registry import query
-from workload.views import VIEW, with_views
+from workload.views import STATION_FOLDER, VIEW, ragged_files, with_views
 
 HAVERSINE = """pow(sin((radians(latitude) - radians(lat)) / 2), 2)
  + cos(radians(lat)) * cos(radians(latitude)) * pow(sin((radians(longitude) - radians(lon)) / 2), 2)"""
@@ -100,6 +100,30 @@ def merge_all(spark, sf_dir):
     return out.select("acc_id", "acc_year", "severity", "station_id", "tavg", "prcp", "veh_ref", "vehicle_type")
 
 
+@query(
+    "ingest_all",
+    with_views(
+        """SELECT acc.acc_id, acc_year, severity, id AS station_id, CAST(CASE WHEN CAST(id AS INTEGER) % 3 = 2 OR day(acc_date) = 13 THEN NULL ELSE tavg END AS FLOAT) AS tavg,
+ CAST(CASE WHEN day(acc_date) <> 17 THEN prcp END AS FLOAT) AS prcp, veh_ref, vehicle_type FROM acc
+ LEFT JOIN ranked ON acc.acc_id = ranked.acc_id LEFT JOIN wx ON ranked.id = wx.station_id AND acc.acc_date = wx.time AND day(wx.time) <> 17
+ LEFT JOIN veh ON acc.acc_id = veh.acc_id""",
+        "acc",
+        "veh",
+        "stn",
+        "wx",
+        ranked=RANKED,
+    ),
+)
+def ingest_all(spark, sf_dir):
+    """From the weather files on: read, store, locate, join the day, join the details, store by year."""
+    base = scratch_path(spark, "ingest")
+    ragged_files(spark, sf_dir, f"{base}/raw")
+    daily, _ = ingest_weather(spark, f"{base}/raw", base, first="1990-01-01", last="2030-12-31", station=STATION_FOLDER)
+    veh = views.details(spark, sf_dir).withColumnRenamed("veh_year", "acc_year")
+    out = ingest(spark, views.events(spark, sf_dir), veh, views.places(spark, sf_dir), daily, base, VIEW)
+    return out.select("acc_id", "acc_year", "severity", "station_id", "tavg", "prcp", "veh_ref", "vehicle_type")
+
+
 _KEYS = {
     "a": "SELECT DISTINCT acc_id FROM acc WHERE acc_id IS NOT NULL",
     "v": "SELECT DISTINCT acc_id FROM veh WHERE acc_id IS NOT NULL",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbline.operators import encoding
+from kerbline.operators import encoding, quality
 from kerbline.plans.explore import explore, summary_lines
 from kerbline.scale import scratch_path
 from kerbline.sources import sinks, tables, weather
@@ -44,23 +44,20 @@ _RAGGED = """SELECT station_id, time, CAST(CASE WHEN CAST(station_id AS INTEGER)
 def ragged_csv_union(spark, sf_dir):
     """Three file layouts, some bad numbers (day 13) and bad dates (day 17)."""
     base = scratch_path(spark, "weather")
-    day = F.dayofmonth("time")
-    wx = views.daily(spark, sf_dir).select(
-        F.concat(F.col("station_id"), F.lit("_all")).alias("station"),
-        (F.col("station_id").cast("int") % 3).alias("layout"),
-        F.year("time").alias("year"),
-        F.month("time").alias("month"),
-        F.when(day == 17, F.lit(77)).otherwise(day).alias("day"),
-        F.when(day == 13, F.lit("?")).otherwise(F.col("tavg").cast("string")).alias("temp"),
-        "prcp",
-        day.alias("snwd"),
-        F.lit(0).alias("wpgt"),
-    )
-    layouts = (("year", "month", "day", "temp", "prcp"), ("year", "month", "day", "temp", "snwd", "prcp"), ("prcp", "wpgt", "day", "month", "year"))
-    for i, names in enumerate(layouts):
-        part = wx.filter(F.col("layout") == i).select("station", *names)
-        part.write.partitionBy("station").option("header", True).option("compression", "gzip").csv(f"{base}/{i}")
-    return weather.read_daily_weather(spark, base, "1996-01-01", "2000-12-31", station=r"station=([^/]*)_[^_/]*/[^/]*$")
+    views.ragged_files(spark, sf_dir, base)
+    return weather.read_daily_weather(spark, base, "1996-01-01", "2000-12-31", station=views.STATION_FOLDER)
+
+
+_FILES = """SELECT 'damaged_files' AS "check", 0::BIGINT AS n_bad, 'PASS' AS status
+ UNION ALL SELECT 'files_without_header', 0, 'PASS'
+ UNION ALL SELECT 'lines_without_date', count(*) FILTER (day(time) = 17), CASE WHEN count(*) FILTER (day(time) = 17) > 0 THEN 'ISSUE' ELSE 'PASS' END FROM wx"""
+
+
+@query("weather_file_findings", with_views(_FILES, "wx"))
+def weather_file_findings(spark, sf_dir):
+    base = scratch_path(spark, "weather")
+    views.ragged_files(spark, sf_dir, base)
+    return quality.file_findings(weather.file_ledger(spark, base)).select("check", "n_bad", "status")
 
 
 @query("place_reference", with_views("SELECT id, latitude, longitude FROM stn WHERE CAST(id AS BIGINT) % 25 != 0", "stn"))
@@ -137,17 +134,17 @@ def nested_report(spark, sf_dir):
     return read.select(*[F.col(f"{c}.count").alias(c.lower()) for c in ("Fatal", "Serious", "Slight")])
 
 
-_LINES = """SELECT 1000000 AS line_no, 'DATASET OVERVIEW' AS line
- UNION ALL SELECT 1000001, format('Total Records: {:,}, Total Features: 17', count(*)) FROM acc
- UNION ALL SELECT 2000000, 'SEVERITY DISTRIBUTION'
- UNION ALL SELECT 2000000 + row_number() OVER (ORDER BY severity), format('  {}: {:,} ({:.2f}%) | Avg Casualties: {:.2f}', severity, count(*),
+_LINES = """SELECT 1000000 AS line_no, 'Size' AS line
+ UNION ALL SELECT 1000001, format('{:,} rows of 17 columns', count(*)) FROM acc
+ UNION ALL SELECT 2000000, 'Share of each severity'
+ UNION ALL SELECT 2000000 + row_number() OVER (ORDER BY severity), format('  {}: {:,} ({:.2f}%), mean casualties {:.2f}', severity, count(*),
  round(count(*) / (SELECT count(*) FROM acc) * 100, 2), round(avg(n_casualties), 2)) FROM acc GROUP BY severity
- UNION ALL SELECT 3000000, 'TOP WEATHER CONDITIONS'
- UNION ALL SELECT 3000000 + row_number() OVER (ORDER BY n DESC, weather), format('  {}: {:,} | Avg Casualties: {:.2f}', weather, n, m)
+ UNION ALL SELECT 3000000, 'Most frequent weather'
+ UNION ALL SELECT 3000000 + row_number() OVER (ORDER BY n DESC, weather), format('  {}: {:,}, mean casualties {:.2f}', weather, n, m)
  FROM (SELECT weather, count(*) AS n, round(avg(n_casualties), 2) AS m FROM acc GROUP BY 1 ORDER BY n DESC, weather LIMIT 5)
- UNION ALL SELECT 4000000, 'DAY OF WEEK'
+ UNION ALL SELECT 4000000, 'Events by weekday'
  UNION ALL SELECT 4000000 + row_number() OVER (ORDER BY dayname(acc_date)), format('  {}: {:,}', dayname(acc_date), count(*)) FROM acc GROUP BY dayname(acc_date)
- UNION ALL SELECT 5000000, 'LOCATION DENSITY'
+ UNION ALL SELECT 5000000, 'Events by density band'
  UNION ALL SELECT 5000000 + row_number() OVER (ORDER BY band), format('  {}: {:,} ({:.1f}%)', band, count(*), count(*) / (SELECT count(*) FROM acc) * 100)
  FROM banded GROUP BY band"""
 

@@ -146,6 +146,32 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.groupBy(*DAILY_KEYS).agg(*[F.expr(e).alias(n) for n, e in DAILY_VALUES.items()])
 
 
+# The station in the path of a file of ``ragged_files``.
+STATION_FOLDER = r"station=([^/]*)_[^_/]*/[^/]*$"
+
+
+def ragged_files(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """The daily data as weather files of three layouts, with bad numbers (day 13) and bad dates (day 17)."""
+    from pyspark.sql import functions as F
+
+    day = F.dayofmonth("time")
+    wx = daily(spark, sf_dir).select(
+        F.concat(F.col("station_id"), F.lit("_all")).alias("station"),
+        (F.col("station_id").cast("int") % 3).alias("layout"),
+        F.year("time").alias("year"),
+        F.month("time").alias("month"),
+        F.when(day == 17, F.lit(77)).otherwise(day).alias("day"),
+        F.when(day == 13, F.lit("?")).otherwise(F.col("tavg").cast("string")).alias("temp"),
+        "prcp",
+        day.alias("snwd"),
+        F.lit(0).alias("wpgt"),
+    )
+    layouts = (("year", "month", "day", "temp", "prcp"), ("year", "month", "day", "temp", "snwd", "prcp"), ("prcp", "wpgt", "day", "month", "year"))
+    for i, names in enumerate(layouts):
+        part = wx.filter(F.col("layout") == i).select("station", *names)
+        part.write.partitionBy("station").option("header", True).option("compression", "gzip").csv(f"{base}/{i}")
+
+
 def _sql(columns: dict[str, str], source: str) -> str:
     return "SELECT " + ", ".join(f"{expr} AS {name}" for name, expr in columns.items()) + f" FROM {source}"
 
