@@ -39,6 +39,8 @@ FILE_BYTES = 1 << 30
 BLOCK_LINES = 1_000
 GAP = 64 << 10
 SPAN = 8 << 20
+# Bytes of archive that one task reads.
+TASK_BYTES = 256 << 20
 _CAPTURE = "key string, stamp string, page_id long, file string, place long, size long"
 _TAIL = "<QQ"
 
@@ -263,7 +265,9 @@ def lookup(urls: DataFrame, files: DataFrame, folder: str) -> DataFrame:
     if not listed:
         return urls.sparkSession.createDataFrame([], _CAPTURE)
     asked = wanted.mapInArrow(_blocks(folder, listed), "name string, at long, bytes long, key string")
-    asked = asked.repartition("name", "at").sortWithinPartitions("name", "at")
+    # A block is one read; small tasks are not merged by the size of their pointers.
+    tasks = urls.sparkSession.sparkContext.defaultParallelism
+    asked = asked.repartition(max(tasks, int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "name", "at").sortWithinPartitions("name", "at")
     return asked.mapInArrow(_captures(folder), _CAPTURE)
 
 
@@ -329,10 +333,13 @@ def _reader(folder: str):
 def read_records(captures: DataFrame, folder: str) -> DataFrame:
     """(page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload) of captures.
 
-    Stretches of ``SPAN`` bytes are dealt to tasks, so one archive is read by many.
+    Stretches of ``SPAN`` bytes are dealt to tasks, so one archive is read by many. The
+    number of tasks follows from the bytes to read, not from the size of the pointers.
     """
-    placed = captures.select("file", "place", "size", F.floor(F.col("place") / SPAN).alias("stretch"))
-    placed = placed.repartition("file", "stretch").sortWithinPartitions("file", "place").drop("stretch")
+    placed = settle(captures.select("file", "place", "size", F.floor(F.col("place") / SPAN).alias("stretch")))
+    total = placed.agg(F.sum("size")).first()[0] or 0
+    tasks = max(placed.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    placed = placed.repartition(tasks, "file", "stretch").sortWithinPartitions("file", "place").drop("stretch")
     schema = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     return placed.mapInArrow(_reader(folder), schema)
 
