@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from kerbline.scale import settle
+
 # Common insults by kind, lower case.
 LEXICONS = {
     "mind": "idiot idiots idiotic moron moronic stupid dumb imbecile fool fools foolish clown clowns dumbass halfwit dimwit brainless",
@@ -45,7 +47,6 @@ WORD = re.compile(r"[^\W\d_]+")
 STARTS = range(4, 8)
 SAMPLE_ROWS = 20_000
 FEWEST_ROWS = 5
-TABLE = 5_000
 PRECISION = 0.6
 _LEXICON_OF = {w: k for k, ws in LEXICONS.items() for w in ws.split()}
 _PATTERNS = {k: re.compile(p) for k, p in PATTERNS.items()}
@@ -211,8 +212,8 @@ def _learn(sample: DataFrame) -> dict:
         return {"words": {}, "starts": {}, "heads": frozenset()}
     tally = _tally("text")
     often = sample.filter("y = 1").mapInArrow(tally, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).filter(F.col("n") >= FEWEST_ROWS)
-    # Bounded: a list of fixed length from a bounded sample.
-    bad = {r["feature"]: r["n"] for r in often.orderBy(F.desc("n"), "feature").limit(20 * TABLE).collect()}
+    # Bounded by the sample: features of FEWEST_ROWS or more of its toxic rows.
+    bad = {r["feature"]: r["n"] for r in often.collect()}
     wanted = frozenset(bad)
     others = sample.filter("y = 0").mapInArrow(lambda it: tally(it, wanted), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     good = {r["feature"]: r["n"] for r in others.collect()}
@@ -220,9 +221,8 @@ def _learn(sample: DataFrame) -> dict:
     for f, n in bad.items():
         rate, base = n / toxic, (good.get(f, 0) + 0.5) / (clean + 1)
         if n >= PRECISION * (n + good.get(f, 0)):
-            scored.append((n * np.log(rate / base), f, float(np.log(rate / base))))
-    scored.sort(reverse=True)
-    best = {f: e for _, f, e in scored[:TABLE]}
+            scored.append((f, float(np.log(rate / base))))
+    best = dict(sorted(scored))
     starts = {f[:-1]: e for f, e in best.items() if f.endswith("*")}
     words = {f: e for f, e in best.items() if not f.endswith("*")}
     return {"words": words, "starts": starts, "heads": frozenset(f[: STARTS[0]] for f in starts)}
@@ -258,12 +258,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     picked = marked.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_003)) < share * 1_000_003)
     texts = docs.select("doc_id", "text")
     # The sample is bounded by ``sample_rows``, so it can be sent to the documents.
-    sample = texts.join(F.broadcast(picked), "doc_id").select("text", "y").persist()
-    try:
-        learned = _learn(sample)
-        rows = sample.mapInArrow(_hits(learned), "y int, hits array<double>").collect()
-    finally:
-        sample.unpersist()
+    sample = settle(texts.join(F.broadcast(picked), "doc_id").select("text", "y"))
+    learned = _learn(sample)
+    rows = sample.mapInArrow(_hits(learned), "y int, hits array<double>").collect()
     hits = np.array([r["hits"] for r in rows]).reshape(-1, len(VOTERS) + 1)
     known = np.array([r["y"] for r in rows], dtype=int)
     every = texts.mapInArrow(_patterns(learned), "pattern int, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
