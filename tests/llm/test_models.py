@@ -272,6 +272,29 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark, plain):
     check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, str(SF)).collect(), None, plain, rows)
 
 
+def test_pipeline_stages_on_odd_and_empty_tables(spark, plain):
+    """Nulls in any column, no id, repeated rows, empty and long texts, and columns with clashing names."""
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    prose = [" ".join(f"Sentence {k} of text {i} tells about the {rng.choice(('river', 'city', 'garden'))} number {rng.randrange(9999)}." for k in range(30)) for i in range(6)]
+    rows = [(i, t) for i, t in enumerate(prose)] + [(0, prose[0]), (None, prose[1]), (None, None), (None, ""), (50, None), (51, ""), (52, prose[2]), (53, prose[3] * 40)]
+    clash = ("row", "__part", "__good", "mark", "n", "set", "bucket")
+    schema = "doc_id long, text string, n_chars int, " + ", ".join(f"`{c}` string" for c in clash)
+    docs = spark.createDataFrame([(i, t, None, *[None if k % 2 else c for k, c in enumerate(clash)]) for i, t in rows], schema)
+    for table in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = corpus_pipeline.settle(stage(spark, table, ""))
+            assert out.columns == docs.columns, name
+            held = [(r["doc_id"], r["text"]) for r in out.collect()]
+            assert len(held) <= table.count()
+            if name == "near_dedup" and held:
+                assert (52, prose[2]) not in held and all((i, prose[i]) in held for i in range(2, 6))
+            table = out
+        last = corpus_pipeline.STAGES[-1][1](spark, table, "")
+        assert (last.count() > 0) == (table.count() > 0)
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_run(spark, name):
