@@ -196,7 +196,6 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         # Large star: neighbours above a node move to the smallest of its neighbourhood.
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        both = settle(both)
         least = settle(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.join(least, "u").filter("v > u and v > m").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         # Small star: a node and its smaller neighbours move to the smallest of them.
@@ -214,8 +213,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Stored pairs with both sets. Only the sets that stand second are moved, and they are stored,
+    so that the join with a hot one is split."""
+    asked = pairs.select(F.col("y").alias("id")).distinct()
+    second = settle(sets.join(asked, "id", "left_semi").select(F.col("id").alias("y"), F.col("set").alias("sy")))
     first = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x")
-    full = first.join(sets.select(F.col("id").alias("y"), F.col("set").alias("sy")), "y")
+    full = first.join(second, "y")
     return full.select("x", "y", "sx", "sy")
 
 
