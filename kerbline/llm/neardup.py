@@ -192,7 +192,6 @@ def components(links: DataFrame) -> DataFrame:
     before the shuffle, so a hub costs no task more than its share.
     """
     edges = settle(links.select(F.greatest("x", "y").alias("hi"), F.least("x", "y").alias("lo")).filter("hi <> lo").distinct())
-    before = None
     while True:
         # Large star: neighbours above a node move to the smallest of its neighbourhood.
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
@@ -205,10 +204,11 @@ def components(links: DataFrame) -> DataFrame:
         edges = settle(
             moved.select("hi", F.col("m").alias("lo")).unionAll(moved.filter("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))).distinct()
         )
-        after = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if tuple(after) == before:
+        # Done once every node is either a smallest one or linked to a smallest one only.
+        ends = edges.select(F.col("hi").alias("u"), F.lit(1).alias("up")).unionAll(edges.select(F.col("lo").alias("u"), F.lit(0).alias("up")))
+        left = ends.groupBy("u").agg(F.sum("up").alias("up"), F.min("up").alias("low")).filter("up > 1 or up > 0 and low = 0")
+        if left.count() == 0:
             break
-        before = tuple(after)
     return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
 
 
