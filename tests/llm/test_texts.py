@@ -213,3 +213,15 @@ def test_near_duplicates_of_clashing_columns_and_empty_tables(spark):
     assert neardup.near_duplicates(docs).first()["component"] == 1
     assert neardup.keep_one(docs).columns == docs.columns and neardup.keep_one(docs).count() == 1
     assert neardup.keep_one(docs.limit(0)).count() == 0 and neardup.near_duplicates(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("links", [[], [(1, 1)], [(i, i + 1) for i in range(40)], [(9 * i % 41, 7 * i % 41 + 41) for i in range(30)] + [(5, 6), (6, 5), (5, 6)]])
+def test_components_are_those_of_a_plain_search(spark, links):
+    from kerbline.llm.neardup import components
+
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "x long, y long")).collect()}
+    least = {v: v for link in links for v in link}
+    for _ in least:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == {v: m for v, m in least.items() if v != m}
