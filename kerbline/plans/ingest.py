@@ -44,7 +44,7 @@ def ingest(
 ) -> DataFrame:
     """Run the whole ingest; the located events and the merged table are stored.
 
-    A finished step is not run again on a second call.
+    A finished step is not run again on a second call, unless its inputs or its plan have changed.
     """
     p = profile
     stations = materialize(spark, f"{work_dir}/stations.parquet", lambda: places)
@@ -52,10 +52,12 @@ def ingest(
         spark,
         f"{work_dir}/events_with_station.parquet",
         lambda: nearest_place(events, stations, p.lat, p.lon, output=p.station),
+        also=(stations,),
     )
     merged = merge(events, details, stations, daily, p, located)
     write_by(merged, f"{work_dir}/merged.parquet", p.year)
-    return spark.read.parquet(f"{work_dir}/merged.parquet")
+    # An empty table has no files to take columns from.
+    return spark.read.schema(merged.schema).parquet(f"{work_dir}/merged.parquet")
 
 
 def ingest_weather(spark: SparkSession, path: str, work_dir: str, **options) -> tuple[DataFrame, DataFrame]:

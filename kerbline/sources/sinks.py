@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import re
+from collections.abc import Callable, Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kerbline.columns import col
 
+MANIFEST = "_manifest"
+
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -34,10 +39,55 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
-def materialize(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """Write a table once and read it back; a finished write is not repeated."""
-    if not is_complete(spark, path):
-        write_parquet(make(), path)
+def fingerprint(df: DataFrame) -> str:
+    """What a frame follows from: its plan, and name, size and time of every file it reads.
+
+    Rows held in memory have no file, so a frame over such rows is read and told by its content.
+    """
+    spark = df.sparkSession
+    width = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(width)
+    spark.conf.set(width, "100000")
+    try:
+        plan = df._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set(width, before)
+    told = [re.sub(r"#\d+L?", "#", plan)]
+    files = df.inputFiles()
+    if files:
+        # Only the file table is read, not the files.
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([unquote(f) for f in files])
+        told.append(_content(listed.select("path", "length", "modificationTime")))
+    if not files or re.search(r"LocalRelation|LogicalRDD", plan):
+        told.append(_content(df))
+    return hashlib.sha256("|".join(told).encode()).hexdigest()
+
+
+def _content(df: DataFrame) -> str:
+    """Rows and a sum of row hashes, whatever their order."""
+    row = F.xxhash64(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    return str(tuple(df.agg(F.count("*"), F.sum(row.cast("decimal(38,0)"))).first()))
+
+
+def _manifest(spark: SparkSession, path: str) -> str | None:
+    inside = f"{path}/{MANIFEST}"
+    if not (is_complete(spark, path) and is_complete(spark, inside)):
+        return None
+    return spark.read.text(inside).first()["value"]
+
+
+def materialize(spark: SparkSession, path: str, make: Callable[[], DataFrame], also: Iterable[DataFrame] = ()) -> DataFrame:
+    """Write a table and read it back; it is not written again while what it follows from is the same.
+
+    The fingerprint of the plan and its files is stored inside the table, after its rows, so an
+    overwrite or an unfinished write has none. ``also`` names stored frames that the result follows
+    from but that its plan does not show, such as a table sent inside a function.
+    """
+    df = make()
+    asked = "+".join(fingerprint(x) for x in (df, *also))
+    if _manifest(spark, path) != asked:
+        write_parquet(df, path)
+        spark.range(1).select(F.lit(asked).alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/{MANIFEST}")
     return spark.read.parquet(path)
 
 

@@ -46,18 +46,45 @@ def test_latin1_csv(spark, tmp_path):
     assert dict(details.dtypes) == {"Accident_Index": "int", "Age_of_Vehicle": "int"}
 
 
-def test_materialize_repeats_a_partial_write(spark, tmp_path):
-    path = str(tmp_path / "t")
-    calls = []
+def _parts(path):
+    return sorted(x.name for x in path.glob("part-*"))
 
-    def make():
-        calls.append(1)
-        return spark.range(3)
 
+def test_materialize_repeats_a_partial_write(spark, tmp_path):
+    make = lambda: spark.range(3)
     (tmp_path / "t").mkdir()
-    assert sinks.materialize(spark, path, make).count() == 3
-    assert sinks.materialize(spark, path, make).count() == 3
-    assert len(calls) == 1
+    assert sinks.materialize(spark, str(tmp_path / "t"), make).count() == 3
+    first = _parts(tmp_path / "t")
+    assert sinks.materialize(spark, str(tmp_path / "t"), make).count() == 3
+    assert _parts(tmp_path / "t") == first
+    # Rows without a finished manifest are not trusted.
+    (tmp_path / "t" / "_manifest" / "_SUCCESS").unlink()
+    assert sinks.materialize(spark, str(tmp_path / "t"), make).count() == 3
+    assert _parts(tmp_path / "t") != first
+
+
+def test_materialize_follows_its_inputs_and_its_plan(spark, tmp_path):
+    source, path = str(tmp_path / "in put"), str(tmp_path / "t")
+    spark.range(3).write.parquet(source)
+    make = lambda: spark.read.parquet(source).filter("id > 0")
+    assert sinks.materialize(spark, path, make).count() == 2
+    first = _parts(tmp_path / "t")
+    assert sinks.materialize(spark, path, make).count() == 2 and _parts(tmp_path / "t") == first
+    spark.range(10, 12).write.mode("append").parquet(source)
+    assert sinks.materialize(spark, path, make).count() == 4
+    assert sinks.materialize(spark, path, lambda: spark.read.parquet(source).filter("id > 1")).count() == 3
+
+
+def test_materialize_follows_rows_in_memory_and_side_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = lambda v: spark.createDataFrame([(1, v), (2, None)], "id int, v string")
+    assert sinks.materialize(spark, path, lambda: table("a")).filter("v = 'a'").count() == 1
+    assert sinks.materialize(spark, path, lambda: table("b")).filter("v = 'b'").count() == 1
+    first = _parts(tmp_path / "t")
+    sinks.materialize(spark, path, lambda: table("b"), also=(table("c"),))
+    second = _parts(tmp_path / "t")
+    sinks.materialize(spark, path, lambda: table("b"), also=(table("c"),))
+    assert first != second == _parts(tmp_path / "t")
 
 
 def test_partition_pruning(spark, tmp_path):
@@ -111,8 +138,14 @@ def test_ingest_prepare_and_explore(spark, tmp_path):
     n_merged = merged.count()
     assert n_merged == events.join(details.drop("Year"), "Accident_Index", "left").count()
     assert merged.filter("tavg IS NULL").count() == 0
-    merged = ingest(spark, events.limit(0), details, places, daily, str(tmp_path / "work"))
-    assert merged.count() == n_merged  # the stored located events were used again
+    located = tmp_path / "work" / "events_with_station.parquet"
+    first = _parts(located)
+    # Other events in the same folder are not answered from the stored ones; equal ones are.
+    assert ingest(spark, events.limit(0), details, places, daily, str(tmp_path / "work")).count() == 0
+    merged = ingest(spark, events, details, places, daily, str(tmp_path / "work"))
+    again = _parts(located)
+    merged = ingest(spark, events, details, places, daily, str(tmp_path / "work"))
+    assert merged.count() == n_merged and first != again == _parts(located)
 
     ready = prepare(merged, split_key="Accident_Index", out_dir=str(tmp_path / "out"))
     n_stages = 4 + 2 + 2 + 1  # derived, scaling, joint indices and one-hot, assembly

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from kerbline.operators import cleaning, imputing, joins
-from kerbline.scale import scratch_path
-from kerbline.sources.sinks import materialize
+from kerbline.scale import settle
 from workload import views
 from workload.registry import query
 from workload.views import VIEW, with_views
@@ -159,10 +158,7 @@ def group_modes(spark, sf_dir):
 
 def merged(spark, sf_dir):
     """The merged table, stored before it is cleaned, as an ingest leaves it."""
-    both = lambda: joins.join_details(
-        views.events(spark, sf_dir), views.details(spark, sf_dir), "acc_id", drop=("veh_year",)
-    )
-    return materialize(spark, scratch_path(spark, "merged"), both)
+    return settle(joins.join_details(views.events(spark, sf_dir), views.details(spark, sf_dir), "acc_id", drop=("veh_year",)))
 
 
 _TEXT = ("acc_time", "light", "weather", "surface", "road_type", "day_name", "vehicle_type", "make", "model", "sex")
