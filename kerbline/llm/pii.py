@@ -1,26 +1,30 @@
 """Personal data: wide span generators, boosted trees over format and context, set thresholds.
 
 ``base_spans`` are the fixed patterns and always stay. ``candidates`` proposes overlapping spans
-that the fixed patterns may miss. ``fit`` trains boosted trees on a bounded sample of documents:
-candidates that equal a base span are positive, all others negative, and the features leave out
+that the fixed patterns may miss. ``fit`` trains boosted trees on the candidates of all documents:
+those that equal a base span are positive, all others negative, and the features leave out
 the check digit, so that a span is judged by its format and context. The threshold is the lowest
-score at which held-out precision reaches ``precision``. ``spans`` joins base spans and the
+score at which held-out precision reaches ``precision``, where every candidate is scored by trees
+that have not seen its text. ``spans`` joins base spans and the
 accepted candidates that overlap none of them. Only DataFrame functions and Spark ML are used.
 
 Candidates, unlike base spans, are bounded: parts of addresses end at 64 characters and 8 labels,
 numbers at 19 digits.
 
 Defined cases: null or empty text has no spans; rows are judged alone, so repeats and ties are
-judged alike; without enough candidates of either class nothing is added to the base spans.
+judged alike, and copies of a text count once in the fit; without enough candidates of either
+class nothing is added to the base spans.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kerbline.scale import settle
@@ -52,8 +56,10 @@ FEATURES = (
     "size", "digits", "groups", "longest", "dots", "dashes", "blanks", "plus", "paren", "at", "spelled",
     "zero", "glued_before", "glued_after", *CUES,
 )
-SAMPLE_DOCS = 20_000
 FEWEST = 30
+FOLDS = 3
+# Spark reads the cuts of a feature off at most about this number squared of training rows.
+LEAST_BINS, MOST_BINS = 32, 46_000
 
 
 def found(text: Column, pattern: str, hint: str) -> Column:
@@ -204,47 +210,74 @@ def parse_trees(text: str, weights: list[float]) -> list:
     return trees
 
 
-def fit(df: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, precision: float = 0.98, rounds: int = 10, depth: int = 3) -> Model:
-    """Trees and threshold from at most about ``sample_docs`` documents, picked by hash.
+def marked(df: DataFrame, text: str = "text") -> DataFrame:
+    """Base spans, candidates and ``__copy``, a digest that copies of a text share."""
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")))
+    return with_candidates(with_base(df, text), text).withColumn("__copy", digest)
 
-    Copies are picked together and count once. The sample is stored before its candidates
-    are extracted, so that only its texts go through the patterns.
+
+def training_rows(rows: DataFrame) -> DataFrame:
+    """(label, fold, features, weight): the candidates of all different texts in ``marked`` rows.
+
+    Candidates that look the same in a fold are one row, weighted by their number.
+    """
+    c = rows.select("__copy", F.explode("__cand").alias("c"))
+    flat = [F.get("c.f", F.lit(i)).alias(x) for i, x in enumerate(FEATURES)]
+    # Both steps are partial before the shuffle, so many copies of one text are few rows.
+    c = c.select("__copy", "c.start", "c.stop", F.col("c.label").cast("double").alias("label"), *flat).distinct()
+    fold = F.pmod(F.xxhash64("__copy"), F.lit(FOLDS)).alias("fold")
+    return c.groupBy("label", fold, *FEATURES).agg(F.count("*").cast("double").alias("weight"))
+
+
+def _boosted(rows: DataFrame, bins: int, rounds: int, depth: int):
+    return GBTClassifier(maxIter=rounds, maxDepth=depth, maxBins=bins, stepSize=0.3, seed=7, weightCol="weight").fit(rows)
+
+
+def learn(rows: DataFrame, precision: float = 0.98, rounds: int = 10, depth: int = 3) -> Model:
+    """Trees and threshold from all candidates of ``marked`` rows, which should be stored.
+
+    The threshold counts every candidate: each fold is scored by trees fitted on the others. The
+    trees returned are fitted on all folds.
     """
-    n = df.count()
-    if n == 0:
-        return Model(None, 1.0)
-    share = min(1.0, sample_docs / n)
-    whole = df.select(F.col(text).alias("text"))
-    picked = settle(whole.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) <= share * 1_000_003).distinct())
-    rows = with_candidates(with_base(picked)).select(F.explode("__cand").alias("c"), F.xxhash64("text").alias("h"))
-    rows = rows.select(F.col("c.label").cast("double").alias("label"), F.pmod("h", F.lit(3)).alias("fold"), *[F.get("c.f", F.lit(i)).alias(x) for i, x in enumerate(FEATURES)])
     # Stored: every tree reads them again.
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(settle(rows)).select("label", "fold", "features")
-    counts = {(r["label"], r["fold"] == 0): r["n"] for r in rows.groupBy("label", "fold").count().withColumnRenamed("count", "n").groupBy("label", (F.col("fold") == 0).alias("fold")).agg(F.sum("n").alias("n")).collect()}
-    if min(counts.get((y, False), 0) for y in (0.0, 1.0)) < FEWEST or not counts.get((1.0, True)):
+    rows = settle(training_rows(rows))
+    # Bounded: two labels a fold.
+    sizes = {(r["label"], r["fold"]): (r["weight"], r["n"]) for r in rows.groupBy("label", "fold").agg(F.sum("weight").alias("weight"), F.count("*").alias("n")).collect()}
+    outside = [sum(w for (y, f), (w, _) in sizes.items() if y == label and f != fold) for label in (0.0, 1.0) for fold in range(FOLDS)]
+    if min(outside) < FEWEST:
         return Model(None, 1.0)
-    model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=7).fit(rows.filter("fold <> 0"))
-    trees = parse_trees(model.toDebugString, model.treeWeights)
-    held = model.transform(rows.filter("fold = 0"))
-    from pyspark.ml.functions import vector_to_array
-
+    # Enough bins for Spark to take the cuts from all rows.
+    bins = min(MOST_BINS, max(LEAST_BINS, math.isqrt(sum(n for _, n in sizes.values())) + 1))
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("label", "fold", "features", "weight")
     step = F.floor(F.get(vector_to_array("probability"), F.lit(1)) * 100).alias("step")
-    table = {r["step"]: (r["good"], r["n"]) for r in held.groupBy(step).agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()}
-    good = total = 0
+    good, n = F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")
+    table: dict[int, list[float]] = {}
+    for fold in range(FOLDS):
+        held = _boosted(rows.filter(F.col("fold") != fold), bins, rounds, depth).transform(rows.filter(F.col("fold") == fold))
+        # Bounded: 101 steps.
+        for r in held.groupBy(step).agg(good, n).collect():
+            at = table.setdefault(r["step"], [0.0, 0.0])
+            at[0], at[1] = at[0] + r["good"], at[1] + r["n"]
+    kept = total = 0.0
     threshold = 1.01
     for k in range(100, 49, -1):
-        good, total = good + table.get(k, (0, 0))[0], total + table.get(k, (0, 0))[1]
-        if total and good >= precision * total:
+        kept, total = kept + table.get(k, (0, 0))[0], total + table.get(k, (0, 0))[1]
+        if total and kept >= precision * total:
             threshold = k / 100
-    return Model(trees, threshold)
+    model = _boosted(rows, bins, rounds, depth)
+    return Model(parse_trees(model.toDebugString, model.treeWeights), threshold)
 
 
-def spans(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add n_email .. n_phone (base), ``__base`` and ``__spans`` (base and accepted)."""
-    df = with_base(df, text)
+def fit(df: DataFrame, text: str = "text", precision: float = 0.98, rounds: int = 10, depth: int = 3) -> Model:
+    """Trees and threshold from the candidates of all rows; only spans, not texts, are stored."""
+    found = marked(df.select(F.col(text).alias("text"))).select("__copy", "__cand")
+    return learn(settle(found), precision, rounds, depth)
+
+
+def accepted(df: DataFrame, model: Model) -> DataFrame:
+    """Add ``__spans`` (base and accepted) to rows that have ``__base`` and ``__cand``."""
     if model.trees is None:
-        return df.withColumn("__spans", F.col("__base"))
-    df = with_candidates(df, text)
+        return df.withColumn("__spans", F.col("__base")).drop("__cand")
     added = F.transform(
         F.filter("__cand", lambda c: ~c["near"] & (model.score(c["f"]) >= model.threshold)),
         lambda c: F.struct(c["start"].alias("start"), c["rank"].alias("rank"), c["stop"].alias("stop")),
@@ -252,6 +285,14 @@ def spans(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return df.withColumn("__spans", F.sort_array(F.array_union("__base", added))).drop("__cand")
 
 
+def spans(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """Add n_email .. n_phone (base), ``__base`` and ``__spans`` (base and accepted)."""
+    df = with_base(df, text)
+    if model.trees is not None:
+        df = with_candidates(df, text)
+    return accepted(df, model)
+
+
 def listed(column: str) -> Column:
     """Spans as kind:start:end, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from kerbline.llm import alignment, conversations, langid, neardup, packing, pii, quality, sharding, substring, tokens, topk, toxicity, warc
+from kerbline.scale import settle
 
 QUERIES = {}
 ORACLES = {}
@@ -39,8 +40,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    out = pii.spans(docs, pii.fit(docs))
+    # Stored: one pass over the texts serves the fit and the spans.
+    found = settle(pii.marked(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    out = pii.accepted(found, pii.learn(found))
     counts = [f"n_{k}" for k in pii.KINDS]
     return out.select("doc_id", *counts, F.sha2(pii.listed("__base"), 256).alias("base_sha256"), pii.listed("__spans").alias("spans"))
 

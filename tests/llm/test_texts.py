@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from kerbline.llm import neardup, pii, quality, substring
 from tests.llm import brute
@@ -162,6 +163,21 @@ def test_fitted_trees_score_as_spark_does(spark):
     assert pii.parse_trees(text, [1.0]) == [(1.0, (1, 2.5, -1.0, (0, 1.0, 0.5, 1.0)))]
 
 
+def test_trees_learn_from_every_document(spark):
+    few = [(i, f"call +1 212 555 {1000 + i}" if i % 2 else f"order 212-555-{1000 + i}") for i in range(120)]
+    # Copies count once.
+    few += [(1000 + i, few[1][1]) for i in range(50)]
+    few = spark.createDataFrame(few, "doc_id long, text string")
+    docs = few.unionByName(spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("no data").alias("text")))
+    model = pii.fit(docs)
+    assert model.trees and model.threshold <= 1.0
+    rows = pii.training_rows(pii.marked(docs)).groupBy("label").agg(F.sum("weight").alias("n")).collect()
+    assert {r["label"]: r["n"] for r in rows} == {0.0: 60.0, 1.0: 60.0}
+    # Rows marked once give the same spans as texts marked again.
+    listed = lambda df: {(r[0], r[1]) for r in df.select("doc_id", pii.listed("__spans")).collect()}
+    assert listed(pii.accepted(pii.marked(few), model)) == listed(pii.spans(few, model))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert quality.clean(none).count() == 0
