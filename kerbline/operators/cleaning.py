@@ -73,24 +73,42 @@ def apply_row_rules(df: DataFrame, profile: Profile = ROAD) -> DataFrame:
     return require_columns(df, profile.required)
 
 
-def clean(df: DataFrame, profile: Profile = ROAD, exact_median: bool = False) -> DataFrame:
-    """All cleaning rules in order.
+def impute(df: DataFrame, profile: Profile = ROAD, exact_median: bool = False, facts: DataFrame | None = None) -> DataFrame:
+    """Fill what the row rules left empty; medians and modes are those of ``facts``, by default of the rows.
 
     The group mode runs before missing groups are filled, so a row without a
-    group takes the overall mode. The few columns that medians and modes need
-    are stored once, so the rows are evaluated for them and for the result only.
+    group takes the overall mode.
     """
-    df = apply_row_rules(df, profile)
-    used = present(df, [*profile.median, *[c for pair in profile.group_mode for c in pair]])
-    # A column in two steps is counted after the first has filled it.
-    once = used and len(set(used)) == len(used)
-    facts = settle(df.select(*[col(c) for c in used])) if once else None
+    if not counted_once(df, profile):
+        facts = None
     df = fill_median(df, profile.median, exact=exact_median, facts=facts)
     for target, group in profile.group_mode:
         df = fill_group_mode(df, target, group, profile.fill_value, facts=facts)
     return fill_constant(df, profile.unknown_fill, profile.fill_value)
 
 
+def imputing_columns(df: DataFrame, profile: Profile = ROAD) -> list[str]:
+    """The columns that medians and modes are taken of."""
+    return present(df, [*profile.median, *[c for pair in profile.group_mode for c in pair]])
+
+
+def counted_once(df: DataFrame, profile: Profile = ROAD) -> bool:
+    """Whether no column is in two imputing steps; one that is must be counted after the first has filled it."""
+    used = imputing_columns(df, profile)
+    return bool(used) and len(set(used)) == len(used)
+
+
+def clean(df: DataFrame, profile: Profile = ROAD, exact_median: bool = False) -> DataFrame:
+    """All cleaning rules in order.
+
+    The few columns that medians and modes need are stored once, so the rows
+    are evaluated for them and for the result only.
+    """
+    df = apply_row_rules(df, profile)
+    facts = settle(df.select(*[col(c) for c in imputing_columns(df, profile)])) if counted_once(df, profile) else None
+    return impute(df, profile, exact_median, facts)
+
+
 def row_loss(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: rows before and after a step, and how many were lost."""
     counted = before.agg(F.count("*").alias("n_before")).withColumn(

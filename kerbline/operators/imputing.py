@@ -33,7 +33,8 @@ def fill_median(df: DataFrame, names: Iterable[str], exact: bool = False, facts:
     found = present(df, names)
     if not found:
         return df
-    middle = medians(df if facts is None else facts, found, exact).select(F.struct(*[col(n) for n in found]).alias("m")).scalar()
+    # Stored, one row: every later pass over the result would look for the medians again.
+    middle = settle(medians(df if facts is None else facts, found, exact)).select(F.struct(*[col(n) for n in found]).alias("m")).scalar()
     filled = df.withColumn("__m", middle)
     new = {n: F.when(measured(col(n).cast("double")), col(n)).otherwise(F.col("__m").getField(n)) for n in found}
     return filled.select(*[new[c].alias(c) if c in new else col(c) for c in df.columns])

@@ -19,6 +19,8 @@ GRID_LEVELS = 11
 COARSE_LEVELS = 4
 # Detail rows of one key that one task may join.
 HEAVY_ROWS = 1_000_000
+# Hash groups in which keys are counted before any key is.
+KEY_GROUPS = 65_536
 
 
 def nearest_place(
@@ -197,10 +199,16 @@ def join_daily_from(
 def heavy_keys(details: DataFrame, key: str, most: int = HEAVY_ROWS) -> DataFrame:
     """(key, copies): keys with more than ``most`` rows, and over how many shares to deal them.
 
-    Counts are partial before the shuffle; the result has at most one row for
-    each ``most`` rows of the table.
+    A first pass counts hash groups of keys, which are few, so that the keys themselves are
+    shuffled only where a group is large enough to hold a heavy one. Counts are partial before
+    the shuffle; the result has at most one row for each ``most`` rows of the table.
     """
-    counts = details.select(col(key)).filter(col(key).isNotNull()).groupBy(col(key)).agg(F.count("*").alias("__n"))
+    keys = details.select(col(key)).filter(col(key).isNotNull())
+    group = F.pmod(F.xxhash64(col(key)), F.lit(KEY_GROUPS))
+    # Bounded: one row a group.
+    large = [r["g"] for r in keys.groupBy(group.alias("g")).agg(F.count("*").alias("n")).filter(F.col("n") > most).collect()]
+    suspects = keys.filter(group.isin(large)) if len(large) < KEY_GROUPS else keys
+    counts = suspects.groupBy(col(key)).agg(F.count("*").alias("__n"))
     return counts.filter(F.col("__n") > most).select(col(key), F.ceil(F.col("__n") / most).cast("int").alias("__copies"))
 
 

@@ -28,9 +28,14 @@ def hash_int(key: Column, seed: int | None = None) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
+def in_train_part(key: Column, train_pct: int = 80) -> Column:
+    """Whether a row belongs to the training part; rows without a key do not."""
+    return F.coalesce(hash_int(key) % 100 < train_pct, F.lit(False))
+
+
 def split_by_key(df: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
     """Train and test part; rows without a key go to the test part."""
-    in_train = F.coalesce(hash_int(col(key)) % 100 < train_pct, F.lit(False))
+    in_train = in_train_part(col(key), train_pct)
     return df.filter(in_train), df.filter(~in_train)
 
 

@@ -7,13 +7,17 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from kerbline.operators.cleaning import clean
-from kerbline.operators.encoding import DRIVER_CATEGORIES, FEATURES_OUTPUT, LABEL_OUTPUT, build_feature_job
-from kerbline.operators.sampling import random_split, split_by_key, undersample
+from kerbline.columns import col
+from kerbline.operators.cleaning import apply_row_rules, impute, imputing_columns
+from kerbline.operators.encoding import DRIVER_CATEGORIES, FEATURES_OUTPUT, LABEL_OUTPUT, build_feature_job, derived_stages
+from kerbline.operators.sampling import in_train_part, random_split, undersample
 from kerbline.profile import ROAD, Profile
-from kerbline.scale import scratch_path
+from kerbline.scale import compiled_methods, scratch_path, settle
 from kerbline.sources.sinks import write_parquet
 
+# The stored mark of the training rows.
+TRAIN = "__train"
+
 
 @dataclass
 class Prepared:
@@ -38,17 +42,35 @@ def prepare(
     does not depend on the partitioning and rows of one key stay together;
     ``at_random`` uses Spark's random split instead. Only the training part is
     ever rebalanced. ``category_limit`` only chooses how indices are kept.
+    ``out_dir`` also receives the cleaned rows.
     """
-    p = profile
+    with compiled_methods(merged.sparkSession):
+        return _prepared(merged, profile, split_key or profile.key, balance_ratio, include_derived, out_dir, at_random, category_limit)
+
+
+def _prepared(
+    merged: DataFrame, p: Profile, key: str, balance_ratio: float | None, include_derived: bool, out_dir: str | None, at_random: bool, category_limit: int
+) -> Prepared:
     spark = merged.sparkSession
     base = out_dir or scratch_path(spark, "features")
-    # Stored once: every fitted stage below is a pass over it, and it outlives
-    # a lost executor.
-    write_parquet(clean(merged, p), f"{base}/cleaned.parquet")
-    cleaned = spark.read.parquet(f"{base}/cleaned.parquet")
-    train, test = random_split(cleaned) if at_random else split_by_key(cleaned, split_key or p.key)
+    ruled = apply_row_rules(merged, p)
+    if out_dir is None:
+        # Nothing else of the rows is returned, so the join below need not carry it.
+        ruled = ruled.select(*[col(c) for c in _used_columns(ruled, p, key)])
+    # Stored once: every later step is a pass over it, and it outlives a lost executor.
+    # Filling gaps is a lookup in each pass and costs less than storing the rows again.
+    ruled = settle(ruled.withColumn(TRAIN, in_train_part(col(key))))
+    marked = impute(ruled, p, facts=ruled)
+    cleaned = marked.drop(TRAIN)
+    if out_dir is not None:
+        write_parquet(cleaned, f"{base}/cleaned.parquet")
+    if at_random:
+        train, test = random_split(settle(cleaned))
+    else:
+        train, test = (marked.filter(part).drop(TRAIN) for part in (F.col(TRAIN), ~F.col(TRAIN)))
     if balance_ratio is not None:
-        train = undersample(train, p.label, split_key or p.key, balance_ratio)
+        # Stored: far fewer rows, which every fit and the transformation read.
+        train = settle(undersample(train, p.label, key, balance_ratio))
     model = build_feature_job(p, include_derived, category_limit).fit(train)
     stored = []
     for name, part in (("train", train), ("test", test)):
@@ -57,5 +79,12 @@ def prepare(
     return Prepared(model, *stored)
 
 
+def _used_columns(df: DataFrame, p: Profile, key: str) -> list[str]:
+    """The columns that the split, the imputing and the feature job read."""
+    derived = [c for stage in derived_stages(p) for c in stage.getInputCols()]
+    wanted = {key, p.label, *p.scaled, *p.one_hot, *p.indexed, *derived, *imputing_columns(df, p)}
+    return [c for c in df.columns if c in wanted]
+
+
 def label_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(LABEL_OUTPUT).agg(F.count("*").alias("n")).orderBy(LABEL_OUTPUT)

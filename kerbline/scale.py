@@ -14,6 +14,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -25,6 +27,8 @@ BROADCAST_ROWS = 20_000
 NULL_SPREAD = 256
 # Usual size of one input split.
 SPLIT_BYTES = 128 * 1024 * 1024
+# The JVM compiles no method of more bytes; it stays interpreted.
+COMPILED_BYTES = "8000"
 # Up to this many distinct values are ranked without a range sort.
 BUCKET_VALUES = 500_000
 
@@ -69,6 +73,22 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside split generated code that is too long for the JVM to compile.
+
+    Wide chains of expressions otherwise end in one interpreted method, several times slower. The
+    session's own setting is put back afterwards.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, COMPILED_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def within(df: DataFrame, max_rows: int) -> bool:
     """Whether a frame has at most ``max_rows`` rows (reads no more than that)."""
     return df.limit(max_rows + 1).count() <= max_rows

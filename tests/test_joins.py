@@ -177,6 +177,10 @@ def test_a_key_with_a_third_of_the_details(spark):
     # Equal rows throughout, and a key of details that no event has.
     details = spark.range(3000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") == 1, "one").otherwise(F.concat(F.lit("x"), "id")).alias("k"), F.lit(7).alias("v"))
     assert [(r["k"], r["__copies"]) for r in joins.heavy_keys(details, "k", 100).collect()] == [("hot", 10)]
+    # Keys are counted only where their hash group is large, which changes no count.
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(joins, "KEY_GROUPS", 1)
+        assert [(r["k"], r["__copies"]) for r in joins.heavy_keys(details, "k", 100).collect()] == [("hot", 10)]
     whole, dealt = (joins.join_details(events, details, "k", most=n) for n in (10**6, 100))
     count = lambda df: {(r["k"], r["e"], r["v"]): r["count"] for r in df.groupBy("k", "e", "v").count().collect()}
     assert count(dealt) == count(whole) == {("hot", 1, 7): 1000, ("hot", 2, 7): 1000, ("one", 3, 7): 1, ("none", 4, None): 1, (None, 5, None): 1}

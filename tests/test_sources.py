@@ -199,6 +199,28 @@ def test_index_storage_does_not_change_the_features(spark, tmp_path):
     assert sorted(pick(few.train) + pick(few.test)) == pick(again)
 
 
+@pytest.mark.parametrize(("ratio", "derived"), [(None, False), (3.0, True)])
+def test_preparing_evaluates_the_merged_rows_once(spark, ratio, derived):
+    from workload import views
+    from workload.featuring import _merged
+
+    if not SF_DIR.is_dir():
+        pytest.skip("test tables not found")
+    seen = spark.sparkContext.accumulator(0)
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = _merged(spark, str(SF_DIR))
+    ready = prepare(rows.mapInArrow(counted, rows.schema), views.VIEW, split_key="acc_id", balance_ratio=ratio, include_derived=derived)
+    assert ready.train.count() > 0 and ready.test.count() > 0
+    assert seen.value == rows.count()
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+
+
 def test_too_many_values_for_a_vector(spark):
     df = spark.range(200).selectExpr("CAST(id AS STRING) AS big", "'x' AS small")
     encoding.ValueLimit(inputCols=["small"], most=100).fit(df)

@@ -156,9 +156,14 @@ def group_modes(spark, sf_dir):
     return imputing.group_modes(views.details(spark, sf_dir), "model", "make")
 
 
+def joined(spark, sf_dir):
+    """The merged table."""
+    return joins.join_details(views.events(spark, sf_dir), views.details(spark, sf_dir), "acc_id", drop=("veh_year",))
+
+
 def merged(spark, sf_dir):
     """The merged table, stored before it is cleaned, as an ingest leaves it."""
-    return settle(joins.join_details(views.events(spark, sf_dir), views.details(spark, sf_dir), "acc_id", drop=("veh_year",)))
+    return settle(joined(spark, sf_dir))
 
 
 _TEXT = ("acc_time", "light", "weather", "surface", "road_type", "day_name", "vehicle_type", "make", "model", "sex")
