@@ -142,7 +142,11 @@ def encoding_stages(p: Profile = ROAD, category_limit: int = DRIVER_CATEGORIES,
 
 
 def assembly_stage(encoded: list[str], extra: list[str] | None = None) -> VectorAssembler:
-    return VectorAssembler(inputCols=[SCALED_OUTPUT, *encoded, *(extra or [])], outputCol=FEATURES_OUTPUT, handleInvalid="skip")
+    """The feature vector. Its inputs are never null: scaling has dropped such rows, indices and derived columns have a place for them.
+
+    So nothing is skipped here; the test for it would compute every input a second time.
+    """
+    return VectorAssembler(inputCols=[SCALED_OUTPUT, *encoded, *(extra or [])], outputCol=FEATURES_OUTPUT, handleInvalid="error")
 
 
 def build_stages(p: Profile = ROAD, include_derived: bool = False, category_limit: int = DRIVER_CATEGORIES) -> list:

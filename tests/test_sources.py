@@ -3,7 +3,7 @@ from pathlib import Path
 
 import pytest
 
-from kerbline.operators import encoding, quality, summaries
+from kerbline.operators import cleaning, encoding, quality, summaries
 from kerbline.plans.explore import explore, save_report, summary_lines
 from kerbline.plans.ingest import ingest, ingest_weather
 from kerbline.plans.prepare import label_counts, prepare
@@ -221,6 +221,18 @@ def test_preparing_evaluates_the_merged_rows_once(spark, ratio, derived):
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
 
 
+def test_vector_inputs_are_computed_once(spark):
+    from workload import views
+    from workload.featuring import _merged
+
+    if not SF_DIR.is_dir():
+        pytest.skip("test tables not found")
+    rows = cleaning.apply_row_rules(_merged(spark, str(SF_DIR)), views.VIEW)
+    stages = encoding.build_feature_job(views.VIEW).fit(rows).transform(rows).select("features")
+    # Six one-hot and nine index columns, the numbers twice, the vector.
+    assert stages._jdf.queryExecution().optimizedPlan().toString().count("UDF(") == 6 + 9 + 2 + 1
+
+
 def test_too_many_values_for_a_vector(spark):
     df = spark.range(200).selectExpr("CAST(id AS STRING) AS big", "'x' AS small")
     encoding.ValueLimit(inputCols=["small"], most=100).fit(df)
