@@ -178,6 +178,16 @@ def test_trees_learn_from_every_document(spark):
     assert listed(pii.accepted(pii.marked(few), model)) == listed(pii.spans(few, model))
 
 
+def test_pipeline_learns_personal_data_from_every_document(spark, monkeypatch):
+    import corpus_pipeline
+
+    seen, learn = [], pii.learn
+    monkeypatch.setattr(pii, "learn", lambda rows, *how: (seen.append(rows.count()), learn(rows, *how))[1])
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("mail a@b.c of "), "id").alias("text"))
+    out = corpus_pipeline.personal_data(spark, docs, "")
+    assert seen == [30_000] and out.filter("text LIKE 'mail [EMAIL] of %'").count() == 30_000
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert quality.clean(none).count() == 0
