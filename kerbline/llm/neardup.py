@@ -39,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from kerbline.llm.wordhash import mix, pieces, window_hash, words_of
-from kerbline.scale import settle, within
+from kerbline.scale import settle
 
 K = 64
 MISSED = 5e-9
 BITS = 512
-# Ids of which a task may hold a set (about 8 MB), so that texts are not shuffled for them.
-BROADCAST_IDS = 250_000
+# Bits of the map that tells which rows a join may need (8 MB whatever the table holds), and of one
+# of Spark's bitmaps, both as powers of two.
+MAP_BITS, PART_BITS = 26, 15
 _PARITY = [f"p{i}" for i in range(BITS // 64)]
 
 
@@ -168,20 +169,20 @@ def _likely(num: int, den: int, k: int):
 
 
 def _overlap(batches):
-    """The exact intersection of each pair."""
-    for batch in batches:
-        inner = [len(np.intersect1d(*_arrays(batch, i), assume_unique=True)) for i in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(inner, pa.int64())], names=["x", "y", "inner"])
-
-
-def _foreign(batches):
-    """The shingles of ``x`` that ``y`` lacks, one a row."""
+    """Sizes, exact intersection and the shingles of ``x`` that ``y`` lacks, for each pair."""
     for batch in batches:
+        only, sizes = [], []
         for i in range(batch.num_rows):
             a, b = _arrays(batch, i)
-            only = np.setdiff1d(a, b, assume_unique=True).view(np.int64)
-            x, y = (np.full(len(only), batch.column(c)[i].as_py(), np.int64) for c in ("x", "y"))
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(only)], names=["x", "y", "h"])
+            only.append(np.setdiff1d(a, b, assume_unique=True).view(np.int64))
+            sizes.append((len(a), len(b), len(a) - len(only[-1])))
+        counts = np.array(sizes, np.int64).reshape(-1, 3)
+        flat = np.concatenate(only) if only else np.zeros(0, np.int64)
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in only])]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("x"), batch.column("y"), *[pa.array(c) for c in counts.T], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+            names=["x", "y", "nx", "ny", "inner", "only"],
+        )
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -212,12 +213,33 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
 
 
+def _among(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is in the one column of ``ids``, and few others, without a shuffle.
+
+    A map of ``2 ** MAP_BITS`` bits is sent, so memory is bounded and no size of ``ids`` moves the
+    wide rows; the exact join that has to follow moves only what is left.
+    """
+
+    def place(c: str):
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(1 << MAP_BITS))
+
+    at = ids.select(place(ids.columns[0]).alias("__at"))
+    bit = F.col("__at") % (1 << PART_BITS)
+    maps = at.groupBy(F.shiftright("__at", PART_BITS).alias("__part")).agg(F.bitmap_construct_agg(bit).alias("__map"))
+    df = df.withColumn("__at", place(column)).withColumn("__part", F.shiftright("__at", PART_BITS))
+    # Bounded: 2,048 rows of 4 kB.
+    df = df.join(F.broadcast(maps), "__part")
+    byte = F.conv(F.hex(F.substring("__map", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return df.filter(F.getbit(byte, (bit % 8).cast("int")) == 1).drop("__at", "__part", "__map")
+
+
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Stored pairs with both sets. Only the sets that stand second are moved, and they are stored,
-    so that the join with a hot one is split."""
+    """Stored pairs with both sets. Only the sets asked for are moved, and those that stand second
+    are stored, so that the join with a hot one is split."""
     asked = pairs.select(F.col("y").alias("id")).distinct()
-    second = settle(sets.join(asked, "id", "left_semi").select(F.col("id").alias("y"), F.col("set").alias("sy")))
-    first = pairs.join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x")
+    # No semi join: the optimizer would run it before the map.
+    second = settle(_among(sets, "id", asked).join(asked, "id").select(F.col("id").alias("y"), F.col("set").alias("sy")))
+    first = pairs.join(_among(sets, "id", pairs.select("x")).select(F.col("id").alias("x"), F.col("set").alias("sx")), "x")
     full = first.join(second, "y")
     return full.select("x", "y", "sx", "sy")
 
@@ -249,31 +271,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def _links(rows: DataFrame, classes: DataFrame, size: int, num: int, den: int, k: int) -> DataFrame:
     """Links (x, y) between classes that give the same components as all links."""
-    held = classes.select("node", "n", F.explode("sketch").alias("v"), F.size("sketch").alias("m"))
+    held = classes.select("node", F.explode("sketch").alias("v"))
     often = settle(held.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1"))
+    # Bounded by k values a class; as plain rows they move in fewer bytes than as parts of arrays.
+    shared = held.join(often, "v").repartition("node").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    shared = shared.withColumn("s", F.size("vs")).join(classes.select("node", "n", F.size("sketch").alias("m")), "node")
     need = F.greatest(F.floor(F.col("m") * least_shared(num, den, k) / k), F.lit(1))
-    shared = held.join(often, "v").groupBy("node").agg(F.first("n").alias("n"), F.first("m").alias("m"), F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
-    # Bounded by k values a class. Any partner holds one of the rarest (shared - needed + 1).
-    shared = shared.withColumn("s", F.size("vs")).filter(F.col("s") >= need)
+    # Any partner holds one of the rarest (shared - needed + 1).
     rarest = F.slice("vs", F.lit(1), (F.col("s") - need + 1).cast("int"))
-    lists = settle(shared.select("node", "n", (F.col("m") - F.col("s")).alias("own"), F.explode(rarest).alias("e")).select("node", "n", "own", F.col("e.v").alias("v")))
-    members = settle(classes.select("node", "rep", "sign", "sign2").join(lists.select("node").distinct(), "node"))
-    # All texts of a class's smallest id are read; the signs tell which is the class's own.
-    ids = settle(members.select("rep").distinct())
-    # One long a row, counted; beyond that both sides are shuffled.
-    ids = F.broadcast(ids) if within(ids, BROADCAST_IDS) else ids
-    texts = rows.select(F.col("id").alias("rep"), "text").join(ids, "rep")
-    found = texts.mapInArrow(_sets(size), "rep long, sign long, sign2 long, set binary")
-    sets = settle(found.join(members, ["rep", "sign", "sign2"]).select(F.col("node").alias("id"), "set").dropDuplicates(["id"]))
+    lists = settle(shared.filter(F.col("s") >= need).select("node", (F.col("m") - F.col("s")).alias("own"), F.explode(rarest).alias("e")).select("node", "own", F.col("e.v").alias("v")))
     # Round one: everyone meets the most central class of each list.
-    centre = settle(lists.groupBy("v").agg(F.min(F.struct("own", "node", "n")).alias("c"), F.count("*").alias("members")).filter("members > 1").select("v", F.col("c.node").alias("y"), F.col("c.n").alias("ny")))
-    stars = lists.select("v", F.col("node").alias("x"), F.col("n").alias("nx")).join(centre, "v").filter("x <> y")
-    stars = settle(stars.select("x", "y", "nx", "ny").distinct())
-    met = settle(_with_sets(stars.select("x", "y"), sets).mapInArrow(_overlap, "x long, y long, inner long"))
-    stars = settle(stars.join(met, ["x", "y"]))
+    centre = settle(lists.groupBy("v").agg(F.min(F.struct("own", "node")).alias("c"), F.count("*").alias("members")).filter("members > 1").select("v", F.col("c.node").alias("y")))
+    stars = settle(lists.select("v", F.col("node").alias("x")).join(centre, "v").filter("x <> y").select("x", "y").distinct())
+    # The centres a class meets, at most one a list, are stored with its set: it moves to them at once.
+    ends = stars.select(F.col("x").alias("node"), "y").unionAll(stars.select(F.col("y").alias("node"), F.lit(None).cast("long").alias("y")))
+    ends = ends.groupBy("node").agg(F.collect_list("y").alias("ys"), F.max(F.col("y").isNull()).alias("centre"))
+    members = settle(classes.select("node", "rep", "sign", "sign2").join(ends, "node"))
+    # All texts of a class's smallest id are read; the signs tell which is the class's own.
+    texts = _among(rows.select(F.col("id").alias("rep"), "text"), "rep", members.select("rep"))
+    found = texts.mapInArrow(_sets(size), "rep long, sign long, sign2 long, set binary").dropDuplicates(["rep", "sign", "sign2"])
+    sets = settle(found.join(members, ["rep", "sign", "sign2"]).select(F.col("node").alias("id"), "set", "ys", "centre"))
+    met = sets.select(F.col("id").alias("x"), F.explode("ys").alias("y"), F.col("set").alias("sx"))
+    met = met.join(sets.filter("centre").select(F.col("id").alias("y"), F.col("set").alias("sy")), "y").select("x", "y", "sx", "sy")
+    stars = settle(met.mapInArrow(_overlap, "x long, y long, nx long, ny long, inner long, only array<long>"))
     first = stars.filter(den * F.col("inner") >= num * (F.col("nx") + F.col("ny") - F.col("inner"))).select("x", "y")
     comp = settle(components(first))
-    second = _rest(stars, sets, classes, comp, num, den, k)
+    second = _rest(stars, sets.select("id", "set"), classes, comp, num, den, k)
     # The components found so far stand for the links that gave them.
     return comp.select(F.col("id").alias("x"), F.col("component").alias("y")).unionAll(second)
 
@@ -316,7 +339,8 @@ def _rest(stars: DataFrame, sets: DataFrame, classes: DataFrame, comp: DataFrame
     floor = near.groupBy("y").agg(F.min("n").alias("low"))
     near = near.join(floor, "y").filter(F.col("reach") >= num * F.col("low"))
     plain = sides(near, ["y"], (num + den) * most >= both)
-    foreign = settle(_with_sets(contested.select("x", "y"), sets).mapInArrow(_foreign, "x long, y long, h long"))
+    foreign = _among(stars, "y", mixed.select("y")).join(mixed.select("y"), "y")
+    foreign = settle(foreign.select("x", "y", F.explode("only").alias("h")))
     often = settle(foreign.groupBy("y", "h").agg(F.count("*").alias("df")).filter("df > 1"))
     # Bounded by the shingles of one document. Those no other class has come first.
     held = foreign.join(often, ["y", "h"]).groupBy("x", "y").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("hs"))

@@ -234,6 +234,46 @@ def test_near_duplicates_of_a_contested_group(spark):
     assert got == want and len(set(want.values())) > 50
 
 
+def test_rows_that_a_join_needs_pass_the_map(spark):
+    asked = [0, -1, 7, 2**63 - 1, -(2**63), *range(1000, 2000, 7)]
+    ids = spark.createDataFrame([(i,) for i in asked], "node long").repartition(3)
+    df = spark.createDataFrame([(i, str(i)) for i in [None, *asked, *range(10**6, 10**6 + 20_000)]], "id long, text string")
+    got = [r["id"] for r in neardup._among(df, "id", ids).collect()]
+    assert set(asked) <= set(got) and len(got) < len(asked) + 100
+    assert neardup._among(df, "id", ids.limit(0)).count() == 0
+
+
+def test_sets_move_once_to_their_centres(spark, docs, monkeypatch):
+    """Whatever is broadcast or not, other moves are of sets that were asked for (through the map)."""
+    moved, settle = [], neardup.settle
+
+    def nodes(plan):
+        yield plan
+        below = plan.children()
+        for at in range(below.size()):
+            yield from nodes(below.apply(at))
+
+    def moves_set(node):
+        out = node.output()
+        return node.nodeName() == "Exchange" and any(out.apply(i).name() in ("set", "sx", "sy") for i in range(out.size()))
+
+    def stored(df):
+        plan = df._jdf.queryExecution().executedPlan()
+        plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+        moved.extend(n.toString() for n in nodes(plan) if moves_set(n) and "getbit" not in n.toString())
+        return settle(df)
+
+    monkeypatch.setattr(neardup, "settle", stored)
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        neardup.near_duplicates(docs).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    # Sets of classes and of centres, and the stored second sides of both last comparisons.
+    assert len(moved) == 4
+
+
 def test_near_duplicates_of_clashing_columns_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d", 1, "x", b"y")], "doc_id long, text string, mark int, node string, component binary")
     assert neardup.near_duplicates(docs).first()["component"] == 1
